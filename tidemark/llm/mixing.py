@@ -39,7 +39,7 @@ def keyed(docs: DataFrame, seed: int = 11, quality: Column | None = None) -> Dat
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most: float = 3.0) -> DataFrame:
-    """Adds `target` to a row for each source (_tm_source, n): weights repeat in code-point order, null last.
+    """Adds _tm_target to a row for each source (_tm_source, _tm_n): weights repeat in code-point order, null last.
 
     The shares are of the sum of all sizes. A target stops at `most` times its source's size and the excess is
     shared again by weight: sources sorted by cap / weight are capped up to the first whose share stays below its cap.
@@ -48,18 +48,18 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), mo
     order = Window.orderBy((F.col("_tm_source") == "").asc(), F.col("_tm_source"))
     everything = Window.partitionBy()
     cycle = F.array(*[F.lit(float(w)) for w in weights])
-    ranked = sources.withColumn("w", F.element_at(cycle, ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int"))).withColumn("cap", F.col("n") * F.lit(most))
+    ranked = sources.withColumn("w", F.element_at(cycle, ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int"))).withColumn("cap", F.col("_tm_n") * F.lit(most))
     before = Window.orderBy(F.col("cap") / F.col("w"), "_tm_source").rowsBetween(Window.unboundedPreceding, -1)
-    share = (F.sum("n").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / (F.sum("w").over(everything) - F.coalesce(F.sum("w").over(before), F.lit(0.0)))
+    share = (F.sum("_tm_n").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / (F.sum("w").over(everything) - F.coalesce(F.sum("w").over(before), F.lit(0.0)))
     capped = ranked.withColumn("full", share * F.col("w") >= F.col("cap"))
-    left = F.sum("n").over(everything) - F.sum(F.when(F.col("full"), F.col("cap")).otherwise(0.0)).over(everything)
+    left = F.sum("_tm_n").over(everything) - F.sum(F.when(F.col("full"), F.col("cap")).otherwise(0.0)).over(everything)
     open_weight = F.sum(F.when(F.col("full"), F.lit(0.0)).otherwise(F.col("w"))).over(everything)
-    return capped.withColumn("target", F.when(F.col("full"), F.col("cap")).otherwise(left * F.col("w") / open_weight)).drop("w", "cap", "full")
+    return capped.withColumn("_tm_target", F.when(F.col("full"), F.col("cap")).otherwise(left * F.col("w") / open_weight)).drop("w", "cap", "full")
 
 
 def bucket_of(buckets: int) -> Column:
     """Buckets of about equal size: the key passed through the exponential distribution with the source's mean weight."""
-    return F.least(F.floor((1 - F.exp(-F.col("_tm_key") * F.col("rate"))) * buckets), F.lit(buckets - 1)).cast("int")
+    return F.least(F.floor((1 - F.exp(-F.col("_tm_key") * F.col("_tm_rate"))) * buckets), F.lit(buckets - 1)).cast("int")
 
 
 def plan_mix(rows: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most: float = 3.0) -> tuple[DataFrame, int]:
@@ -69,23 +69,23 @@ def plan_mix(rows: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most
     """
     n = rows.count()
     buckets = min(65_536, max(64, n // 2048))
-    sources = rows.groupBy("_tm_source").agg(F.sum("_tm_size").alias("n"), F.avg("_tm_weight").alias("rate"))
+    sources = rows.groupBy("_tm_source").agg(F.sum("_tm_size").alias("_tm_n"), F.avg("_tm_weight").alias("_tm_rate"))
     aims, _ = materialize(
         targets(sources, weights, most)
-        .withColumn("epochs", F.when(F.col("n") > 0, F.least(F.floor(F.col("target") / F.col("n")), F.lit(int(most)))).otherwise(0).cast("long"))
-        .withColumn("rest", F.col("target") - F.col("epochs") * F.col("n")),
+        .withColumn("_tm_epochs", F.when(F.col("_tm_n") > 0, F.least(F.floor(F.col("_tm_target") / F.col("_tm_n")), F.lit(int(most)))).otherwise(0).cast("long"))
+        .withColumn("_tm_rest", F.col("_tm_target") - F.col("_tm_epochs") * F.col("_tm_n")),
         "mix-targets",
     )
     placed = with_plan(rows, aims).withColumn("_tm_bucket", bucket_of(buckets))
     upto = Window.partitionBy("_tm_source").orderBy("_tm_bucket")
-    sums = placed.groupBy("_tm_source", "_tm_bucket", "rest").agg(F.sum("_tm_size").alias("s")).withColumn("upto", F.sum("s").over(upto))
-    crossing = sums.filter(F.col("upto") > F.col("rest")).groupBy("_tm_source").agg(F.min(F.struct("_tm_bucket", (F.col("upto") - F.col("s")).alias("before"))).alias("x")).select("_tm_source", F.col("x._tm_bucket").alias("cross"), F.col("x.before").alias("before"))
-    inside = placed.join(F.broadcast(crossing) if small(aims) else crossing, "_tm_source").filter(F.col("_tm_bucket") == F.col("cross"))
+    sums = placed.groupBy("_tm_source", "_tm_bucket", "_tm_rest").agg(F.sum("_tm_size").alias("s")).withColumn("upto", F.sum("s").over(upto))
+    crossing = sums.filter(F.col("upto") > F.col("_tm_rest")).groupBy("_tm_source").agg(F.min(F.struct("_tm_bucket", (F.col("upto") - F.col("s")).alias("_tm_before"))).alias("x")).select("_tm_source", F.col("x._tm_bucket").alias("_tm_cross"), F.col("x._tm_before").alias("_tm_before"))
+    inside = placed.join(F.broadcast(crossing) if small(aims) else crossing, "_tm_source").filter(F.col("_tm_bucket") == F.col("_tm_cross"))
     order = Window.partitionBy("_tm_source").orderBy("_tm_key", "_tm_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    until = F.col("before") + F.sum("_tm_size").over(order)
+    until = F.col("_tm_before") + F.sum("_tm_size").over(order)
     # the document in which the budget ends is taken if that brings the sum nearer to it
-    taken = inside.withColumn("until", until).filter(2 * F.col("until") - F.col("_tm_size") <= 2 * F.col("rest"))
-    cuts = taken.groupBy("_tm_source").agg(F.max(F.struct("_tm_key", "_tm_tie")).alias("cut"))
+    taken = inside.withColumn("until", until).filter(2 * F.col("until") - F.col("_tm_size") <= 2 * F.col("_tm_rest"))
+    cuts = taken.groupBy("_tm_source").agg(F.max(F.struct("_tm_key", "_tm_tie")).alias("_tm_cut"))
     plan, _ = materialize(aims.join(crossing, "_tm_source", "left").join(cuts, "_tm_source", "left"), "mix-plan")
     return plan, buckets
 
@@ -102,8 +102,8 @@ def with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
 def times(buckets: int) -> Column:
     """How often the mix takes a document: the epochs, and once more if its key comes before the source's cut."""
     here, key = bucket_of(buckets), F.struct("_tm_key", "_tm_tie")
-    extra = F.col("cross").isNull() | (here < F.col("cross")) | ((here == F.col("cross")) & F.col("cut").isNotNull() & (key <= F.col("cut")))
-    return F.col("epochs") + F.when(extra & (F.col("rest") > 0), 1).otherwise(0)
+    extra = F.col("_tm_cross").isNull() | (here < F.col("_tm_cross")) | ((here == F.col("_tm_cross")) & F.col("_tm_cut").isNotNull() & (key <= F.col("_tm_cut")))
+    return F.col("_tm_epochs") + F.when(extra & (F.col("_tm_rest") > 0), 1).otherwise(0)
 
 
 COLUMNS = ["_tm_source", "_tm_size", "_tm_weight", "_tm_key", "_tm_tie"]
@@ -117,7 +117,7 @@ def mix_report(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), mo
     """
     rows, _ = materialize(keyed(docs, seed, quality).select(F.col("doc_id").cast("long").alias("doc_id"), *COLUMNS), "mix-rows")
     plan, buckets = plan_mix(rows, weights, most)
-    return with_plan(rows, plan).select("doc_id", F.col("_tm_size").alias("size"), F.col("n").alias("source_size"), "target", (F.col("_tm_size") * times(buckets)).cast("long").alias("taken"))
+    return with_plan(rows, plan).select("doc_id", F.col("_tm_size").alias("size"), F.col("_tm_n").alias("source_size"), F.col("_tm_target").alias("target"), (F.col("_tm_size") * times(buckets)).cast("long").alias("taken"))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most: float = 3.0, seed: int = 11, quality: Column | None = None) -> DataFrame:

@@ -22,6 +22,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_report(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.simhash import simhash_report
+
+    return simhash_report(table(spark, sf_dir, "documents"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.mixing import mix_report
 
@@ -44,5 +50,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(counted, rows=docs.count())
 
 
-QUERIES = {f.__name__: f for f in (op4_token_counts, op8_source_mixing, op9_token_output, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op4_token_counts, op7_simhash_near_dedup, op8_source_mixing, op9_token_output, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}

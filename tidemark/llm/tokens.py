@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries of each of the two generations of a worker's cache.
-CACHE = 300_000
+CACHE = 500_000
 #: ASCII marks that may be cut from the end of a unit: the rest ends in a letter, so the marks are a piece of their own.
 MARKS = ".,;:!?"
 
@@ -101,11 +102,22 @@ class Units:
         if not self.known["units"] or not text or "\x00" in text or any(a in text for a in self.known["added"]):
             return None
         units = text.replace("\n", " \n").split(" ")
-        if len(text.split()) != len(units):
+        # a second newline is a unit of its own; longer runs, and newlines beside spaces, are pre-tokenised together
+        if "" in units or "\n " in text or "\n\n\n" in text or text.endswith("\n\n"):
             return None
         units[0] = "\x00" + units[0]
         return units
 
+    def unknown(self, units: list[list[str] | None]) -> list[str]:
+        """Units to tokenise. Texts with a unit that holds other white space are set to None; such units aren't cached."""
+        lost = self.cache.missing(set().union(*(u for u in units if u)))
+        spaces = {c for c in set("".join(lost)) if c.isspace()} - {"\n"}
+        if spaces:
+            bad = {u for u in lost if not spaces.isdisjoint(u)}
+            units[:] = [None if u is not None and not bad.isdisjoint(u) else u for u in units]
+            lost = [u for u in lost if u not in bad]
+        return lost
+
     @staticmethod
     def text_of(unit: str) -> str:
         return unit[1:] if unit[0] == "\x00" else unit if unit[0] == "\n" else " " + unit
@@ -122,34 +134,46 @@ class Units:
             yield part, [self.split(x) for x in part]
 
 
+def parts_of(lost: list[str], known: dict) -> tuple[list[str], list[tuple[str, str, str]]]:
+    """Units to tokenise as they are, and units that are a base plus closing marks, as (unit, base, marks).
+
+    A base ends in a letter, so the marks after it form a pre-token of their own and both parts can be looked up alone.
+    """
+    plain, marked = [], []
+    for u in lost:
+        base = u.rstrip(MARKS)
+        if base and len(base) < len(u) and base[-1].isalpha():
+            marked.append((u, base, u[len(base) :]))
+        else:
+            plain.append(u)
+    bases = {b for _, b, _ in marked}.difference(known)
+    return plain + list(bases.difference(plain)), marked
+
+
 class Encoder(Units):
     """Ids of whole texts as little-endian unsigned 32-bit integers."""
 
     def _bytes(self, texts: list[str]) -> Iterator[bytes]:
         from array import array
 
+        swap = sys.byteorder == "big"
         for e in self.tok.encode_batch_fast(texts, add_special_tokens=False):
             a = array("I", e.ids)
-            if os.sys.byteorder == "big":
+            if swap:
                 a.byteswap()
             yield a.tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         out = []
         for part, units in self.batches(texts):
-            keys = set().union(*(u for u in units if u))
-            lost = self.cache.missing(keys)
-            known, plain, tails = self.cache.young, [], []
-            for u in lost:
-                base = u.rstrip(MARKS)
-                (tails if base != u and base and base[-1].isalpha() and base in known else plain).append(u)
-            for u, b in zip(plain, self._bytes([self.text_of(u) for u in plain]), strict=True):
-                known[u] = b
-            marks = {u[len(u.rstrip(MARKS)) :] for u in tails}
-            ends = dict(zip(marks, self._bytes(list(marks)), strict=True))
-            for u in tails:
-                base = u.rstrip(MARKS)
-                known[u] = known[base] + ends[u[len(base) :]]
+            lost = self.unknown(units)
+            known = self.cache.young
+            plain, marked = parts_of(lost, known)
+            known.update(zip(plain, self._bytes([self.text_of(u) for u in plain]), strict=True))
+            marks = list({m for _, _, m in marked})
+            ends = dict(zip(marks, self._bytes(marks), strict=True))
+            for u, base, m in marked:
+                known[u] = known[base] + ends[m]
             whole = iter(list(self._bytes([t for t, u in zip(part, units, strict=True) if u is None])))
             get = known.__getitem__
             out.extend(next(whole) if u is None else b"".join(map(get, u)) for u in units)
@@ -165,8 +189,7 @@ class Counter(Units):
         import regex
 
         self.whole, self.pattern = frozenset(whole), regex.compile(public_tokenizers.PATTERN)
-        self.pieces, self.proved = Cache(), set(map(chr, range(128)))
-        self.refused: set[str] = set()
+        self.proved, self.refused = set(map(chr, range(128))), set()
 
     def prove(self, chars: set[str]) -> None:
         """Compare the class (letter, digit, space, other) the library and the pattern give to new characters."""
@@ -178,11 +201,7 @@ class Counter(Units):
     def __call__(self, texts: list[str]) -> list[int]:
         out = []
         for part, units in self.batches(texts):
-            lost = self.cache.missing(set().union(*(u for u in units if u)))
-            new = set("".join(lost)) - self.proved - self.refused
-            if new:
-                self.prove(new)
-            self._count(lost)
+            self._count(self.unknown(units))
             get = self.cache.young.__getitem__
             whole = [t for t, u in zip(part, units, strict=True) if u is None]
             counts = iter([len(e.ids) for e in self.tok.encode_batch_fast(whole, add_special_tokens=False)])
@@ -190,28 +209,38 @@ class Counter(Units):
         return out
 
     def _count(self, lost: list[str]) -> None:
-        known, whole, find = self.cache.young, self.whole, self.pattern.findall
-        rest: dict[str, list[str]] = {}
-        for u in lost:
-            t = self.text_of(u)
-            if not t.isascii() and self.refused and not self.refused.isdisjoint(t):
-                rest[u], known[u] = [t], 0
-                continue
-            n, left = 0, []
-            for p in find(t):
-                if p in whole:
-                    n += 1
-                else:
-                    left.append(p)
-            known[u] = n
-            if left:
-                rest[u] = left
-        wanted = self.pieces.missing({p for left in rest.values() for p in left})
-        merged = self.pieces.young
-        for p, e in zip(wanted, self.tok.encode_batch_fast(wanted, add_special_tokens=False), strict=True):
-            merged[p] = len(e.ids)
-        for u, left in rest.items():
-            known[u] += sum(map(merged.__getitem__, left))
+        known, whole = self.cache.young, self.whole
+        plain, marked = parts_of(lost, known)
+        new = set("".join(plain)) - self.proved - self.refused
+        if new:
+            self.prove(new)
+        self._pieces(plain, known, self.pattern.findall)
+        marks = {m: 1 if m in whole else None for _, _, m in marked}
+        self._pieces([m for m, n in marks.items() if n is None], marks, lambda t: [t], bare=True)
+        for u, base, m in marked:
+            known[u] = known[base] + marks[m]
+
+    def _pieces(self, units: list[str], known: dict, find, bare: bool = False) -> None:
+        """Counts units by their pre-tokens: whole ones are one token each, the rest go to the library in one batch."""
+        whole, refused = self.whole, self.refused
+        rest: list[str] = []
+        owner: list[str] = []
+        for u in units:
+            t = u if bare else self.text_of(u)
+            if t in whole:
+                known[u] = 1
+            elif t[1:].isalpha() or (refused and not refused.isdisjoint(t)):
+                known[u] = 0  # one pre-token that needs merging, or characters left to the library altogether
+                rest.append(t)
+                owner.append(u)
+            else:
+                pieces = find(t)
+                left = [p for p in pieces if p not in whole]
+                known[u] = len(pieces) - len(left)
+                rest.extend(left)
+                owner.extend([u] * len(left))
+        for u, e in zip(owner, self.tok.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            known[u] += len(e.ids)
 
 
 @lru_cache(maxsize=2)
