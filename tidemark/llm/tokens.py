@@ -12,7 +12,8 @@ from __future__ import annotations
 import json
 import os
 import sys
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Iterable
 from functools import lru_cache
 
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries of each of the two generations of a worker's cache.
-CACHE = 500_000
+CACHE = 400_000
 #: ASCII marks that may be cut from the end of a unit: the rest ends in a letter, so the marks are a piece of their own.
 MARKS = ".,;:!?"
 
@@ -70,32 +71,29 @@ def prove_whole_tokens(path: str) -> list[str]:
     return [s for (s, i), e in zip(strings, encoded, strict=True) if e.ids == [i] and len(split(s)) == 1]
 
 
-class Cache:
-    """A map in two generations: when the young one is full it becomes the old one, so memory stays bounded."""
+class Unkept(Exception):
+    """A unit that can't be looked up alone; its whole text goes to the library."""
 
-    def __init__(self, most: int = CACHE):
-        self.most, self.young, self.old = most, {}, {}
 
-    def missing(self, keys: set) -> list:
-        """Keys to compute; those of the old generation move to the young one."""
-        if len(self.young) + len(keys) > self.most:
-            self.old, self.young = self.young, {}
-        found, lost = self.old, []
-        for k in keys.difference(self.young):
-            v = found.get(k)
-            if v is None:
-                lost.append(k)
-            else:
-                self.young[k] = v
-        return lost
+class Units(dict):
+    """Splits texts into units and remembers a value for each; a lookup of a new unit computes it.
 
+    A unit's pre-tokens are merged by the library's BPE model one by one; the pattern that finds them is used only on characters
+    that the library's own pre-tokeniser has been seen to class alike (letter, digit, space, other). Values are
+    kept in two generations: when the young one is full it becomes the old one, so memory stays bounded.
+    """
 
-class Units:
-    """Splits texts into units that the cache knows."""
+    total = None
 
-    def __init__(self, path: str):
-        self.tok, self.known = library(path), layout(path)
-        self.cache = Cache()
+    def __init__(self, path: str, most: int = CACHE):
+        import public_tokenizers
+        import regex
+
+        super().__init__()
+        self.tok, self.known, self.most, self.old, self.ends = library(path), layout(path), most, {}, {}
+        self.model, self.find = self.tok.model, regex.compile(public_tokenizers.PATTERN).findall
+        self.stand_in = {b: c for c, b in byte_alphabet().items()}
+        self.proved, self.refused = set(map(chr, range(128))), set()
 
     def split(self, text: str) -> list[str] | None:
         """Units without their leading space (the first one marked by U+0000); None: give the text to the library."""
@@ -108,139 +106,101 @@ class Units:
         units[0] = "\x00" + units[0]
         return units
 
-    def unknown(self, units: list[list[str] | None]) -> list[str]:
-        """Units to tokenise. Texts with a unit that holds other white space are set to None; such units aren't cached."""
-        lost = self.cache.missing(set().union(*(u for u in units if u)))
-        spaces = {c for c in set("".join(lost)) if c.isspace()} - {"\n"}
-        if spaces:
-            bad = {u for u in lost if not spaces.isdisjoint(u)}
-            units[:] = [None if u is not None and not bad.isdisjoint(u) else u for u in units]
-            lost = [u for u in lost if u not in bad]
-        return lost
-
-    @staticmethod
-    def text_of(unit: str) -> str:
-        return unit[1:] if unit[0] == "\x00" else unit if unit[0] == "\n" else " " + unit
-
-    def batches(self, texts: list[str], chars: int = 2_000_000) -> Iterator[tuple[list[str], list]]:
-        part, size = [], 0
-        for t in texts:
-            part.append(t)
-            size += len(t)
-            if size >= chars:
-                yield part, [self.split(x) for x in part]
-                part, size = [], 0
-        if part:
-            yield part, [self.split(x) for x in part]
+    def safe(self, unit: str) -> bool:
+        """Whether the pattern is proved on all characters of the unit."""
+        if unit.isascii() or self.proved.issuperset(unit):
+            return True
+        split = self.tok.pre_tokenizer.pre_tokenize_str
+        for c in set(unit) - self.proved - self.refused:
+            same = all(len(split(a + c)) == len(self.find(a + c)) for a in "a1!")
+            (self.proved if same else self.refused).add(c)
+        return self.proved.issuperset(unit)
+
+    def mapped(self, piece: str) -> str:
+        """The piece in the printable stand-ins for its bytes."""
+        if piece.isascii() and piece.isprintable():
+            return piece.replace(" ", "\u0120")
+        return piece.encode().decode("latin-1").translate(self.stand_in)
+
+    def __missing__(self, unit: str):
+        value = self.old.get(unit)
+        if value is None:
+            base = unit.rstrip(MARKS)
+            if len(base) < len(unit) and base and base[-1].isalpha() and self.safe(base):
+                marks = unit[len(base) :]  # after a letter, a pre-token of their own
+                if marks not in self.ends:
+                    self.ends[marks] = self.piece_value(marks)
+                value = self[base] + self.ends[marks]
+            else:
+                value = self.unit_value(unit)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+            if len(self.ends) > self.most:
+                self.ends.clear()
+        self[unit] = value
+        return value
+
+    def unit_value(self, unit: str):
+        text = unit[1:] if unit[0] == "\x00" else unit if unit[0] == "\n" else " " + unit
+        if len(unit.split()) > 1 or unit[-1:].isspace() and unit != "\n" or unit.lstrip("\x00\n")[:1].isspace():
+            raise Unkept
+        if not self.safe(unit):
+            return self.library_value(text)
+        if unit.isalpha():
+            return self.piece_value(text)
+        return self.total([self.piece_value(p) for p in self.find(text)])
+
+    def library_value(self, text: str):
+        raise NotImplementedError
+
+    def piece_value(self, piece: str):
+        raise NotImplementedError
+
+    def __call__(self, texts: list[str]) -> list:
+        out, get, total = [], self.__getitem__, self.total
+        for text in texts:
+            units = self.split(text)
+            try:
+                out.append(self.library_value(text) if units is None else total(map(get, units)))
+            except Unkept:
+                out.append(self.library_value(text))
+        return out
 
 
-def parts_of(lost: list[str], known: dict) -> tuple[list[str], list[tuple[str, str, str]]]:
-    """Units to tokenise as they are, and units that are a base plus closing marks, as (unit, base, marks).
+class Encoder(Units):
+    """Ids of whole texts as little-endian unsigned 32-bit integers."""
 
-    A base ends in a letter, so the marks after it form a pre-token of their own and both parts can be looked up alone.
-    """
-    plain, marked = [], []
-    for u in lost:
-        base = u.rstrip(MARKS)
-        if base and len(base) < len(u) and base[-1].isalpha():
-            marked.append((u, base, u[len(base) :]))
-        else:
-            plain.append(u)
-    bases = {b for _, b, _ in marked}.difference(known)
-    return plain + list(bases.difference(plain)), marked
+    total = staticmethod(b"".join)
 
+    @staticmethod
+    def pack(ids: list[int]) -> bytes:
+        a = array("I", ids)
+        if sys.byteorder == "big":
+            a.byteswap()
+        return a.tobytes()
 
-class Encoder(Units):
-    """Ids of whole texts as little-endian unsigned 32-bit integers."""
+    def piece_value(self, piece: str) -> bytes:
+        return self.pack([t.id for t in self.model.tokenize(self.mapped(piece))])
 
-    def _bytes(self, texts: list[str]) -> Iterator[bytes]:
-        from array import array
-
-        swap = sys.byteorder == "big"
-        for e in self.tok.encode_batch_fast(texts, add_special_tokens=False):
-            a = array("I", e.ids)
-            if swap:
-                a.byteswap()
-            yield a.tobytes()
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for part, units in self.batches(texts):
-            lost = self.unknown(units)
-            known = self.cache.young
-            plain, marked = parts_of(lost, known)
-            known.update(zip(plain, self._bytes([self.text_of(u) for u in plain]), strict=True))
-            marks = list({m for _, _, m in marked})
-            ends = dict(zip(marks, self._bytes(marks), strict=True))
-            for u, base, m in marked:
-                known[u] = known[base] + ends[m]
-            whole = iter(list(self._bytes([t for t, u in zip(part, units, strict=True) if u is None])))
-            get = known.__getitem__
-            out.extend(next(whole) if u is None else b"".join(map(get, u)) for u in units)
-        return out
+    def library_value(self, text: str) -> bytes:
+        return self.pack(self.tok.encode(text, add_special_tokens=False).ids)
 
 
 class Counter(Units):
-    """Token counts: pre-tokens found in `whole` count one each, only the rest is merged by the library."""
+    """Token counts: pre-tokens found in `whole` count one each, only the rest is merged."""
+
+    total = staticmethod(sum)
 
     def __init__(self, path: str, whole: Iterable[str]):
         super().__init__(path)
-        import public_tokenizers
-        import regex
-
-        self.whole, self.pattern = frozenset(whole), regex.compile(public_tokenizers.PATTERN)
-        self.proved, self.refused = set(map(chr, range(128))), set()
+        self.whole = frozenset(whole)
 
-    def prove(self, chars: set[str]) -> None:
-        """Compare the class (letter, digit, space, other) the library and the pattern give to new characters."""
-        split, find = self.tok.pre_tokenizer.pre_tokenize_str, self.pattern.findall
-        for c in chars:
-            same = all(len(split(a + c)) == len(find(a + c)) for a in "a1!")
-            (self.proved if same else self.refused).add(c)
+    def piece_value(self, piece: str) -> int:
+        return 1 if piece in self.whole else len(self.model.tokenize(self.mapped(piece)))
 
-    def __call__(self, texts: list[str]) -> list[int]:
-        out = []
-        for part, units in self.batches(texts):
-            self._count(self.unknown(units))
-            get = self.cache.young.__getitem__
-            whole = [t for t, u in zip(part, units, strict=True) if u is None]
-            counts = iter([len(e.ids) for e in self.tok.encode_batch_fast(whole, add_special_tokens=False)])
-            out.extend(next(counts) if u is None else sum(map(get, u)) for u in units)
-        return out
-
-    def _count(self, lost: list[str]) -> None:
-        known, whole = self.cache.young, self.whole
-        plain, marked = parts_of(lost, known)
-        new = set("".join(plain)) - self.proved - self.refused
-        if new:
-            self.prove(new)
-        self._pieces(plain, known, self.pattern.findall)
-        marks = {m: 1 if m in whole else None for _, _, m in marked}
-        self._pieces([m for m, n in marks.items() if n is None], marks, lambda t: [t], bare=True)
-        for u, base, m in marked:
-            known[u] = known[base] + marks[m]
-
-    def _pieces(self, units: list[str], known: dict, find, bare: bool = False) -> None:
-        """Counts units by their pre-tokens: whole ones are one token each, the rest go to the library in one batch."""
-        whole, refused = self.whole, self.refused
-        rest: list[str] = []
-        owner: list[str] = []
-        for u in units:
-            t = u if bare else self.text_of(u)
-            if t in whole:
-                known[u] = 1
-            elif t[1:].isalpha() or (refused and not refused.isdisjoint(t)):
-                known[u] = 0  # one pre-token that needs merging, or characters left to the library altogether
-                rest.append(t)
-                owner.append(u)
-            else:
-                pieces = find(t)
-                left = [p for p in pieces if p not in whole]
-                known[u] = len(pieces) - len(left)
-                rest.extend(left)
-                owner.extend([u] * len(left))
-        for u, e in zip(owner, self.tok.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            known[u] += len(e.ids)
+    def library_value(self, text: str) -> int:
+        return len(self.tok.encode(text, add_special_tokens=False).ids)
 
 
 @lru_cache(maxsize=2)
