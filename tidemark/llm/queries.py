@@ -16,6 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.quality import quality_report
+
+    return quality_report(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.tokens import count_report
 
@@ -50,5 +56,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(counted, rows=docs.count())
 
 
-QUERIES = {f.__name__: f for f in (op4_token_counts, op7_simhash_near_dedup, op8_source_mixing, op9_token_output, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op4_token_counts, op7_simhash_near_dedup, op8_source_mixing, op9_token_output, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,18 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, most: int):
+    """While this holds, jobs hand Python at most so many rows at once: for texts, whose rows are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def discard(spark: SparkSession, *paths: str) -> None:
     """Delete scratch tables that nothing reads any more."""
     jvm = spark.sparkContext._jvm

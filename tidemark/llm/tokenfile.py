@@ -16,12 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import materialize, partitions, range_bounds, range_of
+from tidemark.llm.shared import arrow_rows, materialize, partitions, range_bounds, range_of
 from tidemark.llm.tokens import encoder
 
 MAGIC = b"DAC1"
 RANK_BYTES = 64
-SEGMENT_TOKENS = 1 << 19
+SEGMENT_TOKENS = 1 << 18
 SEGMENT_DOCS = 4096
 
 FILE_SCHEMA = "part int, segment long, doc_ids array<bigint>, lengths array<bigint>, n_tokens long, codes binary"
@@ -140,7 +140,8 @@ def write_token_file(docs: DataFrame, path: str, end_id: int = 2, rows_per_range
         if held:
             yield block()
 
-    return materialize(ordered.mapInArrow(run, FILE_SCHEMA), "tokens")
+    with arrow_rows(docs.sparkSession, 1000):
+        return materialize(ordered.mapInArrow(run, FILE_SCHEMA), "tokens")
 
 
 def read_token_file(file: DataFrame) -> DataFrame:
@@ -153,14 +154,15 @@ def read_token_file(file: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for row in b.to_pylist():
-                ids = Dac.from_bytes(row["codes"]).decode()
-                lengths = np.asarray(row["lengths"], dtype=np.int64)
+            for i in range(b.num_rows):
+                row = {k: b.column(j)[i] for j, k in enumerate(b.schema.names)}
+                ids = Dac.from_bytes(memoryview(row["codes"].as_buffer())).decode()
+                lengths = row["lengths"].values.to_numpy(zero_copy_only=False)
                 ends = np.cumsum(lengths)
                 data = memoryview(np.ascontiguousarray(ids, dtype="<u4")).cast("B")
                 crcs = [zlib.crc32(data[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["part"]] * len(ends), pa.int32()), pa.array([row["segment"]] * len(ends), pa.int64()), pa.array(row["doc_ids"], pa.int64()), pa.array(ends - lengths), pa.array(lengths), pa.array(crcs, pa.int64())],
+                    [pa.repeat(row["part"], len(ends)), pa.repeat(row["segment"], len(ends)), row["doc_ids"].values, pa.array(ends - lengths), pa.array(lengths), pa.array(crcs, pa.int64())],
                     names=["part", "segment", "doc_id", "at", "n_tokens", "ids_crc32"],
                 )
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries of each of the two generations of a worker's cache.
-CACHE = 400_000
+CACHE = 300_000
 #: ASCII marks that may be cut from the end of a unit: the rest ends in a letter, so the marks are a piece of their own.
 MARKS = ".,;:!?"
 
@@ -173,6 +173,9 @@ class Encoder(Units):
 
     total = staticmethod(b"".join)
 
+    def __init__(self, path: str):
+        super().__init__(path, CACHE // 2)  # values are bytes here
+
     @staticmethod
     def pack(ids: list[int]) -> bytes:
         a = array("I", ids)
