@@ -22,6 +22,12 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.fingerprints import fingerprint_report
+
+    return fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.tokens import count_report
 
@@ -56,5 +62,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(counted, rows=docs.count())
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op4_token_counts, op7_simhash_near_dedup, op8_source_mixing, op9_token_output, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_document_fingerprints, op4_token_counts, op7_simhash_near_dedup, op8_source_mixing, op9_token_output, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
