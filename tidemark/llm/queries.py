@@ -34,6 +34,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_report(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.passages import repeated_passages
+
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.simhash import simhash_report
 
@@ -62,5 +68,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(counted, rows=docs.count())
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_document_fingerprints, op4_token_counts, op7_simhash_near_dedup, op8_source_mixing, op9_token_output, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_document_fingerprints, op4_token_counts, op5_substring_dedup, op7_simhash_near_dedup, op8_source_mixing, op9_token_output, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
