@@ -11,8 +11,7 @@ from __future__ import annotations
 
 import json
 import os
-import sys
-from array import array
+import struct
 from collections.abc import Iterable
 from functools import lru_cache
 
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries of each of the two generations of a worker's cache.
-CACHE = 300_000
+CACHE = 600_000
 #: ASCII marks that may be cut from the end of a unit: the rest ends in a letter, so the marks are a piece of their own.
 MARKS = ".,;:!?"
 
@@ -125,14 +124,17 @@ class Units(dict):
     def __missing__(self, unit: str):
         value = self.old.get(unit)
         if value is None:
-            base = unit.rstrip(MARKS)
-            if len(base) < len(unit) and base and base[-1].isalpha() and self.safe(base):
-                marks = unit[len(base) :]  # after a letter, a pre-token of their own
-                if marks not in self.ends:
-                    self.ends[marks] = self.piece_value(marks)
-                value = self[base] + self.ends[marks]
+            if unit.isalpha():
+                value = self.word_value(unit)
             else:
-                value = self.unit_value(unit)
+                base = unit.rstrip(MARKS)
+                if len(base) < len(unit) and base.isalpha():
+                    marks = unit[len(base) :]  # after a letter, a pre-token of their own
+                    if marks not in self.ends:
+                        self.ends[marks] = self.piece_value(marks)
+                    value = (self[base] if self.safe(base) else self.unit_value(unit)) + (self.ends[marks] if self.safe(base) else self.nothing)
+                else:
+                    value = self.unit_value(unit)
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
@@ -141,20 +143,30 @@ class Units(dict):
         self[unit] = value
         return value
 
+    def word_value(self, word: str):
+        """A word of letters after a space is one pre-token."""
+        if word.isascii():
+            return self.mapped_value("\u0120" + word)
+        if not self.safe(word):
+            return self.library_value(" " + word)
+        return self.piece_value(" " + word)
+
     def unit_value(self, unit: str):
         text = unit[1:] if unit[0] == "\x00" else unit if unit[0] == "\n" else " " + unit
         if len(unit.split()) > 1 or unit[-1:].isspace() and unit != "\n" or unit.lstrip("\x00\n")[:1].isspace():
             raise Unkept
         if not self.safe(unit):
             return self.library_value(text)
-        if unit.isalpha():
-            return self.piece_value(text)
         return self.total([self.piece_value(p) for p in self.find(text)])
 
-    def library_value(self, text: str):
+    def piece_value(self, piece: str):
+        return self.mapped_value(self.mapped(piece))
+
+    def mapped_value(self, piece: str):
+        """Value of a pre-token in byte stand-ins."""
         raise NotImplementedError
 
-    def piece_value(self, piece: str):
+    def library_value(self, text: str):
         raise NotImplementedError
 
     def __call__(self, texts: list[str]) -> list:
@@ -171,36 +183,32 @@ class Units(dict):
 class Encoder(Units):
     """Ids of whole texts as little-endian unsigned 32-bit integers."""
 
-    total = staticmethod(b"".join)
+    total, nothing = staticmethod(b"".join), b""
 
     def __init__(self, path: str):
-        super().__init__(path, CACHE // 2)  # values are bytes here
-
-    @staticmethod
-    def pack(ids: list[int]) -> bytes:
-        a = array("I", ids)
-        if sys.byteorder == "big":
-            a.byteswap()
-        return a.tobytes()
+        super().__init__(path)
+        self.codes = [struct.pack("<I", i) for i in range(1 + max(self.tok.get_vocab().values(), default=0))]
+        self.tokenize = self.model.tokenize
 
-    def piece_value(self, piece: str) -> bytes:
-        return self.pack([t.id for t in self.model.tokenize(self.mapped(piece))])
+    def mapped_value(self, piece: str) -> bytes:
+        codes = self.codes
+        return b"".join([codes[t.id] for t in self.tokenize(piece)])
 
     def library_value(self, text: str) -> bytes:
-        return self.pack(self.tok.encode(text, add_special_tokens=False).ids)
+        return struct.pack(f"<{len(ids := self.tok.encode(text, add_special_tokens=False).ids)}I", *ids)
 
 
 class Counter(Units):
     """Token counts: pre-tokens found in `whole` count one each, only the rest is merged."""
 
-    total = staticmethod(sum)
+    total, nothing = staticmethod(sum), 0
 
     def __init__(self, path: str, whole: Iterable[str]):
         super().__init__(path)
-        self.whole = frozenset(whole)
+        self.whole, self.tokenize = frozenset(map(self.mapped, whole)), self.model.tokenize
 
-    def piece_value(self, piece: str) -> int:
-        return 1 if piece in self.whole else len(self.model.tokenize(self.mapped(piece)))
+    def mapped_value(self, piece: str) -> int:
+        return 1 if piece in self.whole else len(self.tokenize(piece))
 
     def library_value(self, text: str) -> int:
         return len(self.tok.encode(text, add_special_tokens=False).ids)
