@@ -28,6 +28,12 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.ann import search
+
+    return search(table(spark, sf_dir, "embeddings"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.tokens import count_report
 
@@ -68,5 +74,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(counted, rows=docs.count())
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_document_fingerprints, op4_token_counts, op5_substring_dedup, op7_simhash_near_dedup, op8_source_mixing, op9_token_output, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_document_fingerprints, op3_nearest_neighbours, op4_token_counts, op5_substring_dedup, op7_simhash_near_dedup, op8_source_mixing, op9_token_output, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
