@@ -46,6 +46,12 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.html import page_report
+
+    return page_report(table(spark, sf_dir, "pages"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.simhash import simhash_report
 
@@ -74,5 +80,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(counted, rows=docs.count())
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_document_fingerprints, op3_nearest_neighbours, op4_token_counts, op5_substring_dedup, op7_simhash_near_dedup, op8_source_mixing, op9_token_output, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_document_fingerprints, op3_nearest_neighbours, op4_token_counts, op5_substring_dedup, op6_html_extraction, op7_simhash_near_dedup, op8_source_mixing, op9_token_output, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
