@@ -128,13 +128,28 @@ def union(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             parent[:] = up
 
 
-def shard_links(shard: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def alike(sig: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether the signatures at a[i] and b[i] agree on enough of the bins in use. Two empty ones do."""
+    out = np.empty(len(a), bool)
+    for i in range(0, len(a), 8192):
+        x, y = sig[a[i : i + 8192]], sig[b[i : i + 8192]]
+        used = ((x | y) > 0).sum(axis=1)
+        out[i : i + 8192] = ((x == y) & (x > 0)).sum(axis=1) >= similarity * used
+    return out
+
+
+def shard_links(shard: np.ndarray, fp: np.ndarray, radius: int, sig: np.ndarray | None = None, similarity: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
     """A star for each connected group in each shard: (member, root) positions."""
     same = shard[1:] == shard[:-1]
     busy = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(shard) else np.zeros(0, bool)
     where = np.flatnonzero(busy)
     forest, parent = BkForest(shard[where], fp[where]), np.arange(len(where))
     for q, node in forest.hits(np.arange(len(where)), radius):
+        if sig is not None:
+            apart = parent[q] != parent[node]  # what is connected already needs no look
+            q, node = q[apart], node[apart]
+            true = alike(sig, where[q], where[node], similarity)
+            q, node = q[true], node[true]
         union(parent, q, node)
     member = np.flatnonzero(parent != np.arange(len(where)))
     return where[member], where[parent[member]]
@@ -146,72 +161,155 @@ def _bits(blocks: int, start: int = 0, stop: int = 64) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def _keys(fp: Column, radius: int, blocks: int) -> Column:
+def _keys(fp: Column, radius: int, blocks: int, band: Column) -> Column:
     """Shard keys: each choice of blocks - radius blocks with the bits in them; partners share at least one key."""
     spots, choices = _bits(blocks), list(combinations(range(blocks), blocks - radius))
     keys = []
     for i, choice in enumerate(choices):
         mask = sum(((1 << spots[c][1]) - 1) << spots[c][0] for c in choice)
         mask = mask - (1 << 64) if mask >> 63 else mask
-        keys.append(F.struct(F.lit(i).cast("int").alias("choice"), fp.bitwiseAND(F.lit(mask)).alias("bits")))
+        keys.append(F.struct((band * len(choices) + i).cast("int").alias("choice"), fp.bitwiseAND(F.lit(mask)).alias("bits")))
     return F.explode(F.array(*keys))
 
 
-def links(distinct: DataFrame, radius: int = 3, limit: int = SHARD_LIMIT, rows: int | None = None) -> DataFrame:
+def links(distinct: DataFrame, radius: int = 3, limit: int = SHARD_LIMIT, similarity: float = 0.0) -> DataFrame:
     """(u, v) bigints: spanning edges of the groups of fingerprints that links of at most `radius` bits connect.
 
-    distinct: a column fp without repeats. Shards that exceed the limit are dealt again with one block more
-    (longer keys, so smaller shards); with radius + 4 blocks they're searched as they are. Every link is found in
-    each case; no partner is dropped.
+    distinct: a column fp without repeats; with a column band, only fingerprints of one band are compared; with a
+    column sig, links also take the similarity. Shards that exceed the limit are dealt again with one block more (longer keys,
+    so smaller shards); with radius + 4 blocks they're searched as they are. Every link is found in each case; no partner
+    is dropped.
     """
-    n = distinct.count() if rows is None else rows
-    blocks = radius + (1 if n <= 1 << 22 else 2 if n <= 1 << 28 else 3)
-    todo, found = distinct.select("fp"), None
+    blocks, todo, found = radius + 1, distinct, None
+    band = F.col("band") if "band" in distinct.columns else F.lit(0)
     while True:
-        keyed = todo.select("fp", _keys(F.col("fp"), radius, blocks).alias("key"))
-        last = blocks >= radius + 4
-        crowded = None if last else keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select("key")
+        keyed = todo.select(*distinct.columns, _keys(F.col("fp"), radius, blocks, band).alias("key"))
+        crowded = None
+        if blocks < radius + 4:
+            crowded, _ = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select("key"), "crowded")
         again = crowded is not None and not crowded.isEmpty()
-        fit = keyed.join(crowded, "key", "left_anti") if again else keyed
-        part = _search(fit, radius)
+        part = _search(keyed.join(crowded, "key", "left_anti") if again else keyed, radius, similarity)
         found = part if found is None else found.unionByName(part)
         if not again:
             return found
-        todo, blocks = keyed.join(crowded, "key", "left_semi").select("fp").distinct(), blocks + 1
+        spots = ["fp", "band"] if "band" in distinct.columns else ["fp"]
+        todo, blocks = keyed.join(crowded, "key", "left_semi").dropDuplicates(spots).select(*distinct.columns), blocks + 1
+
 
+def _search(keyed: DataFrame, radius: int, similarity: float = 0.0) -> DataFrame:
+    """Spanning edges of each shard. With a column sig, a link also takes an estimated similarity of the signatures."""
+    spread, signed = partitions(keyed.sparkSession), "sig" in keyed.columns
+    names = ["choice", "bits", "fp", *(["sig"] if signed else [])]
+    ordered = keyed.select("key.choice", "key.bits", *names[2:]).repartition(spread, "choice", "bits").sortWithinPartitions("choice", "bits", "fp")
 
-def _search(keyed: DataFrame, radius: int) -> DataFrame:
-    spread = partitions(keyed.sparkSession)
-    ordered = keyed.select("key.choice", "key.bits", "fp").repartition(spread, "choice", "bits").sortWithinPartitions("choice", "bits", "fp")
+    def emit(rows: list[list]):
+        choice, bits, fp = (np.concatenate([r[i] for r in rows]) for i in range(3))
+        sig = np.frombuffer(b"".join(x for r in rows for x in r[3]), np.uint8).reshape(len(fp), -1) if signed else None
+        new = np.concatenate([[True], (choice[1:] != choice[:-1]) | (bits[1:] != bits[:-1])])
+        a, b = shard_links(np.cumsum(new), fp.view(np.uint64), radius, sig, similarity)
+        return pa.RecordBatch.from_arrays([pa.array(fp[a]), pa.array(fp[b])], names=["u", "v"])
 
     def run(batches):
         held: list = []
         size = 0
-
-        def emit(rows):
-            choice, bits, fp = (np.concatenate([r[i] for r in rows]) for i in range(3))
-            new = np.concatenate([[True], (choice[1:] != choice[:-1]) | (bits[1:] != bits[:-1])])
-            a, b = shard_links(np.cumsum(new), fp.view(np.uint64), radius)
-            return pa.RecordBatch.from_arrays([pa.array(fp[a]), pa.array(fp[b])], names=["u", "v"])
-
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            if signed:
+                rows.append(batch.column(3).to_pylist())
             held.append(rows)
             size += batch.num_rows
-            if size >= 100_000:  # search the shards that are complete, keep the last one
-                choice, bits, fp = (np.concatenate([r[i] for r in held]) for i in range(3))
-                cut = int(np.flatnonzero((choice != choice[-1]) | (bits != bits[-1]))[-1]) + 1 if (choice[0] != choice[-1] or bits[0] != bits[-1]) else 0
+            if size < 50_000:
+                continue
+            # search the shards that are complete and keep the last one; it ends somewhere in the newest batch or goes on
+            cut = int(np.count_nonzero((rows[0] != rows[0][-1]) | (rows[1] != rows[1][-1])))
+            if cut or held[0][0][0] != rows[0][-1] or held[0][1][0] != rows[1][-1]:
                 if cut:
-                    yield emit([(choice[:cut], bits[:cut], fp[:cut])])
-                held, size = [(choice[cut:], bits[cut:], fp[cut:])], len(fp) - cut
+                    done, held = [*held[:-1], [r[:cut] for r in rows]], [[r[cut:] for r in rows]]
+                else:
+                    whole = [h for h in held if h[0][-1] != rows[0][-1] or h[1][-1] != rows[1][-1]]
+                    edge = held[len(whole)]
+                    part = int(np.count_nonzero((edge[0] != rows[0][-1]) | (edge[1] != rows[1][-1])))
+                    done, held = [*whole, [r[:part] for r in edge]], [[r[part:] for r in edge], *held[len(whole) + 1 :]]
+                size = sum(len(h[0]) for h in held)
+                done = [h for h in done if len(h[0])]
+                if done:
+                    yield emit(done)
         if size:
-            yield emit(held)
+            yield emit([h for h in held if len(h[0])])
 
     return ordered.mapInArrow(run, "u long, v long")
 
 
+#: Bins of a one-permutation signature, a byte each; 0: empty.
+BINS = 256
+
+
+def signature(text: str | None, words: int = 5) -> tuple[bytes, int]:
+    """One-permutation signature of the text's distinct word shingles, and their number.
+
+    Each shingle falls into one bin by its hash and each bin keeps a byte of its least one, so of two texts the share of equal
+    bins among those in use estimates the Jaccard similarity of their shingle sets.
+    """
+    from tidemark.llm.passages import Hashes, split
+
+    parts = split(text)
+    if not parts:
+        return bytes(BINS), 0
+    h = np.unique(Hashes(parts).runs(min(words, len(parts))))
+    place = (h >> np.uint64(56)).astype(np.intp)
+    first = np.concatenate([[True], place[1:] != place[:-1]])  # hashes are sorted, so the first of a bin is its least
+    out = np.zeros(BINS, np.uint8)
+    out[place[first]] = (h[first] >> np.uint64(20)).astype(np.uint64) % np.uint64(255) + np.uint64(1)
+    return out.tobytes(), len(h)
+
+
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int = 5, radius: int = 10, limit: int = 4096) -> DataFrame:
+    """doc_id, component_id: documents that links of an estimated shingle similarity of `similarity` or more connect.
+
+    Wider than near_groups: pairs within `radius` bits of SimHash whose numbers of shingles allow the similarity are candidates
+    (unrelated texts differ in some 32 bits; at 0.8 nearly all pairs are within 10), and the candidates' signatures must bear them
+    out. Texts with equal fingerprints are one class. Nulls, repeated rows and empty tables as in near_groups.
+    """
+
+    def run(batches):
+        for b in batches:
+            texts = b.column(1).to_pylist()
+            fp = np.array([simhash(t) for t in texts], dtype=np.uint64).view(np.int64)
+            signed = [signature(t, words) for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64()), pa.array([x[1] for x in signed], pa.int32()), pa.array([x[0] for x in signed], pa.binary())], names=["doc_id", "fp", "shingles", "sig"])
+
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    marks, _ = materialize(slim.mapInArrow(run, "doc_id long, fp long, shingles int, sig binary"), "marks")
+    classes, _ = materialize(marks.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "shingles", "sig")).alias("s")).select("fp", "least", "s.shingles", "s.sig"), "mark-classes")
+    # sizes whose ratio allows the similarity lie in one band or two neighbouring ones
+    band = F.floor(F.log(F.greatest(F.col("shingles"), F.lit(1)).cast("double")) / F.log(F.lit(1 / similarity))).cast("int")
+    banded = classes.select("fp", "sig", F.explode(F.array(band, band + 1)).alias("band"))
+    near = links(banded.select("fp", "band"), radius, limit)
+    flagged, _ = materialize(near.select(F.explode(F.array("u", "v")).alias("fp")).distinct(), "mark-candidates")
+    edges = links(banded.join(flagged, "fp"), radius, limit, similarity=similarity)
+    return _named(marks.select("doc_id", "fp"), classes.select("fp", "least"), edges).select("doc_id", "component_id")
+
+
+def _named(marks: DataFrame, classes: DataFrame, edges: DataFrame) -> DataFrame:
+    reached = components(edges)
+    stars = reached.unionByName(reached.select(F.col("root").alias("node"), "root").distinct())
+    named = stars.join(classes, F.col("node") == F.col("fp")).groupBy("root").agg(F.min("least").alias("component"))
+    linked = stars.join(named, "root").select(F.col("node").alias("fp"), "component")
+    ids = classes.join(linked, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
+    return marks.join(ids, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
+    """The document of smallest doc_id of each near-duplicate group, with the columns of docs. Null doc_ids all stay."""
+    groups = near_duplicates(docs, similarity, words)
+    gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("_tm_gone")).distinct()
+    kept = docs.join(gone, docs["doc_id"].cast("long") == F.col("_tm_gone"), "left_anti")
+    again = groups.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").limit(1)
+    return kept if again.isEmpty() else kept.filter("doc_id IS NULL").unionByName(kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+
+
 def near_groups(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     """doc_id, fp, component_id of every document; component_id is the smallest doc_id its links reach.
 
@@ -220,12 +318,7 @@ def near_groups(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     """
     marks, _ = materialize(fingerprints(docs, words), "simhash")
     classes, _ = materialize(marks.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "simhash-classes")
-    reached = components(links(classes))
-    stars = reached.unionByName(reached.select(F.col("root").alias("node"), "root").distinct())
-    named = stars.join(classes, F.col("node") == F.col("fp")).groupBy("root").agg(F.min("least").alias("component"))
-    linked = stars.join(named, "root").select(F.col("node").alias("fp"), "component")
-    ids = classes.join(linked, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
-    return marks.join(ids, "fp").select("doc_id", "fp", "component_id")
+    return _named(marks, classes, links(classes))
 
 
 def simhash_report(docs: DataFrame) -> DataFrame:
