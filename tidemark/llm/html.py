@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import partitions
+from tidemark.llm.shared import lean, partitions, small_batches
 
 #: Pages of a host that share one template.
 GROUP_PAGES = 1000
@@ -276,6 +276,7 @@ def page_report(pages: DataFrame, group_pages: int = GROUP_PAGES) -> DataFrame:
     stay; an empty table gives an empty result. Only hosts above the group size are listed to deal their pages.
     """
     spark = pages.sparkSession
+    small_batches(spark)
     slim = pages.select("page_id", "url", F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), host_of(F.col("url")).alias("host"))
     large = pages.select(host_of(F.col("url")).alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group_pages).select("host", F.ceil(F.col("n") / group_pages).alias("groups"))
     groups = F.broadcast(large) if large.limit(100_001).count() <= 100_000 else large
@@ -307,4 +308,4 @@ def page_report(pages: DataFrame, group_pages: int = GROUP_PAGES) -> DataFrame:
         if held:
             yield done()
 
-    return ordered.mapInArrow(run, schema)
+    return ordered.mapInArrow(lean(run), schema)

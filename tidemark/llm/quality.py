@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import lean, small_batches
+
 
 #: The scorer is fitted on at most this many documents, chosen by a hash of their id.
 SAMPLE_ROWS = 3000
@@ -199,6 +201,7 @@ class Classifier:
 
 
 def _slim(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
@@ -211,7 +214,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Classifier:
             yield pa.RecordBatch.from_arrays([pa.array(codes, pa.int32())], names=["pattern"])
 
     slim = _slim(docs).filter(F.col("text") != "")
-    counted = slim.select("text").mapInArrow(vote, "pattern int").groupBy("pattern").count().collect()  # at most 3^9 rows
+    counted = slim.select("text").mapInArrow(lean(vote), "pattern int").groupBy("pattern").count().collect()  # at most 3^9 rows
     patterns = sorted((r["pattern"], r["count"]) for r in counted)
     table = np.array([votes_of(c) for c, _ in patterns], dtype=np.int64).reshape(-1, len(LABELLERS))
     labels = fit_labels(table, np.array([n for _, n in patterns], dtype=np.float64))
@@ -228,7 +231,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Classifier:
             codes = [pattern_of(votes(statistics(t)[1])) for t in texts]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(codes, pa.int32()), pa.array(rows, pa.binary())], names=["doc_id", "draw", "pattern", "x"])
 
-    rows = chosen.mapInArrow(extract, "doc_id long, draw long, pattern int, x binary").orderBy("draw", "doc_id", "x").limit(sample_rows).collect()
+    rows = chosen.mapInArrow(lean(extract), "doc_id long, draw long, pattern int, x binary").orderBy("draw", "doc_id", "x").limit(sample_rows).collect()
     x = np.array([np.frombuffer(r["x"], np.float32) for r in rows]).reshape(-1, TRIGRAMS + BINS)
     p = labels.posterior(np.array([votes_of(r["pattern"]) for r in rows], dtype=np.int64).reshape(-1, len(LABELLERS)))
     weights, bias = fit_scorer(x, p)
@@ -261,12 +264,13 @@ def judge(docs: DataFrame, model: Classifier) -> DataFrame:
                 chance.append(float(1 / (1 + np.exp(-np.clip(z, -60, 60)))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(post, pa.float64()), pa.array(chance, pa.float64())], names=["doc_id", "posterior", "score"])
 
-    scored = _slim(docs).mapInArrow(run, "doc_id long, posterior double, score double")
+    scored = _slim(docs).mapInArrow(lean(run), "doc_id long, posterior double, score double")
     return scored.withColumn("keep", F.col("score") >= 0.5)
 
 
 def keep_good(docs: DataFrame, model: Classifier | None = None) -> DataFrame:
     """The documents that the classifier keeps, with the columns of docs, in one pass beside the text."""
+    small_batches(docs.sparkSession)
     model = model or fit(docs)
     w, b = model.weights, model.bias
     place = docs.columns.index("text")
@@ -277,7 +281,7 @@ def keep_good(docs: DataFrame, model: Classifier | None = None) -> DataFrame:
             good = [bool(t) and not t.isspace() and score(t, w, b) >= 0.0 for t in texts]
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def quality_report(docs: DataFrame) -> DataFrame:

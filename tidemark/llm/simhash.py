@@ -18,12 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import materialize, partitions
+from tidemark.llm.shared import lean, materialize, partitions, small_batches
 
 SEED = 42
 #: Shards above this many fingerprints are dealt again by the bits that remain.
 SHARD_LIMIT = 200_000
-FRONTIER = 1 << 19
+FRONTIER = 1 << 18
 
 
 def simhash(text: str | None, words: int = 3, seed: int = SEED) -> int:
@@ -53,12 +53,14 @@ def simhash(text: str | None, words: int = 3, seed: int = SEED) -> int:
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """doc_id and fp (the fingerprint's bits as a bigint) of every document."""
 
+    small_batches(docs.sparkSession)
+
     def run(batches):
         for b in batches:
             fp = np.array([simhash(t, words) for t in b.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(lean(run), "doc_id long, fp long")
 
 
 def hex_of(fp: Column) -> Column:
@@ -239,7 +241,7 @@ def _search(keyed: DataFrame, radius: int, similarity: float = 0.0) -> DataFrame
         if size:
             yield emit([h for h in held if len(h[0])])
 
-    return ordered.mapInArrow(run, "u long, v long")
+    return ordered.mapInArrow(lean(run), "u long, v long")
 
 
 #: Bins of a one-permutation signature, a byte each; 0: empty.
@@ -273,6 +275,8 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int = 5, ra
     out. Texts with equal fingerprints are one class. Nulls, repeated rows and empty tables as in near_groups.
     """
 
+    small_batches(docs.sparkSession)
+
     def run(batches):
         for b in batches:
             texts = b.column(1).to_pylist()
@@ -281,7 +285,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int = 5, ra
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64()), pa.array([x[1] for x in signed], pa.int32()), pa.array([x[0] for x in signed], pa.binary())], names=["doc_id", "fp", "shingles", "sig"])
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marks, _ = materialize(slim.mapInArrow(run, "doc_id long, fp long, shingles int, sig binary"), "marks")
+    marks, _ = materialize(slim.mapInArrow(lean(run), "doc_id long, fp long, shingles int, sig binary"), "marks")
     classes, _ = materialize(marks.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "shingles", "sig")).alias("s")).select("fp", "least", "s.shingles", "s.sig"), "mark-classes")
     # sizes whose ratio allows the similarity lie in one band or two neighbouring ones
     band = F.floor(F.log(F.greatest(F.col("shingles"), F.lit(1)).cast("double")) / F.log(F.lit(1 / similarity))).cast("int")

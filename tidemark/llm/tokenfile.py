@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import arrow_rows, materialize, partitions, range_bounds, range_of
+from tidemark.llm.shared import lean, materialize, partitions, range_bounds, range_of, small_batches
 from tidemark.llm.tokens import encoder
 
 MAGIC = b"DAC1"
@@ -140,8 +140,8 @@ def write_token_file(docs: DataFrame, path: str, end_id: int = 2, rows_per_range
         if held:
             yield block()
 
-    with arrow_rows(docs.sparkSession, 1000):
-        return materialize(ordered.mapInArrow(run, FILE_SCHEMA), "tokens")
+    small_batches(docs.sparkSession)
+    return materialize(ordered.mapInArrow(lean(run), FILE_SCHEMA), "tokens")
 
 
 def read_token_file(file: DataFrame) -> DataFrame:
@@ -166,5 +166,5 @@ def read_token_file(file: DataFrame) -> DataFrame:
                     names=["part", "segment", "doc_id", "at", "n_tokens", "ids_crc32"],
                 )
 
-    read = file.select("part", "segment", "doc_ids", "lengths", "codes").mapInArrow(run, "part int, segment long, doc_id long, at long, n_tokens long, ids_crc32 long")
+    read = file.select("part", "segment", "doc_ids", "lengths", "codes").mapInArrow(lean(run), "part int, segment long, doc_id long, at long, n_tokens long, ids_crc32 long")
     return read.join(starts, ["part", "segment"]).select("doc_id", (F.col("part_start") + F.col("segment_start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")

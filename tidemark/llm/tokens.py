@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import lean, small_batches
+
 #: Entries of each of the two generations of a worker's cache.
 CACHE = 600_000
 #: ASCII marks that may be cut from the end of a unit: the rest ends in a letter, so the marks are a piece of their own.
@@ -205,6 +207,7 @@ class Counter(Units):
 
     def __init__(self, path: str, whole: Iterable[str]):
         super().__init__(path)
+        self.most = CACHE // 2
         self.whole, self.tokenize = frozenset(map(self.mapped, whole)), self.model.tokenize
 
     def mapped_value(self, piece: str) -> int:
@@ -237,6 +240,7 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", out: str = "n_tok
     Other columns pass through; one already named `out` is replaced. Repeated rows stay repeated, an empty table gives
     an empty one. The broadcast is bounded by the vocabulary.
     """
+    small_batches(df.sparkSession)
     base = df.drop(out)
     whole = df.sparkSession.sparkContext.broadcast(prove_whole_tokens(path))
     schema = base.withColumn(out, F.lit(0).cast("bigint")).schema
@@ -247,11 +251,12 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", out: str = "n_tok
             texts = [t or "" for t in b.column(b.schema.get_field_index(text)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(count(texts), pa.int64())], names=[*b.schema.names, out])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(lean(run), schema)
 
 
 def count_report(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     """doc_id, n_bytes (UTF-8), n_tokens, over_limit for every document; only the two columns it needs travel."""
+    small_batches(docs.sparkSession)
     slim = docs.select("doc_id", "text")
     schema = "doc_id long, n_bytes long, n_tokens long"
     whole = docs.sparkSession.sparkContext.broadcast(prove_whole_tokens(path))
@@ -265,5 +270,5 @@ def count_report(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
             sizes = pc.cast(pc.binary_length(text), pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), sizes, pa.array(count(text.to_pylist()), pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
-    counted = slim.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    counted = slim.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(lean(run), schema)
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
