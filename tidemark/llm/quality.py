@@ -134,7 +134,7 @@ def fit_labels(votes: np.ndarray, counts: np.ndarray, rounds: int = 100, prior_s
         chances /= chances.sum(axis=2, keepdims=True)
         model = LabelModel(float((total[1] + 1) / (total.sum() + 2)), chances)
         new = model.posterior(votes)
-        if np.abs(new - p).max() < 1e-9:
+        if not len(p) or np.abs(new - p).max() < 1e-9:
             break
         p = new
     return model
