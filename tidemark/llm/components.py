@@ -20,19 +20,18 @@ def components(edges: DataFrame) -> DataFrame:
     node's smallest neighbour, by aggregation and join alone, so a star of any size is pre-aggregated and never gathered.
     """
     spark = edges.sparkSession
-    now, path = materialize(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    now, path = materialize(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges", small=True)
     mark = _mark(now)
     while mark[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        large, mid = materialize(large, "large-star")
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(smallest, "u")
         star = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(smallest.select("u", F.col("m").alias("v"))).distinct()
-        after, new = materialize(star, "small-star")
+        after, new = materialize(star, "stars", small=True)
         after_mark = _mark(after)
-        discard(spark, path, mid)
+        discard(spark, path)
         now, path = after, new
         if after_mark == mark:
             break

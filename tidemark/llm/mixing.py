@@ -75,6 +75,7 @@ def plan_mix(rows: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most
         .withColumn("_tm_epochs", F.when(F.col("_tm_n") > 0, F.least(F.floor(F.col("_tm_target") / F.col("_tm_n")), F.lit(int(most)))).otherwise(0).cast("long"))
         .withColumn("_tm_rest", F.col("_tm_target") - F.col("_tm_epochs") * F.col("_tm_n")),
         "mix-targets",
+        small=True,
     )
     placed = with_plan(rows, aims).withColumn("_tm_bucket", bucket_of(buckets))
     upto = Window.partitionBy("_tm_source").orderBy("_tm_bucket")
@@ -86,7 +87,7 @@ def plan_mix(rows: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most
     # the document in which the budget ends is taken if that brings the sum nearer to it
     taken = inside.withColumn("until", until).filter(2 * F.col("until") - F.col("_tm_size") <= 2 * F.col("_tm_rest"))
     cuts = taken.groupBy("_tm_source").agg(F.max(F.struct("_tm_key", "_tm_tie")).alias("_tm_cut"))
-    plan, _ = materialize(aims.join(crossing, "_tm_source", "left").join(cuts, "_tm_source", "left"), "mix-plan")
+    plan, _ = materialize(aims.join(crossing, "_tm_source", "left").join(cuts, "_tm_source", "left"), "mix-plan", small=True)
     return plan, buckets
 
 

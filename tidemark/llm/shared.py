@@ -24,9 +24,14 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Write df as Parquet into the shared folder and read it back: cuts lineage and survives lost executors."""
+def materialize(df: DataFrame, name: str, small: bool = False) -> tuple[DataFrame, str]:
+    """Write df as Parquet into the shared folder and read it back: cuts lineage and survives lost executors.
+
+    small: a table of few bytes for its number of partitions; it is written in about two files a core.
+    """
     spark = df.sparkSession
+    if small:
+        df = df.coalesce(max(2, 2 * spark.sparkContext.defaultParallelism))
     path = f"{scratch_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path

@@ -188,7 +188,7 @@ def links(distinct: DataFrame, radius: int = 3, limit: int = SHARD_LIMIT, simila
         keyed = todo.select(*distinct.columns, _keys(F.col("fp"), radius, blocks, band).alias("key"))
         crowded = None
         if blocks < radius + 4:
-            crowded, _ = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select("key"), "crowded")
+            crowded, _ = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select("key"), "crowded", small=True)
         again = crowded is not None and not crowded.isEmpty()
         part = _search(keyed.join(crowded, "key", "left_anti") if again else keyed, radius, similarity)
         found = part if found is None else found.unionByName(part)
@@ -286,12 +286,12 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int = 5, ra
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     marks, _ = materialize(slim.mapInArrow(lean(run), "doc_id long, fp long, shingles int, sig binary"), "marks")
-    classes, _ = materialize(marks.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "shingles", "sig")).alias("s")).select("fp", "least", "s.shingles", "s.sig"), "mark-classes")
+    classes, _ = materialize(marks.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "shingles", "sig")).alias("s")).select("fp", "least", "s.shingles", "s.sig"), "mark-classes", small=True)
     # sizes whose ratio allows the similarity lie in one band or two neighbouring ones
     band = F.floor(F.log(F.greatest(F.col("shingles"), F.lit(1)).cast("double")) / F.log(F.lit(1 / similarity))).cast("int")
     banded = classes.select("fp", "sig", F.explode(F.array(band, band + 1)).alias("band"))
     near = links(banded.select("fp", "band"), radius, limit)
-    flagged, _ = materialize(near.select(F.explode(F.array("u", "v")).alias("fp")).distinct(), "mark-candidates")
+    flagged, _ = materialize(near.select(F.explode(F.array("u", "v")).alias("fp")).distinct(), "mark-candidates", small=True)
     edges = links(banded.join(flagged, "fp"), radius, limit, similarity=similarity)
     return _named(marks.select("doc_id", "fp"), classes.select("fp", "least"), edges).select("doc_id", "component_id")
 
@@ -321,7 +321,7 @@ def near_groups(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     name a component (a component of nulls only has a null id). Repeated rows stay; an empty table gives an empty one.
     """
     marks, _ = materialize(fingerprints(docs, words), "simhash")
-    classes, _ = materialize(marks.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "simhash-classes")
+    classes, _ = materialize(marks.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "simhash-classes", small=True)
     return _named(marks, classes, links(classes))
 
 
