@@ -67,7 +67,15 @@ class Page:
 
 
 def _names(attributes: dict[str, str]) -> list[str]:
-    return [t for t in re.split(r"[^a-z]+", f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()) if t]
+    """Words of class and id; what follows has, with, no or without only tells of other elements."""
+    found = []
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
+        for word in re.split(r"[^a-z]+", name):
+            if word in ("has", "with", "no", "without"):
+                break
+            if word:
+                found.append(word)
+    return found
 
 
 def parse(source: str) -> Page:

@@ -302,6 +302,7 @@ def _named(marks: DataFrame, classes: DataFrame, edges: DataFrame) -> DataFrame:
     named = stars.join(classes, F.col("node") == F.col("fp")).groupBy("root").agg(F.min("least").alias("component"))
     linked = stars.join(named, "root").select(F.col("node").alias("fp"), "component")
     ids = classes.join(linked, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
+    ids, _ = materialize(ids, "near-ids", small=True)  # so that the last join has a shuffle on either side, which hot fingerprints can split
     return marks.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
