@@ -70,3 +70,8 @@ def test_large_hosts_are_split(spark):
     rows = [(i, "http://one.host/x", f"<article><p>page {i} text</p></article>") for i in range(50)]
     got = {r.page_id: r.text for r in page_report(spark.createDataFrame(rows, "page_id long, url string, html string"), group_pages=7).collect()}
     assert got == {i: f"page {i} text" for i in range(50)}
+
+
+def test_names_that_tell_of_other_elements():
+    page = '<body class="has-sidebar"><div class="content-with-sidebar"><p>kept</p></div><div class="main-sidebar"><p>gone</p></div></body>'
+    assert extract([page]) == ["kept"]
