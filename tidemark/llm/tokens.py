@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared import lean, small_batches
 
-#: Entries of each of the two generations of a worker's cache.
-CACHE = 600_000
+#: Entries of each of the two generations of a worker's cache of ids; counts keep half as many.
+CACHE = 700_000
 #: ASCII marks that may be cut from the end of a unit: the rest ends in a letter, so the marks are a piece of their own.
 MARKS = ".,;:!?"
 
@@ -96,6 +96,10 @@ class Units(dict):
         self.stand_in = {b: c for c, b in byte_alphabet().items()}
         self.proved, self.refused = set(map(chr, range(128))), set()
 
+    def start(self) -> None:
+        """The values of closing marks, once the class can give values."""
+        self.ends = {m: self.piece_value(m) for m in MARKS} if self.known["units"] else {}
+
     def split(self, text: str) -> list[str] | None:
         """Units without their leading space (the first one marked by U+0000); None: give the text to the library."""
         if not self.known["units"] or not text or "\x00" in text or any(a in text for a in self.known["added"]):
@@ -129,19 +133,14 @@ class Units(dict):
             if unit.isalpha():
                 value = self.word_value(unit)
             else:
-                base = unit.rstrip(MARKS)
-                if len(base) < len(unit) and base.isalpha():
-                    marks = unit[len(base) :]  # after a letter, a pre-token of their own
-                    if marks not in self.ends:
-                        self.ends[marks] = self.piece_value(marks)
-                    value = (self[base] if self.safe(base) else self.unit_value(unit)) + (self.ends[marks] if self.safe(base) else self.nothing)
+                base, mark = unit[:-1], unit[-1]
+                if mark in MARKS and base.isalpha() and self.safe(base):
+                    value = self[base] + self.ends[mark]  # after a letter, a mark at the end is a pre-token of its own
                 else:
                     value = self.unit_value(unit)
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
-            if len(self.ends) > self.most:
-                self.ends.clear()
         self[unit] = value
         return value
 
@@ -185,12 +184,13 @@ class Units(dict):
 class Encoder(Units):
     """Ids of whole texts as little-endian unsigned 32-bit integers."""
 
-    total, nothing = staticmethod(b"".join), b""
+    total = staticmethod(b"".join)
 
     def __init__(self, path: str):
         super().__init__(path)
         self.codes = [struct.pack("<I", i) for i in range(1 + max(self.tok.get_vocab().values(), default=0))]
         self.tokenize = self.model.tokenize
+        self.start()
 
     def mapped_value(self, piece: str) -> bytes:
         codes = self.codes
@@ -203,12 +203,13 @@ class Encoder(Units):
 class Counter(Units):
     """Token counts: pre-tokens found in `whole` count one each, only the rest is merged."""
 
-    total, nothing = staticmethod(sum), 0
+    total = staticmethod(sum)
 
     def __init__(self, path: str, whole: Iterable[str]):
         super().__init__(path)
         self.most = CACHE // 2
         self.whole, self.tokenize = frozenset(map(self.mapped, whole)), self.model.tokenize
+        self.start()
 
     def mapped_value(self, piece: str) -> int:
         return 1 if piece in self.whole else len(self.tokenize(piece))
