@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.registry import apply_chain
 from tidemark.functions.timing import parse_duration
+from tidemark.operators import audit
 from tidemark.operators.apply import fold, rejected
-from tidemark.plans.spec import PipelineSpec
-from tidemark.sources.envelope import stream_log
+from tidemark.operators.filters import CaptureFilter
+from tidemark.plans.spec import PipelineSpec, TableSpec
+from tidemark.sources.envelope import snapshot, stream_log
 from tidemark.streaming.tables import AppendLog, ControlTable, VersionedTable
 
 
@@ -27,7 +29,9 @@ class Sink:
     batch counts as done.
     """
 
-    def __init__(self, spark: SparkSession, spec: PipelineSpec, sink_id: str, root: str, sleep: Callable[[float], None] = time.sleep):
+    def __init__(self, spark: SparkSession, spec: PipelineSpec, sink_id: str, root: str, sleep: Callable[[float], None] = time.sleep, capture: CaptureFilter | None = None):
+        """capture: audit the events of the filter before and after transformation."""
+        self.capture = capture
         self.spark, self.spec, self.sink_id, self.sleep = spark, spec.resolved().check(), sink_id, sleep
         self.root = f"{root.rstrip('/')}/{spec.id}/{sink_id}"
         self.dead, self.acks = AppendLog(spark, f"{self.root}/dead_letters"), AppendLog(spark, f"{self.root}/acks")
@@ -69,6 +73,8 @@ class Sink:
 
     def _write(self, batch: DataFrame, batch_id: int) -> None:
         passed, _ = apply_chain(batch, self.spec.processors)
+        if self.capture is not None:
+            self._audit(batch, passed, batch_id)
         bad = [rejected(passed.filter((F.col("table_schema") == t.ref.schema) & (F.col("table_name") == t.ref.table)), list(t.keys)) for t in self.spec.tables]
         dead = bad[0]
         for more in bad[1:]:
@@ -76,6 +82,12 @@ class Sink:
         self.dead.append(dead, batch_id)
         self.apply(passed.withColumn("batch_id", F.lit(batch_id).cast("bigint")), batch_id)
 
+    def _audit(self, batch: DataFrame, passed: DataFrame, batch_id: int) -> None:
+        first = audit.before(batch, self.capture)
+        second = audit.after(passed, first) if self.capture.takes("after") else None
+        rows = first if second is None else audit.mark_filtered(first, second).unionByName(second)
+        AppendLog(self.spark, f"{self.root}/audit").append(rows, batch_id)
+
     def _retry(self, run: Callable[[], None]) -> None:
         base, cap = parse_duration(self.spec.retry_base) / 1e9, parse_duration(self.spec.retry_cap) / 1e9
         attempt = 0
@@ -126,6 +138,16 @@ def run_all(spark: SparkSession, spec: PipelineSpec, log: str, root: str, files_
         q.awaitTermination()
 
 
+def add_table(sink: Sink, source: DataFrame, table: TableSpec, from_batch: int) -> None:
+    """Brings a table that joins a running pipeline up to date: its snapshot first, then the stream goes on from a batch.
+
+    The snapshot counts as the batch before from_batch, so events that the stream delivers again only repeat what it holds.
+    """
+    rows = snapshot(source, table.ref.schema, table.ref.table, list(table.keys))
+    filled = rows.select("table_schema", "table_name", "op", "lsn", F.lit(0).cast("bigint").alias("seq"), "data", F.create_map().cast("map<string,string>").alias("column_kinds"), F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(from_batch - 1).cast("bigint").alias("batch_id"))
+    sink.table(table.name).replace(fold(filled, table.keys, table.columns), from_batch - 1)
+
+
 def barrier_segments(events: DataFrame) -> DataFrame:
     """Numbers the stretches between schema changes, so that what comes before one is applied before it.
 
