@@ -125,7 +125,7 @@ def text_of(cells: Column) -> Column:
     return F.array_join(F.transform(cells, lambda x: F.concat(F.lower(F.hex(x["p"])), F.lit(":"), F.lower(F.hex(x["c"])), F.lit(":"), F.lower(F.hex(x["k"])), F.lit(":"), F.lower(F.hex(x["h"])))), " ")
 
 
-def with_next(docs: DataFrame, rows_per_range: int = 4096) -> DataFrame:
+def with_next(docs: DataFrame, rows_per_range: int = 1024) -> DataFrame:
     """doc_id, text, keys, next_text, next_keys: each document beside the next by ascending doc_id, the first after the last.
 
     Null texts are empty, null doc_ids come first, equal doc_ids are ordered by text; one document alone follows itself.

@@ -91,7 +91,7 @@ def partitions(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def range_bounds(df: DataFrame, key: str, rows_per_range: int = 4096, most: int = 4096) -> list[int]:
+def range_bounds(df: DataFrame, key: str, rows_per_range: int = 1024, most: int = 32_768) -> list[int]:
     """Cut points that split `key` into about equal ranges. At most `most` numbers reach the driver."""
     n = df.count()
     ranges = min(most, max(1, math.ceil(n / rows_per_range)))

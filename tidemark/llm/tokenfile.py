@@ -99,7 +99,7 @@ class Dac:
         return values
 
 
-def write_token_file(docs: DataFrame, path: str, end_id: int = 2, rows_per_range: int = 4096) -> tuple[DataFrame, str]:
+def write_token_file(docs: DataFrame, path: str, end_id: int = 2, rows_per_range: int = 1024) -> tuple[DataFrame, str]:
     """Encode every whole text (null: empty), append end_id, and write a token file in ascending doc_id order.
 
     Null doc_ids come first; equal doc_ids are ordered by text. Returns the table as read back and its place.
