@@ -16,11 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import lean, small_batches
+from tidemark.llm.shared import lean, release, small_batches
 
 
 #: The scorer is fitted on at most this many documents, chosen by a hash of their id.
-SAMPLE_ROWS = 3000
+SAMPLE_ROWS = 2000
 TRIGRAMS = 2048
 BINS = 512
 
@@ -182,7 +182,7 @@ def fit_scorer(x: np.ndarray, p: np.ndarray, rounds: int = 400, rate: float = 0.
     """Logistic regression on soft labels by full-batch gradient steps with momentum; deterministic."""
     w, b = np.zeros(x.shape[1]), 0.0
     vw, vb = np.zeros_like(w), 0.0
-    x = x.astype(np.float32)
+    x = x.astype(np.float32, copy=False)
     for _ in range(rounds if len(x) else 0):
         z = np.clip(x @ w.astype(np.float32) + b, -30, 30)
         g = (1 / (1 + np.exp(-z)) - p) / len(x)
@@ -234,8 +234,12 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Classifier:
     rows = chosen.mapInArrow(lean(extract), "doc_id long, draw long, pattern int, x binary").orderBy("draw", "doc_id", "x").limit(sample_rows).collect()
     x = np.array([np.frombuffer(r["x"], np.float32) for r in rows]).reshape(-1, TRIGRAMS + BINS)
     p = labels.posterior(np.array([votes_of(r["pattern"]) for r in rows], dtype=np.int64).reshape(-1, len(LABELLERS)))
+    n = len(rows)
+    del rows
     weights, bias = fit_scorer(x, p)
-    return Classifier(labels, weights, bias, len(rows))
+    del x
+    release()
+    return Classifier(labels, weights, bias, n)
 
 
 def judge(docs: DataFrame, model: Classifier) -> DataFrame:

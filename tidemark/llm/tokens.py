@@ -68,8 +68,12 @@ def prove_whole_tokens(path: str) -> list[str]:
         except (KeyError, UnicodeDecodeError):
             continue
     split = tok.pre_tokenizer.pre_tokenize_str
-    encoded = tok.encode_batch_fast([s for s, _ in strings], add_special_tokens=False)
-    return [s for (s, i), e in zip(strings, encoded, strict=True) if e.ids == [i] and len(split(s)) == 1]
+    proved = []
+    for at in range(0, len(strings), 4096):
+        part = strings[at : at + 4096]
+        encoded = tok.encode_batch_fast([s for s, _ in part], add_special_tokens=False)
+        proved += [s for (s, i), e in zip(part, encoded, strict=True) if e.ids == [i] and len(split(s)) == 1]
+    return proved
 
 
 class Unkept(Exception):
