@@ -244,8 +244,10 @@ def _search(keyed: DataFrame, radius: int, similarity: float = 0.0) -> DataFrame
     return ordered.mapInArrow(lean(run), "u long, v long")
 
 
-#: Bins of a one-permutation signature, a byte each; 0: empty.
-BINS = 256
+#: Bins of a one-permutation signature, a byte each; 0: empty. Texts of fewer shingles are held almost whole.
+BINS = 512
+#: Estimates may fall short by this much, about half their standard error.
+SLACK = 0.01
 
 
 def signature(text: str | None, words: int = 5) -> tuple[bytes, int]:
@@ -260,7 +262,7 @@ def signature(text: str | None, words: int = 5) -> tuple[bytes, int]:
     if not parts:
         return bytes(BINS), 0
     h = np.unique(Hashes(parts).runs(min(words, len(parts))))
-    place = (h >> np.uint64(56)).astype(np.intp)
+    place = (h >> np.uint64(55)).astype(np.intp)
     first = np.concatenate([[True], place[1:] != place[:-1]])  # hashes are sorted, so the first of a bin is its least
     out = np.zeros(BINS, np.uint8)
     out[place[first]] = (h[first] >> np.uint64(20)).astype(np.uint64) % np.uint64(255) + np.uint64(1)
@@ -292,7 +294,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int = 5, ra
     banded = classes.select("fp", "sig", F.explode(F.array(band, band + 1)).alias("band"))
     near = links(banded.select("fp", "band"), radius, limit)
     flagged, _ = materialize(near.select(F.explode(F.array("u", "v")).alias("fp")).distinct(), "mark-candidates", small=True)
-    edges = links(banded.join(flagged, "fp"), radius, limit, similarity=similarity)
+    edges = links(banded.join(flagged, "fp"), radius, limit, similarity=similarity - SLACK)
     return _named(marks.select("doc_id", "fp"), classes.select("fp", "least"), edges).select("doc_id", "component_id")
 
 
