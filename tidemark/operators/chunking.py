@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranking import row_numbers
+
 #: Placeholders that a statement may hold.
 PLACEHOLDERS = 10_000
 #: Share of the largest message that a request fills.
@@ -18,8 +20,8 @@ def rows_per_statement(columns: Column, placeholders: int = PLACEHOLDERS, reserv
 
 def statements(rows: DataFrame, by: list[str], order: list[str], columns: Column, placeholders: int = PLACEHOLDERS) -> DataFrame:
     """Number of the statement that each row goes into, in each group."""
-    row = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-    return rows.withColumn("statement", F.floor((row - 1) / rows_per_statement(columns, placeholders)).cast("bigint"))
+    numbered = row_numbers(rows, by, order, "_nth")
+    return numbered.withColumn("statement", F.floor((F.col("_nth") - 1) / rows_per_statement(columns, placeholders)).cast("bigint")).drop("_nth")
 
 
 def byte_chunks(rows: DataFrame, by: list[str], order: list[str], size: str, most: int) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.identity import qualified, schema_or_default
 from tidemark.functions.text import glob_any
+from tidemark.operators.ranking import row_numbers
 from tidemark.sources.envelope import CONTROL_OPERATIONS
 
 
@@ -99,9 +100,8 @@ def sample_share(percent: float, key: Column, overrides: dict[str, float] | None
 
 
 def every_nth(events: DataFrame, n: int, order: list[str], per: list[str]) -> DataFrame:
-    """Every n-th event of each group in order; the groups are sorted apart."""
-    row = F.row_number().over(Window.partitionBy(*per).orderBy(*order))
-    return events.withColumn("_row", row).filter(F.col("_row") % n == 0).drop("_row")
+    """Every n-th event of each group in order."""
+    return row_numbers(events, per, order, "_nth").filter(F.col("_nth") % n == 0).drop("_nth")
 
 
 def page(rows: DataFrame, order: list[str], number: int, size: int) -> DataFrame:

@@ -94,19 +94,10 @@ def keyset_page(table: DataFrame, keys: list[str], last: list | None, size: int)
 
 
 def chunks(table: DataFrame, keys: list[str], size: int) -> DataFrame:
-    """All pages at once: chunk numbers by rank of the key, from counts of ranges rather than one global sort.
+    """All pages at once: chunk_id by rank of the key, without sorting the table in one task."""
+    from tidemark.operators.ranking import row_numbers
 
-    Rows are dealt by key range, numbered in their range, and shifted by the rows of the ranges before, of which there are as many
-    as shuffle partitions.
-    """
-    from pyspark.sql import Window
-
-    spread = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = table.repartitionByRange(spread, *keys).withColumn("_part", F.spark_partition_id())
-    inside = dealt.withColumn("_row", F.row_number().over(Window.partitionBy("_part").orderBy(*keys)))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = inside.groupBy("_part").agg(F.max("_row").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    return inside.join(F.broadcast(starts), "_part").withColumn("chunk_id", F.floor((F.col("_start") + F.col("_row") - 1) / size)).drop("_part", "_row", "_start")
+    return row_numbers(table, [], keys, "_nth").withColumn("chunk_id", F.floor((F.col("_nth") - 1) / size)).drop("_nth")
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
