@@ -42,6 +42,9 @@ ASIDE = frozenset("nav footer aside form button select dialog menu search label
 NAMES = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs footer masthead sidebar aside widget widgets ad ads adv advert adverts advertisement adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login search share sharing social related recommended recommendations comment comments disqus reply replies respond pagination pager toolbar copyright legal skip form".split()
 )
+#: Names that begin or end so count too, as in commentlist or sidenav.
+STEMS = ("comment", "sidebar", "advert", "cookie", "breadcrumb", "newsletter", "navbar", "navig", "banner", "sponsor", "footer", "disqus", "pagin", "subscri")
+TAILS = ("sidebar", "navbar", "topbar", "nav", "menu", "footer", "comments", "adverts", "popup")
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 OWN = frozenset("article post entry content main story body text".split())
 
@@ -151,7 +154,7 @@ def parse(source: str) -> Page:
         names = _names(attributes)
         inside = inside or tag in ("article", "main") or attributes.get("role") in ("main", "article")
         if not out and tag not in ("html", "body", "main"):
-            named = NAMES.intersection(names) or ("header" in names and not inside and not OWN.intersection(names))
+            named = any(n in NAMES or n.startswith(STEMS) or n.endswith(TAILS) for n in names) or ("header" in names and not inside and not OWN.intersection(names))
             hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attributes.get("style", ""))
             out = bool(tag in ASIDE or (tag == "header" and not inside) or (named and tag != "article") or attributes.get("role") in ROLES or hidden)
         if tag in BLOCK:
