@@ -75,3 +75,8 @@ def test_large_hosts_are_split(spark):
 def test_names_that_tell_of_other_elements():
     page = '<body class="has-sidebar"><div class="content-with-sidebar"><p>kept</p></div><div class="main-sidebar"><p>gone</p></div></body>'
     assert extract([page]) == ["kept"]
+
+
+def test_joined_names_count():
+    page = '<body><div class="post-body"><p>kept</p></div><ol class="commentlist"><li>gone</li></ol><div id="sidenav"><p>gone</p></div><div class="cookiebar">gone</div></body>'
+    assert extract([page]) == ["kept"]
