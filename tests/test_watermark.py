@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.watermark import AckTracker, ack_counts, lag_series, late, watermark
+from tidemark.operators.watermark import AckTracker, ack_counts, ack_watermark, lag_series, late, watermark
 
 
 def run(sinks, *steps):
@@ -76,8 +76,9 @@ def test_closed_form_equals_the_tracker(spark, seed):
     rng.shuffle(confirms)
     for c in confirms:
         tracker.confirm(*c)
-    counts = ack_counts(spark.createDataFrame(observed, "lsn long, self_acked boolean"), spark.createDataFrame(confirms, "lsn long, sink_id string"), ["a", "b"])
-    assert watermark(counts).first().watermark == tracker.mark
+    rows = spark.createDataFrame(observed, "lsn long, self_acked boolean"), spark.createDataFrame(confirms, "lsn long, sink_id string")
+    assert watermark(ack_counts(*rows, ["a", "b"])).first().watermark == tracker.mark
+    assert ack_watermark(*rows, ["a", "b"]).first() == watermark(ack_counts(*rows, ["a", "b"])).first()
 
 
 def test_groups_late_events_and_empty_logs(spark):

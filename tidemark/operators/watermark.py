@@ -39,6 +39,17 @@ def watermark(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
     return joined.groupBy(*by, "first_unconfirmed").agg(F.coalesce(F.max(below), F.lit(0)).alias("watermark")).select(*by, "watermark", "first_unconfirmed")
 
 
+def ack_watermark(observed: DataFrame, confirms: DataFrame, sinks: list[str], by: list[str] | None = None) -> DataFrame:
+    """watermark(ack_counts(...)) with one shuffle on the LSN: below the first unconfirmed LSN all are confirmed, so
+    the greatest one there is found on the raw rows by a partial maximum."""
+    by = by or []
+    held = ack_counts(observed, confirms, sinks, by).groupBy(*by).agg(F.min(F.when(~F.col("confirmed"), F.col("lsn"))).alias("first_unconfirmed"))
+    rows = observed.select(*by, "lsn").unionByName(confirms.select(*by, "lsn"))
+    joined = rows.join(F.broadcast(held), by) if by else rows.crossJoin(F.broadcast(held))  # a row for each source
+    below = F.when(F.col("first_unconfirmed").isNull() | (F.col("lsn") < F.col("first_unconfirmed")), F.col("lsn"))
+    return joined.groupBy(*by, "first_unconfirmed").agg(F.coalesce(F.max(below), F.lit(0)).alias("watermark")).select(*by, "watermark", "first_unconfirmed")
+
+
 def requirements(observed: DataFrame, confirms: DataFrame, sinks: DataFrame) -> DataFrame:
     """Each observed LSN with each required sink and the confirms it has: lsn, sink_id, required, confirmed."""
     need = observed.groupBy("lsn").agg((F.count(F.lit(1)) - F.sum(F.col("self_acked").cast("int"))).alias("required"))

@@ -341,7 +341,7 @@ def agg_11_ack_counts(spark, sf):
 
 @query(f"{FEED}{_ACKS}{_COUNTS} SELECT coalesce(max(lsn) FILTER (WHERE lsn < f), 0) AS watermark, any_value(f) AS first_unconfirmed FROM counts, (SELECT min(lsn) FILTER (WHERE NOT confirmed) AS f FROM counts)")
 def str_2_ack_watermark(spark, sf):
-    return watermark.watermark(watermark.ack_counts(*acks(spark, sf), ["a", "b"]))
+    return watermark.ack_watermark(*acks(spark, sf), ["a", "b"])
 
 
 @query(f"{FEED}{_ACKS}{_COUNTS} SELECT lsn, min(CAST(confirmed AS INT)) OVER (ORDER BY lsn) = 1 AS prefix_confirmed FROM counts")
