@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -19,7 +21,9 @@ def scratch_root(spark: SparkSession) -> str:
     """The folder all machines share (spark.checkpoint.dir); a local one only where the setting is absent (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        made = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        root = f"file://{made}"
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
