@@ -639,3 +639,109 @@ def str_1_stream_replay(spark, sf):
     spec = PipelineSpec("replay", "pg1", ["main"], [TableSpec("users", KEYS, COLUMNS)])
     run_all(spark, spec, f"{base}/log", base)
     return Sink(spark, spec, "main", base).table("users").read().drop("_first")
+
+
+# --- more of the inventory -----------------------------------------------------------------------------------
+
+
+@query(f"""{FEED}, base AS (SELECT user_id, arg_max(props, lsn) AS props FROM feed WHERE batch_id = 0 AND op <> 'delete' AND event_type <> 'view' GROUP BY 1),
+ late AS (SELECT event_id, user_id, event_type, props, last_value(CASE WHEN event_type <> 'view' THEN props END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY lsn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS own FROM feed WHERE batch_id > 0 AND op <> 'delete')
+ SELECT l.event_id, coalesce(l.own, b.props) AS props FROM late l LEFT JOIN base b USING (user_id)""")
+def jon_2_toast_read_back(spark, sf):
+    """The value of each later event: from its own batch, else read back from the table of the first batch."""
+    e = feed(spark, sf)
+    late = apply.forward_fill(e.filter("batch_id > 0"), KEYS, "props", "own")
+    base = apply.fold(e.filter("batch_id = 0"), KEYS, COLUMNS)
+    back = apply.read_back(late, base, ["user_id"], ["props"])
+    return late.join(back, "user_id", "left").select("event_id", F.coalesce("own", "props").alias("props"))
+
+
+@query(f"{FEED} SELECT event_id, CASE WHEN op = 'delete' THEN 'delete' ELSE 'upsert' END AS side FROM feed")
+def app_1_partition_batch(spark, sf):
+    ups, dels = apply.split_batch(feed(spark, sf))
+    return ups.select("event_id", F.lit("upsert").alias("side")).unionByName(dels.select("event_id", F.lit("delete").alias("side")))
+
+
+@query(f"{FEED} SELECT user_id, max(ts) FILTER (WHERE op = 'delete') AS deleted_at FROM feed GROUP BY user_id HAVING count(*) FILTER (WHERE op <> 'delete') > 0")
+def app_2_delete_wins(spark, sf):
+    """The whole feed as one flush: deletes come after all upserts, whatever their LSNs."""
+    e = feed(spark, sf).withColumn("batch_id", F.lit(0).cast("bigint"))
+    return apply.fold(e, KEYS, COLUMNS).select("user_id", "deleted_at")
+
+
+@query(f"{FEED} SELECT table_schema || '-users-' || lsn || '-0' AS correlation_id, op, lsn, ts AS message_timestamp FROM feed WHERE op <> 'delete' AND event_id % 20 <> 0")
+def dbg_1_before_capture(spark, sf):
+    e = feed(spark, sf).withColumn("op", F.when(F.col("event_id") % 20 == 0, "schema_change").otherwise(F.col("op")))
+    return audit.before(e, filters.CaptureFilter(operations=["insert", "update"])).select("correlation_id", "op", "lsn", "message_timestamp")
+
+
+@query(f"{FEED} SELECT table_schema || '-users-' || lsn || '-0' AS correlation_id, (event_type = 'click' AND event_id % 4 = 0) AS filtered FROM feed WHERE op <> 'delete'")
+def dbg_3_mark_filtered(spark, sf):
+    captured, passed = audited(spark, sf)
+    return audit.mark_filtered(captured, passed).select("correlation_id", "filtered")
+
+
+@query(f"{FEED} SELECT table_schema, lsn, r AS rank FROM (SELECT table_schema, lsn, CAST(row_number() OVER (PARTITION BY table_schema, table_name ORDER BY ts DESC, lsn DESC) AS INT) AS r FROM feed WHERE op <> 'delete') WHERE r <= 50")
+def dbg_6_recent_by_table(spark, sf):
+    return audit.rank_in_table(audited(spark, sf)[0]).filter("rank <= 50").select("table_schema", "lsn", "rank")
+
+
+@query(f"SELECT event_id, CAST(date_diff('microsecond', ts, TIMESTAMP '{NOW}') // 1000 AS BIGINT) AS lag_ms FROM events")
+def fn_10_lag_ms(spark, sf):
+    return table(spark, sf, "events").select("event_id", timing.lag_ms(F.lit(NOW).cast("timestamp_ntz"), F.col("ts")).alias("lag_ms"))
+
+
+@query(f"{FEED} SELECT event_id, CASE WHEN op = 'delete' THEN 1 WHEN event_type = 'view' THEN 2 ELSE 3 END AS n_keys, op <> 'delete' AND event_type <> 'view' AS has_props, CASE WHEN op = 'delete' THEN 'user_id' ELSE 'user_id,value' END AS rest FROM feed")
+def fn_15_map_functions(spark, sf):
+    rest = F.map_filter("data", lambda k, _: k != "props")
+    return feed(spark, sf).select("event_id", F.size("data").alias("n_keys"), envelope.has("props").alias("has_props"), F.array_join(F.array_sort(F.map_keys(rest)), ",").alias("rest"))
+
+
+@query("SELECT p_partkey, CAST(round(p_retailprice * 100) AS BIGINT) AS cents, p_size, p_name FROM part")
+def fn_23_typed_values(spark, sf):
+    """Values through their text form and back."""
+    p = table(spark, sf, "part").select("p_partkey", F.round(F.col("p_retailprice") * 100).cast("decimal(20,0)").alias("cents"), "p_size", "p_name")
+    return p.select("p_partkey", *[types.typed(types.wire_text(F.col(c), t), "bigint" if t.startswith("decimal") else t).alias(c) for c, t in p.dtypes[1:]])
+
+
+@query("SELECT n_name FROM nation WHERE n_nationkey % 4 <> 0")
+def fil_11_without_snapshot_helpers(spark, sf):
+    n = F.col("n_nationkey") % 4 == 0
+    named = table(spark, sf, "nation").withColumn("table_name", F.when(n, F.concat(F.lit("cdc_snapshot_"), "n_name")).otherwise(F.col("n_name")))
+    return filters.without_snapshot_helpers(named).select(F.col("table_name").alias("n_name"))
+
+
+@query(f"{FEED} SELECT lsn, count(*) AS n FROM (SELECT lsn FROM feed UNION ALL SELECT 0 FROM customer) GROUP BY 1")
+def set_1_snapshot_and_stream(spark, sf):
+    log = feed(spark, sf).select("table_schema", "table_name", "op", "lsn")
+    snap = envelope.snapshot(table(spark, sf, "customer"), "public", "customer", ["c_custkey"]).select("table_schema", "table_name", "op", "lsn")
+    return log.unionByName(snap).groupBy("lsn").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT 'c' || (event_id % 400) AS correlation_id FROM events WHERE event_id < 1200 GROUP BY 1 HAVING count(DISTINCT user_id % 3) >= 3")
+def set_4_acknowledged_changes(spark, sf):
+    e = table(spark, sf, "events").filter("event_id < 1200")
+    acks_ = e.select(F.concat(F.lit("c"), (F.col("event_id") % 400).cast("string")).alias("correlation_id"), F.concat(F.lit("s"), (F.col("user_id") % 3).cast("string")).alias("sink_id"))
+    return schema.acknowledged(acks_, 3)
+
+
+@query(f"{FEED} SELECT lsn, CAST(count(*) AS BIGINT) AS pending FROM feed WHERE event_id % 97 = 96 GROUP BY 1 ORDER BY 1 LIMIT 10")
+def srt_7_first_pending(spark, sf):
+    counts = watermark.ack_counts(*acks(spark, sf), ["b"]).filter("NOT confirmed")
+    return counts.select("lsn", F.col("observed").alias("pending")).orderBy("lsn").limit(10)
+
+
+@query(f"{FEED} SELECT table_schema, 'PRIMARY' AS kind, 'user_id' AS keys FROM feed GROUP BY 1")
+def snk_9_key_resolution(spark, sf):
+    tables = feed(spark, sf).select("table_schema", "table_name").distinct()
+    reg = spark.createDataFrame([("public", "users", 1, {"user_id": "bigint"}, ["user_id"])], schema.REGISTRY)
+    ddl = spark.createDataFrame([("sales", "users", "CREATE TABLE users (user_id INT, PRIMARY KEY (user_id))")], "table_schema string, table_name string, ddl string")
+    found = schema.resolve_keys(tables, reg, ddl)
+    return found.select("table_schema", F.lit("PRIMARY").alias("kind"), F.array_join("pk_columns", ",").alias("keys"))
+
+
+@query("SELECT c_custkey, regexp_replace('postgres://u:' || c_name || '@h/db', '(://[^:/@]*):[^@]*@', '\\1:***@') AS dsn FROM customer")
+def prj_4_masked_dsn(spark, sf):
+    from tidemark.sources.catalog import masked_dsn
+
+    return table(spark, sf, "customer").select("c_custkey", masked_dsn(F.concat(F.lit("postgres://u:"), "c_name", F.lit("@h/db"))).alias("dsn"))

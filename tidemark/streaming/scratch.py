@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -11,6 +13,8 @@ def root(spark: SparkSession) -> str:
     """spark.checkpoint.dir; a local folder only where it is unset."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        made = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        at = f"file://{made}"
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
