@@ -25,6 +25,8 @@ GROUP_PAGES = 1000
 #: A text is template if it is on this share of the different pages that have its node, and on at least so many.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.8, 4
 LINK_SHARE = 0.6
+#: Block elements nested deeper than this share the node of the last level; their texts stay blocks of their own.
+DEPTH = 100
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
@@ -87,6 +89,7 @@ def parse(source: str) -> Page:
     page, count = Page(root), 1
     # open elements: tag, skeleton node, ruled out, in article
     stack: list[tuple[str, Skeleton, bool, bool]] = [("", root, False, False)]
+    levels: dict[int, int] = {0: 0}  # of nodes
     buffer: list[str] = []
     links, linked = 0, 0
     at, end = 0, len(source)
@@ -159,11 +162,13 @@ def parse(source: str) -> Page:
             out = bool(tag in ASIDE or (tag == "header" and not inside) or (named and tag != "article") or attributes.get("role") in ROLES or hidden)
         if tag in BLOCK:
             label = tag + "".join("." + n for n in names[:3])
-            if node.children and node.children[-1].label == label:
+            level = levels[node.index]
+            if level < DEPTH and node.children and node.children[-1].label == label:
                 node = node.children[-1]
-            else:
+            elif level < DEPTH:
                 node.children.append(Skeleton(label, count))
                 node, count = node.children[-1], count + 1
+                levels[node.index] = level + 1
         elif out and not stack[-1][2]:  # an inline element that is ruled out breaks the block around it
             flush()
         if tag == "a":
@@ -267,9 +272,8 @@ def extract(sources: list[str]) -> list[str]:
             kept = [b for b in kept if b[4]]
         else:
             kept = [b for b in kept if linked_chars[b[0]] <= LINK_SHARE * chars[b[0]]]
-        fixed = [b for b in kept if (n := texts[b[0], b[1]]) >= TEMPLATE_PAGES and n >= TEMPLATE_SHARE * have[b[0]]]
-        if len(fixed) < len(kept):  # a page of constants only has no slot to tell them from
-            kept = [b for b in kept if b not in fixed]
+        varying = [b for b in kept if (n := texts[b[0], b[1]]) < TEMPLATE_PAGES or n < TEMPLATE_SHARE * have[b[0]]]
+        kept = varying or kept  # a page of constants only has no slot to tell them from
         out.append("\n\n".join(b[1] for b in kept))
     return out
 
