@@ -80,3 +80,10 @@ def test_names_that_tell_of_other_elements():
 def test_joined_names_count():
     page = '<body><div class="post-body"><p>kept</p></div><ol class="commentlist"><li>gone</li></ol><div id="sidenav"><p>gone</p></div><div class="cookiebar">gone</div></body>'
     assert extract([page]) == ["kept"]
+
+
+def test_deep_and_long_pages():
+    deep = "<div>" * 5000 + "<p>inside</p>" + "</div>" * 5000
+    assert extract([deep, deep.replace("inside", "other")]) == ["inside", "other"]
+    wide = "".join(f"<h2>h{i}</h2><p>p{i}</p>" for i in range(150))
+    assert extract([wide]) == ["\n\n".join(f"h{i}\n\np{i}" for i in range(150))]
