@@ -64,6 +64,7 @@ def test_type_map(spark):
     assert {r.t: r.k for r in df.select("t", types.sink_type(F.col("t")).alias("k")).collect()} == TYPE_CASES
     assert one(spark, types.sink_type(F.lit("interval"), by_substring=True)) == "INT64"
     assert types.decimal_type(20, 4) == "DECIMAL(20,4)" and types.decimal_type(10, 50) == "DECIMAL(10,10)" and types.decimal_type(15, 0) == "DECIMAL(15)"
+    assert types.wire_kind("bigint") == "int" and types.wire_kind("decimal(9,2)") == "decimal" and types.wire_kind("array<int>") == "json"
     assert types.spark_type("DECIMAL(10,2)") == "decimal(10,2)" and types.spark_type("INT64") == "bigint"
 
 

@@ -77,14 +77,16 @@ def wire_text(column: Column, kind: str) -> Column:
     return column.cast("string")
 
 
-def wire_kind(kind: str, value: Column | None = None) -> Column:
-    """The kind named beside a travelling value; unsigned numbers beyond a signed long travel as strings."""
-    if kind.startswith("decimal"):
-        return F.when(value > F.lit(2**63 - 1), F.lit("string")).otherwise(F.lit("decimal")) if value is not None and kind == "decimal(20,0)" else F.lit("decimal")
-    names = {"boolean": "bool", "double": "double", "float": "double", "timestamp": "timestamp", "timestamp_ntz": "timestamp", "date": "date", "string": "string", "binary": "string"}
-    if kind in ("tinyint", "smallint", "int", "bigint"):
-        return F.lit("int")
-    return F.lit(names.get(kind, "json"))
+# Kinds named beside travelling values, by Spark type; nested types travel as json.
+WIRE_KINDS = {
+    "boolean": "bool", "tinyint": "int", "smallint": "int", "int": "int", "bigint": "int", "double": "double", "float": "double",
+    "timestamp": "timestamp", "timestamp_ntz": "timestamp", "date": "date", "string": "string", "binary": "string",
+}
+
+
+def wire_kind(kind: str) -> str:
+    """The kind named beside a travelling value of a Spark type."""
+    return "decimal" if kind.startswith("decimal") else WIRE_KINDS.get(kind, "json")
 
 
 def uuid_text(raw: Column) -> Column:

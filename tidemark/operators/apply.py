@@ -75,11 +75,13 @@ def fold(events: DataFrame, keys: dict[str, str], columns: dict[str, str], by: l
 
 
 def latest(events: DataFrame, keys: dict[str, str]) -> DataFrame:
-    """The last upsert of each key, whole. An aggregation, not a sort of each key's events."""
+    """The last upsert of each key, with its data as map entries. An aggregation, not a sort of each key's events."""
     usable = events.filter(is_upsert() & ~lacks_key(list(keys)))
-    rest = [c for c in events.columns]
-    keyed = usable.select(*[typed(value(k), t).alias(f"_k_{k}") for k, t in keys.items()], F.struct(F.struct("lsn", "seq").alias("o"), F.struct(*[c for c in rest if c not in ("data", "column_kinds")], F.map_entries("data").alias("data")).alias("e")).alias("x"))
-    return keyed.groupBy(*[f"_k_{k}" for k in keys]).agg(F.max_by("x.e", "x.o").alias("e")).select(*[F.col(f"_k_{k}").alias(k) for k in keys], "e.*")
+    plain = [c for c in events.columns if c not in ("data", "column_kinds")]
+    named = [typed(value(k), t).alias(f"_k_{k}") for k, t in keys.items()]
+    rows = usable.select(*named, F.struct("lsn", "seq").alias("_o"), F.struct(*plain, F.map_entries("data").alias("data")).alias("_e"))
+    last = rows.groupBy(*[f"_k_{k}" for k in keys]).agg(F.max_by("_e", "_o").alias("e"))
+    return last.select(*[F.col(f"_k_{k}").alias(k) for k in keys], "e.*")
 
 
 def forward_fill(events: DataFrame, keys: dict[str, str], column: str, out: str) -> DataFrame:

@@ -458,7 +458,10 @@ def agg_18_tables_by_schema(spark, sf):
     return stats.grouped_tables(n.select(F.col("r_name").alias("table_schema"), F.col("n_name").alias("table_name"))).withColumn("tables", F.array_join("tables", ","))
 
 
-@query()
+@query(f"""{FEED.replace('WITH feed', 'WITH RECURSIVE feed')}, c AS (SELECT 'public' AS table_schema, 't' || (event_id % 50) AS table_name, lsn, ts, row_number() OVER (PARTITION BY event_id % 50 ORDER BY ts, lsn) AS i FROM feed WHERE event_type = 'signup'),
+ r AS (SELECT table_schema, table_name, lsn, ts, i, ts AS opened, 1 AS n FROM c WHERE i = 1
+ UNION ALL SELECT c.table_schema, c.table_name, c.lsn, c.ts, c.i, CASE WHEN date_diff('microsecond', r.opened, c.ts) > 86400000000 THEN c.ts ELSE r.opened END, CASE WHEN date_diff('microsecond', r.opened, c.ts) > 86400000000 THEN 1 ELSE r.n + 1 END FROM r JOIN c ON c.table_name = r.table_name AND c.i = r.i + 1)
+ SELECT table_schema, table_name, lsn, ts, n AS in_window, n > 5 AS suspended FROM r""")
 def agg_19_schema_change_rate(spark, sf):
     changes = feed(spark, sf).filter("event_type = 'signup'").select(F.lit("public").alias("table_schema"), F.concat(F.lit("t"), (F.col("event_id") % 50).cast("string")).alias("table_name"), "lsn", "ts")
     return schema.change_rate(changes, most=5, seconds=86_400)
@@ -594,12 +597,15 @@ def srt_8_recent_activity(spark, sf):
 # --- chunking and streams ------------------------------------------------------------------------------------
 
 
-@query(f"{FEED} SELECT event_id, CAST((row_number() OVER (PARTITION BY table_schema ORDER BY lsn) - 1) // greatest(400 // (CASE WHEN event_type = 'view' THEN 3 ELSE 3 END), 1) AS BIGINT) AS statement FROM feed")
+@query(f"{FEED} SELECT event_id, CAST((row_number() OVER (PARTITION BY table_schema ORDER BY lsn) - 1) // greatest(400 // 3, 1) AS BIGINT) AS statement FROM feed")
 def win_6_statement_chunks(spark, sf):
     return chunking.statements(feed(spark, sf), ["table_schema"], ["lsn"], F.lit(3), 400).select("event_id", "statement")
 
 
-@query()
+@query("""WITH RECURSIVE d AS (SELECT source, doc_id, CAST(octet_length(encode(text)) AS INT) AS bytes, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents),
+ r AS (SELECT source, doc_id, bytes, i, CAST(0 AS BIGINT) AS request, CAST(bytes AS BIGINT) AS used FROM d WHERE i = 1
+ UNION ALL SELECT d.source, d.doc_id, d.bytes, d.i, CASE WHEN r.used > 0 AND r.used + d.bytes > 60800 THEN r.request + 1 ELSE r.request END, CASE WHEN r.used > 0 AND r.used + d.bytes > 60800 THEN d.bytes ELSE r.used + d.bytes END FROM r JOIN d ON d.source = r.source AND d.i = r.i + 1)
+ SELECT source, doc_id, bytes, request FROM r""")
 def win_7_byte_chunks(spark, sf):
     docs = table(spark, sf, "documents").select("source", "doc_id", F.octet_length("text").alias("bytes"))
     return chunking.byte_chunks(docs, ["source"], ["doc_id"], "bytes", 64_000)
@@ -620,7 +626,7 @@ def str_10_barrier_segments(spark, sf):
     return barrier_segments(e.unionByName(marks, allowMissingColumns=True)).filter("op <> 'schema_change'").select("event_id", "segment")
 
 
-@query(f"{FEED}{_PLAIN.replace('WHERE u.r = 1', 'WHERE u.r = 1')}".replace("FROM events)", "FROM events WHERE event_type <> 'purchase')"))
+@query(f"{FEED}{_PLAIN}".replace("FROM events)", "FROM events WHERE event_type <> 'purchase')"))
 def str_1_stream_replay(spark, sf):
     """The log landed as files and streamed into a versioned table, one micro-batch for a few published batches."""
     import uuid
