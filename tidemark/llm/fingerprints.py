@@ -141,7 +141,9 @@ def with_next(docs: DataFrame, rows_per_range: int = 1024) -> DataFrame:
     firsts = firsts.select("o", F.coalesce(F.lag("part").over(by_part), F.max("part").over(everything)).alias("before"))
     placed = slim.withColumn("keys", paragraph_keys(F.col("text"))).join(F.broadcast(firsts), "o", "left")
     spots = F.filter(F.array(F.struct(F.col("part").alias("at"), F.lit(0).alias("extra")), F.struct(F.col("before").alias("at"), F.lit(1).alias("extra"))), lambda s: s["at"].isNotNull())
-    dealt = placed.select("doc_id", "o", "text", "keys", F.inline(spots)).repartition(max(partitions(docs.sparkSession), min(len(bounds) + 1, 64)), "at")
+    spread = partitions(docs.sparkSession)
+    # more tasks than usual, since ranges fall on them by hash and peeling is the costly part
+    dealt = placed.select("doc_id", "o", "text", "keys", F.inline(spots)).repartition(max(spread, min(len(bounds) + 1, 4 * spread)), "at")
     follow = Window.partitionBy("at").orderBy("extra", "o", "text")
     return dealt.select("doc_id", "text", "keys", "extra", F.lead("text").over(follow).alias("next_text"), F.lead("keys").over(follow).alias("next_keys")).filter("extra = 0").drop("extra")
 
