@@ -246,8 +246,16 @@ def _search(keyed: DataFrame, radius: int, similarity: float = 0.0) -> DataFrame
 
 #: Bins of a one-permutation signature, a byte each; 0: empty. Texts of fewer shingles are held almost whole.
 BINS = 512
-#: Estimates may fall short by this much, about half their standard error.
-SLACK = 0.01
+#: Documents whose shingles tell which are frequent in the corpus, and from how many of them on one counts as frequent.
+SAMPLE_DOCS, FREQUENT = 4000, 4
+
+
+def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
+    """Sorted hashes of the text's distinct word shingles; a text of fewer words is one shingle, one without words none."""
+    from tidemark.llm.passages import Hashes, split
+
+    parts = split(text)
+    return np.unique(Hashes(parts).runs(min(words, len(parts)))) if parts else np.zeros(0, np.uint64)
 
 
 def signature(text: str | None, words: int = 5) -> tuple[bytes, int]:
@@ -256,46 +264,175 @@ def signature(text: str | None, words: int = 5) -> tuple[bytes, int]:
     Each shingle falls into one bin by its hash and each bin keeps a byte of its least one, so of two texts the share of equal
     bins among those in use estimates the Jaccard similarity of their shingle sets.
     """
-    from tidemark.llm.passages import Hashes, split
+    h = shingle_set(text, words)
+    return _signed(h), len(h)
 
-    parts = split(text)
-    if not parts:
-        return bytes(BINS), 0
-    h = np.unique(Hashes(parts).runs(min(words, len(parts))))
-    place = (h >> np.uint64(55)).astype(np.intp)
-    first = np.concatenate([[True], place[1:] != place[:-1]])  # hashes are sorted, so the first of a bin is its least
+
+def _signed(h: np.ndarray) -> bytes:
     out = np.zeros(BINS, np.uint8)
-    out[place[first]] = (h[first] >> np.uint64(20)).astype(np.uint64) % np.uint64(255) + np.uint64(1)
-    return out.tobytes(), len(h)
+    if len(h):
+        place = (h >> np.uint64(55)).astype(np.intp)
+        first = np.concatenate([[True], place[1:] != place[:-1]])  # hashes are sorted, so the first of a bin is its least
+        out[place[first]] = (h[first] >> np.uint64(20)).astype(np.uint64) % np.uint64(255) + np.uint64(1)
+    return out.tobytes()
+
+
+def frequent_shingles(docs: DataFrame, words: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles that many of a sample of documents hold, and their numbers. Only speed depends on them."""
+    share = max(1, docs.count() // SAMPLE_DOCS)
+    taken = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select("text").limit(2 * SAMPLE_DOCS)
+
+    def run(batches):
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t, words).view(np.int64))], names=["h"])
+
+    found = taken.mapInArrow(lean(run), "h long").groupBy("h").count().filter(F.col("count") >= FREQUENT).orderBy(F.desc("count"), "h").limit(100_000).toPandas()
+    h, n = found["h"].to_numpy(np.int64).view(np.uint64), found["count"].to_numpy(np.int64)
+    order = np.argsort(h)
+    return h[order], n[order]
+
+
+def prefix(h: np.ndarray, similarity: float, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first shingles in an order that is the same for all sets, rare ones first: as many as a set must have so that every
+    other set of the similarity holds one of them within its own prefix."""
+    if not len(h):
+        return h
+    hot, often = frequent
+    weight = np.zeros(len(h), np.int64)
+    if len(hot):
+        at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
+        weight = np.where(hot[at] == h, often[at], 0)
+    keep = len(h) - int(np.ceil(similarity * len(h) - 1e-6)) + 1
+    return h[np.lexsort((h, weight))][:keep]
+
+
+def prefix_pairs(key: np.ndarray, n: np.ndarray, place: np.ndarray, cid: np.ndarray, root: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of sets that share a prefix shingle, may have the similarity by their sizes and places, and aren't yet linked.
+
+    Rows come sorted by key and size: each is held against the next, the next but one and so on, while key and sizes allow.
+    """
+    u, v, step, act = [], [], 0, np.arange(len(key))
+    while len(act):
+        step += 1
+        act = act[act + step < len(key)]
+        act = act[(key[act] == key[act + step]) & (n[act + step] * similarity <= n[act] + 1e-6)]
+        j = act + step
+        need = (n[act] + n[j]) * similarity / (1 + similarity) - 1e-6
+        ok = (np.minimum(n[act] - place[act], n[j] - place[j]) >= need) & (root[act] != root[j])
+        u.append(np.minimum(cid[act[ok]], cid[j[ok]]))
+        v.append(np.maximum(cid[act[ok]], cid[j[ok]]))
+    u, v = np.concatenate([np.zeros(0, np.int64), *u]), np.concatenate([np.zeros(0, np.int64), *v])
+    if len(u):
+        u, v = np.unique(np.stack([u, v]), axis=1)
+    return u, v
+
+
+def _prefix_candidates(sets: DataFrame, similarity: float, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(u, v): distinct pairs of cids of sets (cid, root, shingles) that may have the similarity. None that has it is left out."""
+    spark = sets.sparkSession
+    shared = spark.sparkContext.broadcast(frequent)  # at most 100,000 numbers and their counts
+
+    def spread(batches):
+        for b in batches:
+            found = [np.frombuffer(x, np.uint64) for x in b.column(2).to_pylist()]
+            firsts = [prefix(h, similarity, shared.value) for h in found]
+            size = np.array([len(p) for p in firsts], np.int64)
+            if not size.sum():
+                continue
+            wide = [np.repeat(b.column(i).to_numpy(zero_copy_only=False), size) for i in (0, 1)]
+            n = np.repeat(np.array([len(h) for h in found], np.int32), size)
+            place = np.concatenate([np.arange(len(p), dtype=np.int32) for p in firsts])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(firsts).view(np.int64)), pa.array(n), pa.array(place), *map(pa.array, wide)], names=["key", "n", "place", "cid", "root"])
+
+    rows = sets.select("cid", "root", "shingles").mapInArrow(lean(spread), "key long, n int, place int, cid long, root long")
+    ordered = rows.repartition(partitions(spark), "key").sortWithinPartitions("key", "n")
+
+    def pairs(batches):
+        held: list[list[np.ndarray]] = []
+
+        def emit(whole: list[np.ndarray]):
+            u, v = prefix_pairs(*whole, similarity)
+            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append([b.column(i).to_numpy(zero_copy_only=False) for i in range(5)])
+            if sum(len(h[0]) for h in held) < 200_000:
+                continue
+            whole = [np.concatenate([h[i] for h in held]) for i in range(5)]
+            cut = int(np.searchsorted(whole[0], whole[0][-1]))  # the last key may go on in the next batch
+            held = [[c[cut:] for c in whole]]
+            if cut:
+                yield emit([c[:cut] for c in whole])
+        if held:
+            yield emit([np.concatenate([h[i] for h in held]) for i in range(5)])
+
+    return ordered.mapInArrow(lean(pairs), "u long, v long").distinct()
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (u, v) of cids whose whole shingle sets have the similarity."""
+    x, y = (sets.select(F.col("cid").alias(k), F.col("shingles").alias(f"shingles_{k}")) for k in ("u", "v"))
+    both = pairs.join(x.hint("merge"), "u").join(y.hint("merge"), "v").select("u", "v", "shingles_u", "shingles_v")
+
+    def run(batches):
+        for b in batches:
+            ok = []
+            for p, q in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+                common = len(np.intersect1d(p, q, assume_unique=True))
+                ok.append(common >= similarity * (len(p) + len(q) - common) - 1e-9)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["u", "v"]).filter(pa.array(ok, pa.bool_()))
+
+    return both.mapInArrow(lean(run), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int = 5, radius: int = 10, limit: int = 4096) -> DataFrame:
-    """doc_id, component_id: documents that links of an estimated shingle similarity of `similarity` or more connect.
+    """doc_id, component_id: documents that links of a shingle similarity of `similarity` or more connect.
 
-    Wider than near_groups: pairs within `radius` bits of SimHash whose numbers of shingles allow the similarity are candidates
-    (unrelated texts differ in some 32 bits; at 0.8 nearly all pairs are within 10), and the candidates' signatures must bear them
-    out. Texts with equal fingerprints are one class. Nulls, repeated rows and empty tables as in near_groups.
+    Every link is decided by the Jaccard similarity of the whole shingle sets. Pairs within `radius` bits of SimHash whose
+    signatures look alike are tried first. All others that are not connected by then are found by prefix filtering, which is
+    complete: of two sets of the similarity, each has a shingle in common with the other in its prefix. Texts with equal shingle sets
+    are one class. Nulls, repeated rows and empty tables as in near_groups.
     """
+    import xxhash
 
     small_batches(docs.sparkSession)
 
     def run(batches):
         for b in batches:
             texts = b.column(1).to_pylist()
+            found = [shingle_set(t, words) for t in texts]
             fp = np.array([simhash(t) for t in texts], dtype=np.uint64).view(np.int64)
-            signed = [signature(t, words) for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64()), pa.array([x[1] for x in signed], pa.int32()), pa.array([x[0] for x in signed], pa.binary())], names=["doc_id", "fp", "shingles", "sig"])
+            cid = np.array([xxhash.xxh3_64_intdigest(h.tobytes()) for h in found], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cid), pa.array(fp), pa.array([len(h) for h in found], pa.int32()), pa.array([_signed(h) for h in found], pa.binary()), pa.array([h.tobytes() for h in found], pa.binary())], names=["doc_id", "cid", "fp", "n", "sig", "shingles"])
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marks, _ = materialize(slim.mapInArrow(lean(run), "doc_id long, fp long, shingles int, sig binary"), "marks")
-    classes, _ = materialize(marks.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "shingles", "sig")).alias("s")).select("fp", "least", "s.shingles", "s.sig"), "mark-classes", small=True)
-    # sizes whose ratio allows the similarity lie in one band or two neighbouring ones
-    band = F.floor(F.log(F.greatest(F.col("shingles"), F.lit(1)).cast("double")) / F.log(F.lit(1 / similarity))).cast("int")
-    banded = classes.select("fp", "sig", F.explode(F.array(band, band + 1)).alias("band"))
+    marks, _ = materialize(slim.mapInArrow(lean(run), "doc_id long, cid long, fp long, n int, sig binary, shingles binary"), "marks")
+    classes, _ = materialize(marks.groupBy("cid").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp")), "mark-classes", small=True)
+    sets = marks.select("cid", "shingles").dropDuplicates(["cid"])
+
+    # one class stands for its fingerprint; sizes whose ratio allows the similarity lie in one band or two neighbouring ones
+    heads = classes.groupBy("fp").agg(F.min("cid").alias("head"))
+    band = F.floor(F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")) / F.log(F.lit(1 / similarity))).cast("int")
+    signed = marks.join(heads, F.col("cid") == F.col("head")).groupBy(heads["fp"]).agg(F.min("n").alias("n"), F.min("sig").alias("sig"))
+    banded, _ = materialize(signed.select("fp", "sig", F.explode(F.array(band, band + 1)).alias("band")), "mark-bands", small=True)
     near = links(banded.select("fp", "band"), radius, limit)
     flagged, _ = materialize(near.select(F.explode(F.array("u", "v")).alias("fp")).distinct(), "mark-candidates", small=True)
-    edges = links(banded.join(flagged, "fp"), radius, limit, similarity=similarity - SLACK)
-    return _named(marks.select("doc_id", "fp"), classes.select("fp", "least"), edges).select("doc_id", "component_id")
+    stars = links(banded.join(flagged, "fp"), radius, limit, similarity=similarity)
+    of = lambda k: heads.select(F.col("fp").alias(k), F.col("head").alias(f"{k}_cid"))
+    proposed = stars.join(of("u"), "u").join(of("v"), "v").select(F.col("u_cid").alias("u"), F.col("v_cid").alias("v"))
+    proposed = proposed.unionByName(classes.join(heads, "fp").filter("cid <> head").select(F.col("head").alias("u"), F.col("cid").alias("v"))).distinct()
+    tried, _ = materialize(_alike(proposed, sets, similarity), "mark-links", small=True)
+
+    reached, _ = materialize(components(tried), "mark-linked", small=True)
+    rooted = sets.join(reached.select(F.col("node").alias("cid"), "root"), "cid", "left").select("cid", F.coalesce("root", "cid").alias("root"), "shingles")
+    candidates, _ = materialize(_prefix_candidates(rooted, similarity, frequent_shingles(slim, words)), "mark-pairs", small=True)
+    edges, _ = materialize(tried.unionByName(_alike(candidates, sets, similarity)), "mark-edges", small=True)
+    named = _named(marks.select("doc_id", F.col("cid").alias("fp")), classes.select(F.col("cid").alias("fp"), "least"), edges)
+    return named.select("doc_id", "component_id")
 
 
 def _named(marks: DataFrame, classes: DataFrame, edges: DataFrame) -> DataFrame:
