@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import discard, materialize
 
 
-def _mark(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40))).alias("s")).first()
-    return row["n"], row["s"] or 0
+def _mark(edges: DataFrame) -> tuple[int, int, int]:
+    """Number of edges and two checks of their set, by XOR, which can't overflow however many there are."""
+    row = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.bit_xor(F.xxhash64("v", F.lit(1), "u")).alias("y")).first()
+    return row["n"], row["x"] or 0, row["y"] or 0
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -20,7 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
     node's smallest neighbour, by aggregation and join alone, so a star of any size is pre-aggregated and never gathered.
     """
     spark = edges.sparkSession
-    now, path = materialize(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges", small=True)
+    now, path = materialize(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     mark = _mark(now)
     while mark[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -29,7 +30,7 @@ def components(edges: DataFrame) -> DataFrame:
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(smallest, "u")
         star = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(smallest.select("u", F.col("m").alias("v"))).distinct()
-        after, new = materialize(star, "stars", small=True)
+        after, new = materialize(star, "stars")
         after_mark = _mark(after)
         discard(spark, path)
         now, path = after, new

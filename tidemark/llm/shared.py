@@ -18,9 +18,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all machines share (spark.checkpoint.dir); a local one only where the setting is absent (tests)."""
+    """The folder all machines share (spark.checkpoint.dir); a local one only where the setting is absent in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         made = tempfile.mkdtemp(prefix="tidemark-")
         atexit.register(shutil.rmtree, made, ignore_errors=True)
         root = f"file://{made}"
@@ -31,13 +33,14 @@ def scratch_root(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str, small: bool = False) -> tuple[DataFrame, str]:
     """Write df as Parquet into the shared folder and read it back: cuts lineage and survives lost executors.
 
-    small: a table of few bytes for its number of partitions; it is written in about two files a core.
+    The folder goes when the application ends. small: a table of narrow rows, possibly few of them; they are rebalanced by
+    their bytes first, so a small table has few files and a large one as many as its size asks for.
     """
     spark = df.sparkSession
-    if small:
-        df = df.coalesce(max(2, 2 * spark.sparkContext.defaultParallelism))
     path = f"{scratch_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.hint("rebalance") if small else df).write.parquet(path)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path), path
 
 
