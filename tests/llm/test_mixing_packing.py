@@ -112,3 +112,70 @@ def test_variable_lengths_cost_no_more_than_any_single_length():
     single, _, only = pack_lengths(sizes, (4096,))
     assert cost <= sum(sequence_cost(c, 4096) for c in only)
     assert len(bins) == len(offsets) == len(sizes) and pack_lengths([]) == ([], [], [])
+
+
+def test_repeated_rows_meet_the_target_within_half_a_document(spark, make_docs):
+    same = [(1, " ".join(["w"] * 20), "a")] * 1000
+    rows = same + [(2 + i, " ".join(["v"] * 50), "b") for i in range(60)]
+    got = mix_report(make_docs(rows)).collect()
+    source = {r[0]: r[2] for r in rows}
+    check_mix(rows, [(*r, source[r.doc_id]) for r in got])
+    taken = sum(r.taken for r in got if r.doc_id == 1)
+    assert taken != 20_000 and abs(taken - next(r.target for r in got if r.doc_id == 1)) <= 10
+    mixed = mix(make_docs(rows)).groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in mixed}[1] == taken // 20
+
+
+def test_rows_without_ids_are_drawn_one_by_one(spark, make_docs):
+    rows = [(None, " ".join(["w"] * (10 + i % 7)) + f" t{i}", "a") for i in range(400)] + [(i, "x " * 30, "b") for i in range(20)]
+    got = mix_report(make_docs(rows)).collect()
+    by = {}
+    for r in got:
+        key = (r.source_size, r.target)
+        by[key] = by.get(key, 0) + r.taken
+    assert all(abs(n - t) <= 15 for (_, t), n in by.items())
+
+
+def test_columns_that_clash_with_internal_ones_stay(spark, make_docs):
+    df = make_docs([(1, "a b c", "a"), (2, "d e", "b"), (2, "d e", "b")]).selectExpr("*", "9 AS _tm_size", "8 AS _tm_doc", "7 AS more", "6 AS c")
+    out = mix(df)
+    assert out.columns == df.columns and {(r._tm_size, r._tm_doc, r.more, r.c) for r in out.collect()} == {(9, 8, 7, 6)}
+    assert mix(df.limit(0)).count() == 0
+
+
+def test_equal_rows_are_packed_in_several_shards(spark):
+    df = spark.range(300_000).selectExpr("1L AS doc_id", "7L AS n_tokens", "3 AS copies", "4 AS last")
+    got = pack(df.unionByName(spark.createDataFrame([(None, 5 * 10**7, 1, 1)], "doc_id long, n_tokens long, copies int, last int")))
+    assert got.select("shard").distinct().count() > 10
+    n, total = got.selectExpr("count(*)", "sum(n_tokens)").first()
+    assert n == 300_000 + -(-5 * 10**7 // 4096) and total == 2_100_000 + 5 * 10**7
+    assert max(r["count"] for r in got.groupBy("shard").count().collect()) < 25_000
+
+
+def test_each_bin_takes_the_piece_that_best_fits(spark):
+    """Against a plain search: same bins as scanning all open bins for the least room that fits, for the policy kept."""
+    import random
+
+    rng = random.Random(3)
+    for _ in range(20):
+        sizes = sorted((rng.randint(1, 4096) for _ in range(rng.randint(1, 120))), reverse=True)
+        cost = {c: sequence_cost(c, LENGTHS[-1]) for c in LENGTHS}
+        plans = []
+        for limit in LENGTHS:
+            room, used, left = [], [], sum(sizes)
+            for s in sizes:
+                open_bins = [(r, b) for b, r in enumerate(room) if r >= s]
+                if open_bins:
+                    least = min(r for r, _ in open_bins)
+                    b = next(b for r, b in open_bins if r == least)
+                else:
+                    allowed = [c for c in LENGTHS if s <= c <= limit] or [min(c for c in LENGTHS if c >= s)]
+                    room.append(min(allowed, key=lambda c: (cost[c] / min(c, left), c)))
+                    used.append(0)
+                    b = len(room) - 1
+                room[b] -= s
+                used[b] += s
+                left -= s
+            plans.append(sum(cost[min(c for c in LENGTHS if c >= u)] for u in used))
+        _, _, final = pack_lengths(sizes)
+        assert sum(cost[c] for c in final) <= min(plans) * 1.02

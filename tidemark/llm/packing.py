@@ -1,6 +1,6 @@
 """Best-fit packing into sequences of several permitted lengths.
 
-Documents are dealt by hash into shards of bounded size; each shard packs its pieces longest first into the open bin with
+Pieces of documents are dealt by hash into shards of bounded size; each shard packs its pieces longest first into the open bin with
 the least room that still fits. A new bin opens at the length that costs least for each token it can
 still receive, for each of several policies that limit how long it may be; the policy whose bins, cut down to
 the shortest permitted length that holds them, cost least in total is kept.
@@ -13,8 +13,13 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import materialize
+
 LENGTHS = (512, 1024, 2048, 4096)
+#: Pieces that a shard holds on average.
 SHARD_ROWS = 20_000
+#: Copies or pieces that one row stands for before they are dealt.
+SPAN = 4096
 
 
 def sequence_cost(length: int, longest: int, per_sequence: float = 32.0, attention: float = 0.1) -> float:
@@ -59,18 +64,25 @@ def pack_lengths(sizes: list[int], lengths: tuple[int, ...] = LENGTHS) -> tuple[
     return best[1], best[2], best[3]
 
 
-def pack(counted: DataFrame, lengths: tuple[int, ...] = LENGTHS, shard_rows: int = SHARD_ROWS, rows: int | None = None) -> DataFrame:
+def pack(counted: DataFrame, lengths: tuple[int, ...] = LENGTHS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Places every piece of every document: doc_id, piece, piece_start, n_tokens, shard, bin, bin_offset, seq_len.
 
-    counted: doc_id and n_tokens (null or below 1 counts as 1, the end token). Documents longer than the longest
-    length are cut into pieces of it and a rest. (shard, bin) names a sequence. Repeated rows are packed
-    each; null doc_ids are kept. rows: the number of documents if known, else they are counted.
+    counted: doc_id and n_tokens (null or below 1 counts as 1, the end token); further columns of any name are left out. Documents
+    longer than the longest length are cut into pieces of it and a rest. (shard, bin) names a sequence. Equal rows
+    are counted first, then each is packed on its own, dealt over all shards; null doc_ids are kept. An empty table gives an
+    empty result. Which of several equal rows is in which place can't be told, so reruns agree.
     """
     longest = max(lengths)
-    shards = max(1, math.ceil((counted.count() if rows is None else rows) / shard_rows))
-    slim = counted.select(F.col("doc_id").cast("long").alias("doc_id"), F.greatest(F.coalesce(F.col("n_tokens").cast("long"), F.lit(1)), F.lit(1)).alias("n"))
-    pieces = slim.withColumn("shard", F.pmod(F.xxhash64("doc_id", "n"), F.lit(shards)).cast("int")).select("shard", "doc_id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / longest))).alias("piece"))
-    cut = pieces.withColumn("n_tokens", F.least(F.lit(longest).cast("long"), F.col("n") - F.col("piece") * longest)).drop("n")
+    n = F.greatest(F.coalesce(F.col("n_tokens").cast("long"), F.lit(1)), F.lit(1)).alias("n")
+    rows, _ = materialize(counted.select(F.col("doc_id").cast("long").alias("doc_id"), n).groupBy("doc_id", "n").agg(F.count(F.lit(1)).alias("copies")), "counted")
+    total = rows.agg(F.sum(F.col("copies") * F.ceil(F.col("n") / longest)).alias("t")).first()["t"] or 0
+    shards = max(1, math.ceil(total / shard_rows))
+    # many copies, and the pieces of a very long document, are dealt on before they are written out
+    spans = rows.select("doc_id", "n", "copies", F.explode(F.expr(f"sequence(0L, copies - 1, {SPAN}L)")).alias("c0"), F.floor((F.col("n") - 1) / longest).alias("last"))
+    spans = spans.select("*", F.explode(F.expr(f"sequence(0L, last, {SPAN}L)")).alias("p0")).hint("rebalance")
+    each = spans.withColumn("copy", F.explode(F.expr(f"sequence(c0, least(c0 + {SPAN}L, copies) - 1)"))).withColumn("piece", F.explode(F.expr(f"sequence(p0, least(p0 + {SPAN}L - 1, last))")))
+    size = F.least(F.lit(longest).cast("long"), F.col("n") - F.col("piece") * longest)
+    cut = each.select(F.pmod(F.xxhash64("doc_id", "n", "copy", "piece"), F.lit(shards)).cast("int").alias("shard"), "doc_id", "piece", size.alias("n_tokens"))
 
     def run(group):
         group = group.sort_values(["n_tokens", "doc_id", "piece"], ascending=[False, True, True], kind="stable")

@@ -75,9 +75,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.packing import pack
     from tidemark.llm.tokens import count_report
 
-    docs = table(spark, sf_dir, "documents")
-    counted = count_report(docs, vocabulary()).withColumn("n_tokens", F.col("n_tokens") + 1)
-    return pack(counted, rows=docs.count())
+    counted = count_report(table(spark, sf_dir, "documents"), vocabulary()).withColumn("n_tokens", F.col("n_tokens") + 1)
+    return pack(counted)
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_document_fingerprints, op3_nearest_neighbours, op4_token_counts, op5_substring_dedup, op6_html_extraction, op7_simhash_near_dedup, op8_source_mixing, op9_token_output, op10_best_fit_packing)}
