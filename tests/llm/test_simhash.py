@@ -112,3 +112,21 @@ def test_fingerprint_of_spark_rows_matches(spark, make_docs):
     got = simhash_report(make_docs(rows)).select("doc_id", "fingerprint").orderBy(F.col("doc_id")).collect()
     assert [r.fingerprint for r in got] == [f"{brute_fingerprint(t):016x}" for _, t in rows]
     assert got[0].fingerprint == got[1].fingerprint
+
+
+def test_component_checks_do_not_overflow(spark):
+    from tidemark.llm.components import _mark
+
+    n, *marks = _mark(spark.range(30_000_000).selectExpr("id AS u", "id + 1 AS v"))
+    assert n == 30_000_000 and marks != [0, 0]
+
+
+def test_keys_of_a_fingerprint_stay_bounded(spark):
+    """Millions of fingerprints in shards over any limit: at most 35 keys each, whatever their number."""
+    from tidemark.llm.simhash import _keys
+
+    fps = spark.range(5_000_000).select(F.xxhash64("id").alias("fp"))
+    for blocks, keys in ((4, 4), (5, 10), (6, 20), (7, 35)):
+        assert fps.limit(1000).select(_keys(F.col("fp"), 3, blocks)).count() == 1000 * keys
+    largest = fps.select(_keys(F.col("fp"), 3, 4).alias("k")).groupBy("k").count().agg(F.max("count")).first()[0]
+    assert largest < 200_000

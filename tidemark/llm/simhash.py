@@ -5,11 +5,15 @@ radius, so a shard's tree is all that its members must search. In a shard's BK-t
 distance to its parent, and a search follows only the edges within the radius of the query's own distance. Trees travel with
 their shard rather than by broadcast, since all of them together grow with the corpus. A shard emits a spanning
 star of its links; stars are merged into components across shards.
+
+Near duplicates by word shingles (near_classes) go further apart in bits than such shards allow for: sets of a Jaccard similarity of
+0.8 differ in 9.7 of 64 bits on average. There bands of min-hashes deal the shards, trees are searched with a wide radius, and
+the whole shingle sets decide each link.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -130,28 +134,17 @@ def union(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             parent[:] = up
 
 
-def alike(sig: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether the signatures at a[i] and b[i] agree on enough of the bins in use. Two empty ones do."""
-    out = np.empty(len(a), bool)
-    for i in range(0, len(a), 8192):
-        x, y = sig[a[i : i + 8192]], sig[b[i : i + 8192]]
-        used = ((x | y) > 0).sum(axis=1)
-        out[i : i + 8192] = ((x == y) & (x > 0)).sum(axis=1) >= similarity * used
-    return out
+def busy_rows(shard: np.ndarray) -> np.ndarray:
+    """Positions of rows that aren't alone in their shard."""
+    same = shard[1:] == shard[:-1]
+    return np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same])) if len(shard) else np.zeros(0, np.int64)
 
 
-def shard_links(shard: np.ndarray, fp: np.ndarray, radius: int, sig: np.ndarray | None = None, similarity: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+def shard_links(shard: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """A star for each connected group in each shard: (member, root) positions."""
-    same = shard[1:] == shard[:-1]
-    busy = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(shard) else np.zeros(0, bool)
-    where = np.flatnonzero(busy)
+    where = busy_rows(shard)
     forest, parent = BkForest(shard[where], fp[where]), np.arange(len(where))
     for q, node in forest.hits(np.arange(len(where)), radius):
-        if sig is not None:
-            apart = parent[q] != parent[node]  # what is connected already needs no look
-            q, node = q[apart], node[apart]
-            true = alike(sig, where[q], where[node], similarity)
-            q, node = q[true], node[true]
         union(parent, q, node)
     member = np.flatnonzero(parent != np.arange(len(where)))
     return where[member], where[parent[member]]
@@ -163,91 +156,98 @@ def _bits(blocks: int, start: int = 0, stop: int = 64) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def _keys(fp: Column, radius: int, blocks: int, band: Column) -> Column:
+def _keys(fp: Column, radius: int, blocks: int) -> Column:
     """Shard keys: each choice of blocks - radius blocks with the bits in them; partners share at least one key."""
     spots, choices = _bits(blocks), list(combinations(range(blocks), blocks - radius))
     keys = []
     for i, choice in enumerate(choices):
         mask = sum(((1 << spots[c][1]) - 1) << spots[c][0] for c in choice)
         mask = mask - (1 << 64) if mask >> 63 else mask
-        keys.append(F.struct((band * len(choices) + i).cast("int").alias("choice"), fp.bitwiseAND(F.lit(mask)).alias("bits")))
+        keys.append(F.struct(F.lit(i).alias("choice"), fp.bitwiseAND(F.lit(mask)).alias("bits")))
     return F.explode(F.array(*keys))
 
 
-def links(distinct: DataFrame, radius: int = 3, limit: int = SHARD_LIMIT, similarity: float = 0.0) -> DataFrame:
+def links(distinct: DataFrame, radius: int = 3, limit: int = SHARD_LIMIT) -> DataFrame:
     """(u, v) bigints: spanning edges of the groups of fingerprints that links of at most `radius` bits connect.
 
-    distinct: a column fp without repeats; with a column band, only fingerprints of one band are compared; with a
-    column sig, links also take the similarity. Shards that exceed the limit are dealt again with one block more (longer keys,
+    distinct: a column fp without repeats. Shards that exceed the limit are dealt again with one block more (longer keys,
     so smaller shards); with radius + 4 blocks they're searched as they are. Every link is found in each case; no partner
     is dropped.
     """
-    blocks, todo, found = radius + 1, distinct, None
-    band = F.col("band") if "band" in distinct.columns else F.lit(0)
+    blocks, todo, found = radius + 1, distinct.select("fp"), None
     while True:
-        keyed = todo.select(*distinct.columns, _keys(F.col("fp"), radius, blocks, band).alias("key"))
+        keyed = todo.select("fp", _keys(F.col("fp"), radius, blocks).alias("key"))
         crowded = None
         if blocks < radius + 4:
-            crowded, _ = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select("key"), "crowded", small=True)
+            crowded, _ = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select("key"), "crowded")
         again = crowded is not None and not crowded.isEmpty()
-        part = _search(keyed.join(crowded, "key", "left_anti") if again else keyed, radius, similarity)
+        part = _search(keyed.join(crowded, "key", "left_anti") if again else keyed, radius)
         found = part if found is None else found.unionByName(part)
         if not again:
             return found
-        spots = ["fp", "band"] if "band" in distinct.columns else ["fp"]
-        todo, blocks = keyed.join(crowded, "key", "left_semi").dropDuplicates(spots).select(*distinct.columns), blocks + 1
+        todo, blocks = keyed.join(crowded, "key", "left_semi").select("fp").distinct(), blocks + 1
 
 
-def _search(keyed: DataFrame, radius: int, similarity: float = 0.0) -> DataFrame:
-    """Spanning edges of each shard. With a column sig, a link also takes an estimated similarity of the signatures."""
-    spread, signed = partitions(keyed.sparkSession), "sig" in keyed.columns
-    names = ["choice", "bits", "fp", *(["sig"] if signed else [])]
-    ordered = keyed.select("key.choice", "key.bits", *names[2:]).repartition(spread, "choice", "bits").sortWithinPartitions("choice", "bits", "fp")
+def by_shard(ordered: DataFrame, search: Callable[[np.ndarray, list[np.ndarray]], tuple[np.ndarray, np.ndarray]], keys: int, least: int = 50_000) -> DataFrame:
+    """(u, v): what search finds in whole shards. Rows come sorted by their first `keys` columns, which name a shard; some shards are searched at once."""
+    width = len(ordered.columns)
 
-    def emit(rows: list[list]):
-        choice, bits, fp = (np.concatenate([r[i] for r in rows]) for i in range(3))
-        sig = np.frombuffer(b"".join(x for r in rows for x in r[3]), np.uint8).reshape(len(fp), -1) if signed else None
-        new = np.concatenate([[True], (choice[1:] != choice[:-1]) | (bits[1:] != bits[:-1])])
-        a, b = shard_links(np.cumsum(new), fp.view(np.uint64), radius, sig, similarity)
-        return pa.RecordBatch.from_arrays([pa.array(fp[a]), pa.array(fp[b])], names=["u", "v"])
+    def emit(held: list[list[np.ndarray]]):
+        cols = [np.concatenate([h[i] for h in held]) for i in range(width)]
+        new = np.zeros(len(cols[0]), bool)
+        new[0] = True
+        for c in cols[:keys]:
+            new[1:] |= c[1:] != c[:-1]
+        u, v = search(np.cumsum(new), cols[keys:])
+        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     def run(batches):
-        held: list = []
-        size = 0
+        held: list[list[np.ndarray]] = []  # whole shards, the last of which may go on
+        size, head = 0, None  # head: rows of held that belong to shards before the last
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-            if signed:
-                rows.append(batch.column(3).to_pylist())
-            held.append(rows)
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(width)]
+            last = np.ones(len(cols[0]), bool)
+            for c in cols[:keys]:
+                last &= c == c[-1]
+            cut = len(last) - int(last[::-1].argmin()) if not last.all() else 0  # rows of this batch before its last shard
+            goes_on = held and all(held[-1][i][-1] == cols[i][0] for i in range(keys))
+            if cut or not goes_on:
+                head = (len(held), cut)
+            held.append(cols)
             size += batch.num_rows
-            if size < 50_000:
-                continue
-            # search the shards that are complete and keep the last one; it ends somewhere in the newest batch or goes on
-            cut = int(np.count_nonzero((rows[0] != rows[0][-1]) | (rows[1] != rows[1][-1])))
-            if cut or held[0][0][0] != rows[0][-1] or held[0][1][0] != rows[1][-1]:
-                if cut:
-                    done, held = [*held[:-1], [r[:cut] for r in rows]], [[r[cut:] for r in rows]]
-                else:
-                    whole = [h for h in held if h[0][-1] != rows[0][-1] or h[1][-1] != rows[1][-1]]
-                    edge = held[len(whole)]
-                    part = int(np.count_nonzero((edge[0] != rows[0][-1]) | (edge[1] != rows[1][-1])))
-                    done, held = [*whole, [r[:part] for r in edge]], [[r[part:] for r in edge], *held[len(whole) + 1 :]]
-                size = sum(len(h[0]) for h in held)
+            if size >= least and head and (head[0] or head[1]):
+                k, at = head
+                done = [*held[:k], [c[:at] for c in held[k]]]
+                held = [[c[at:] for c in held[k]], *held[k + 1 :]]
                 done = [h for h in done if len(h[0])]
+                size, head = sum(len(h[0]) for h in held), None
                 if done:
                     yield emit(done)
-        if size:
-            yield emit([h for h in held if len(h[0])])
+        held = [h for h in held if len(h[0])]
+        if held:
+            yield emit(held)
 
     return ordered.mapInArrow(lean(run), "u long, v long")
 
 
-#: Bins of a one-permutation signature, a byte each; 0: empty. Texts of fewer shingles are held almost whole.
-BINS = 512
-#: Documents whose shingles tell which are frequent in the corpus, and from how many of them on one counts as frequent.
-SAMPLE_DOCS, FREQUENT = 4000, 4
+def _search(keyed: DataFrame, radius: int) -> DataFrame:
+    """Spanning edges of each shard."""
+    ordered = keyed.select("key.choice", "key.bits", "fp").repartition(partitions(keyed.sparkSession), "choice", "bits").sortWithinPartitions("choice", "bits", "fp")
+
+    def search(shard, cols):
+        a, b = shard_links(shard, cols[0].view(np.uint64), radius)
+        return cols[0][a], cols[0][b]
+
+    return by_shard(ordered, search, 2)
+
+
+#: Bands of min-hashes, and hashes a band. Two sets of Jaccard similarity 0.8 share a band with a chance of 0.9993, at 0.85 of 0.99999.
+BANDS, ROWS = 24, 6
+#: Bits in which SimHashes of sets of a similarity of 0.8 may differ: about three standard deviations over the mean of 9.7.
+WIDE_RADIUS = 18
+_MULTIPLIERS = np.array([(2 * i + 1) * 0x9E3779B97F4A7C15 % (1 << 64) | 1 for i in range(1, BANDS * ROWS + 1)], np.uint64)
 
 
 def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
@@ -258,118 +258,28 @@ def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
     return np.unique(Hashes(parts).runs(min(words, len(parts)))) if parts else np.zeros(0, np.uint64)
 
 
-def signature(text: str | None, words: int = 5) -> tuple[bytes, int]:
-    """One-permutation signature of the text's distinct word shingles, and their number.
-
-    Each shingle falls into one bin by its hash and each bin keeps a byte of its least one, so of two texts the share of equal
-    bins among those in use estimates the Jaccard similarity of their shingle sets.
-    """
-    h = shingle_set(text, words)
-    return _signed(h), len(h)
-
-
-def _signed(h: np.ndarray) -> bytes:
-    out = np.zeros(BINS, np.uint8)
-    if len(h):
-        place = (h >> np.uint64(55)).astype(np.intp)
-        first = np.concatenate([[True], place[1:] != place[:-1]])  # hashes are sorted, so the first of a bin is its least
-        out[place[first]] = (h[first] >> np.uint64(20)).astype(np.uint64) % np.uint64(255) + np.uint64(1)
-    return out.tobytes()
-
-
-def frequent_shingles(docs: DataFrame, words: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted shingles that many of a sample of documents hold, and their numbers. Only speed depends on them."""
-    share = max(1, docs.count() // SAMPLE_DOCS)
-    taken = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select("text").limit(2 * SAMPLE_DOCS)
-
-    def run(batches):
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t, words).view(np.int64))], names=["h"])
-
-    found = taken.mapInArrow(lean(run), "h long").groupBy("h").count().filter(F.col("count") >= FREQUENT).orderBy(F.desc("count"), "h").limit(100_000).toPandas()
-    h, n = found["h"].to_numpy(np.int64).view(np.uint64), found["count"].to_numpy(np.int64)
-    order = np.argsort(h)
-    return h[order], n[order]
-
-
-def prefix(h: np.ndarray, similarity: float, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The first shingles in an order that is the same for all sets, rare ones first: as many as a set must have so that every
-    other set of the similarity holds one of them within its own prefix."""
+def set_simhash(h: np.ndarray) -> int:
+    """SimHash of a set of shingle hashes."""
     if not len(h):
-        return h
-    hot, often = frequent
-    weight = np.zeros(len(h), np.int64)
-    if len(hot):
-        at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
-        weight = np.where(hot[at] == h, often[at], 0)
-    keep = len(h) - int(np.ceil(similarity * len(h) - 1e-6)) + 1
-    return h[np.lexsort((h, weight))][:keep]
-
-
-def prefix_pairs(key: np.ndarray, n: np.ndarray, place: np.ndarray, cid: np.ndarray, root: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of sets that share a prefix shingle, may have the similarity by their sizes and places, and aren't yet linked.
-
-    Rows come sorted by key and size: each is held against the next, the next but one and so on, while key and sizes allow.
-    """
-    u, v, step, act = [], [], 0, np.arange(len(key))
-    while len(act):
-        step += 1
-        act = act[act + step < len(key)]
-        act = act[(key[act] == key[act + step]) & (n[act + step] * similarity <= n[act] + 1e-6)]
-        j = act + step
-        need = (n[act] + n[j]) * similarity / (1 + similarity) - 1e-6
-        ok = (np.minimum(n[act] - place[act], n[j] - place[j]) >= need) & (root[act] != root[j])
-        u.append(np.minimum(cid[act[ok]], cid[j[ok]]))
-        v.append(np.maximum(cid[act[ok]], cid[j[ok]]))
-    u, v = np.concatenate([np.zeros(0, np.int64), *u]), np.concatenate([np.zeros(0, np.int64), *v])
-    if len(u):
-        u, v = np.unique(np.stack([u, v]), axis=1)
-    return u, v
-
-
-def _prefix_candidates(sets: DataFrame, similarity: float, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(u, v): distinct pairs of cids of sets (cid, root, shingles) that may have the similarity. None that has it is left out."""
-    spark = sets.sparkSession
-    shared = spark.sparkContext.broadcast(frequent)  # at most 100,000 numbers and their counts
-
-    def spread(batches):
-        for b in batches:
-            found = [np.frombuffer(x, np.uint64) for x in b.column(2).to_pylist()]
-            firsts = [prefix(h, similarity, shared.value) for h in found]
-            size = np.array([len(p) for p in firsts], np.int64)
-            if not size.sum():
-                continue
-            wide = [np.repeat(b.column(i).to_numpy(zero_copy_only=False), size) for i in (0, 1)]
-            n = np.repeat(np.array([len(h) for h in found], np.int32), size)
-            place = np.concatenate([np.arange(len(p), dtype=np.int32) for p in firsts])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(firsts).view(np.int64)), pa.array(n), pa.array(place), *map(pa.array, wide)], names=["key", "n", "place", "cid", "root"])
-
-    rows = sets.select("cid", "root", "shingles").mapInArrow(lean(spread), "key long, n int, place int, cid long, root long")
-    ordered = rows.repartition(partitions(spark), "key").sortWithinPartitions("key", "n")
-
-    def pairs(batches):
-        held: list[list[np.ndarray]] = []
-
-        def emit(whole: list[np.ndarray]):
-            u, v = prefix_pairs(*whole, similarity)
-            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+        return 0
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(h), 65_536):
+        counts += np.unpackbits(h[at : at + 65_536].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * counts > len(h), bitorder="little").tobytes(), "little")
 
-        for b in batches:
-            if not b.num_rows:
-                continue
-            held.append([b.column(i).to_numpy(zero_copy_only=False) for i in range(5)])
-            if sum(len(h[0]) for h in held) < 200_000:
-                continue
-            whole = [np.concatenate([h[i] for h in held]) for i in range(5)]
-            cut = int(np.searchsorted(whole[0], whole[0][-1]))  # the last key may go on in the next batch
-            held = [[c[cut:] for c in whole]]
-            if cut:
-                yield emit([c[:cut] for c in whole])
-        if held:
-            yield emit([np.concatenate([h[i] for h in held]) for i in range(5)])
 
-    return ordered.mapInArrow(lean(pairs), "u long, v long").distinct()
+def band_keys(h: np.ndarray) -> np.ndarray:
+    """A key for each band of a set's min-hashes; an empty set has equal keys."""
+    least = np.full(BANDS * ROWS, ~np.uint64(0))
+    for at in range(0, len(h), 512):
+        mixed = h[at : at + 512, None] * _MULTIPLIERS[None, :]
+        mixed ^= mixed >> np.uint64(32)
+        np.minimum(least, mixed.min(axis=0), out=least)
+    keys = np.zeros(BANDS, np.uint64)
+    for row in least.reshape(BANDS, ROWS).T:
+        keys = (keys ^ row) * np.uint64(0xD6E8FEB86659FD93)
+        keys ^= keys >> np.uint64(29)
+    return keys + np.arange(BANDS, dtype=np.uint64)
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -389,50 +299,121 @@ def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.mapInArrow(lean(run), "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int = 5, radius: int = 10, limit: int = 4096) -> DataFrame:
-    """doc_id, component_id: documents that links of a shingle similarity of `similarity` or more connect.
+def _rest_of_shards(rows: DataFrame, similarity: float, limit: int) -> DataFrame:
+    """(u, v): pairs of a band's shard that aren't connected yet, whose sizes allow the similarity and whose SimHashes are near.
 
-    Every link is decided by the Jaccard similarity of the whole shingle sets. Pairs within `radius` bits of SimHash whose
-    signatures look alike are tried first. All others that are not connected by then are found by prefix filtering, which is
-    complete: of two sets of the similarity, each has a shingle in common with the other in its prefix. Texts with equal shingle sets
-    are one class. Nulls, repeated rows and empty tables as in near_groups.
+    rows: key, cid, root, fp, n of shards with several roots. A shard above the limit is cut into blocks by hash and each pair
+    of blocks is searched as a shard of its own, so tasks stay bounded and no pair is left out.
+    """
+    spark = rows.sparkSession
+    sizes, _ = materialize(rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > limit).select("key", F.ceil(F.col("c") / limit).cast("int").alias("blocks")), "crowded")
+    cut = rows.join(sizes, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("cid", F.lit(3)), F.col("blocks")))
+    other = F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
+    dealt = cut.select("key", "own", other, "cid", "root", "fp", "n").select("key", (F.least("own", "other") * 65_536 + F.greatest("own", "other")).cast("long").alias("block"), "cid", "root", "fp", "n")
+    ordered = dealt.repartition(partitions(spark), "key", "block").sortWithinPartitions("key", "block", "fp", "cid")
+
+    def search(shard, cols):
+        cid, root, fp, n = cols
+        where = busy_rows(shard)
+        # a tree holds distinct fingerprints; equal ones hang on the first of them
+        s, f = shard[where], fp[where].view(np.uint64)
+        first = np.concatenate([[True], (s[1:] != s[:-1]) | (f[1:] != f[:-1])]) if len(where) else np.zeros(0, bool)
+        heads = np.flatnonzero(first)
+        count = np.diff(np.append(heads, len(where)))
+        forest = BkForest(s[heads], f[heads])
+        us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+
+        def keep(a, b):
+            a, b = where[a], where[b]
+            ok = (root[a] != root[b]) & (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-6) & (cid[a] != cid[b])
+            us.append(np.minimum(cid[a[ok]], cid[b[ok]]))
+            vs.append(np.maximum(cid[a[ok]], cid[b[ok]]))
+
+        def spread(q, node):
+            """All rows of a head's fingerprint with all rows of the other's."""
+            total = count[q] * count[node]
+            k = np.repeat(np.arange(len(q)), total)
+            i = np.arange(len(k)) - np.repeat(np.cumsum(total) - total, total)
+            keep(heads[q[k]] + i // count[node[k]], heads[node[k]] + i % count[node[k]])
+
+        many = np.flatnonzero(count > 1)
+        spread(many, many)
+        for q, node in forest.hits(np.arange(len(heads)), WIDE_RADIUS):
+            half = q < node
+            spread(q[half], node[half])
+        u, v = np.concatenate(us), np.concatenate(vs)
+        if len(u):
+            u, v = np.unique(np.stack([u, v]), axis=1)
+        return u, v
+
+    return by_shard(ordered.select("key", "block", "cid", "root", "fp", F.col("n").cast("long").alias("n")), search, 2).distinct()
+
+
+def near_classes(docs: DataFrame, similarity: float = 0.8, words: int = 5, limit: int = SHARD_LIMIT) -> DataFrame:
+    """doc_id, row (xxhash64 of the text), component_id, root for every row of docs; root names a component without fail.
+
+    Every link is decided by the Jaccard similarity of the whole shingle sets. Texts with equal sets are one class. Classes that share a
+    band of min-hashes form a shard; each is first held against its shard's least, and what isn't connected by then
+    is searched in the shard's BK-tree of SimHashes.
     """
     import xxhash
 
     small_batches(docs.sparkSession)
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("row", F.xxhash64("text"))
 
     def run(batches):
         for b in batches:
-            texts = b.column(1).to_pylist()
-            found = [shingle_set(t, words) for t in texts]
-            fp = np.array([simhash(t) for t in texts], dtype=np.uint64).view(np.int64)
+            found = [shingle_set(t, words) for t in b.column(1).to_pylist()]
+            fp = np.array([set_simhash(h) for h in found], dtype=np.uint64).view(np.int64)
             cid = np.array([xxhash.xxh3_64_intdigest(h.tobytes()) for h in found], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cid), pa.array(fp), pa.array([len(h) for h in found], pa.int32()), pa.array([_signed(h) for h in found], pa.binary()), pa.array([h.tobytes() for h in found], pa.binary())], names=["doc_id", "cid", "fp", "n", "sig", "shingles"])
-
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marks, _ = materialize(slim.mapInArrow(lean(run), "doc_id long, cid long, fp long, n int, sig binary, shingles binary"), "marks")
-    classes, _ = materialize(marks.groupBy("cid").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp")), "mark-classes", small=True)
-    sets = marks.select("cid", "shingles").dropDuplicates(["cid"])
-
-    # one class stands for its fingerprint; sizes whose ratio allows the similarity lie in one band or two neighbouring ones
-    heads = classes.groupBy("fp").agg(F.min("cid").alias("head"))
-    band = F.floor(F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")) / F.log(F.lit(1 / similarity))).cast("int")
-    signed = marks.join(heads, F.col("cid") == F.col("head")).groupBy(heads["fp"]).agg(F.min("n").alias("n"), F.min("sig").alias("sig"))
-    banded, _ = materialize(signed.select("fp", "sig", F.explode(F.array(band, band + 1)).alias("band")), "mark-bands", small=True)
-    near = links(banded.select("fp", "band"), radius, limit)
-    flagged, _ = materialize(near.select(F.explode(F.array("u", "v")).alias("fp")).distinct(), "mark-candidates", small=True)
-    stars = links(banded.join(flagged, "fp"), radius, limit, similarity=similarity)
-    of = lambda k: heads.select(F.col("fp").alias(k), F.col("head").alias(f"{k}_cid"))
-    proposed = stars.join(of("u"), "u").join(of("v"), "v").select(F.col("u_cid").alias("u"), F.col("v_cid").alias("v"))
-    proposed = proposed.unionByName(classes.join(heads, "fp").filter("cid <> head").select(F.col("head").alias("u"), F.col("cid").alias("v"))).distinct()
-    tried, _ = materialize(_alike(proposed, sets, similarity), "mark-links", small=True)
-
-    reached, _ = materialize(components(tried), "mark-linked", small=True)
-    rooted = sets.join(reached.select(F.col("node").alias("cid"), "root"), "cid", "left").select("cid", F.coalesce("root", "cid").alias("root"), "shingles")
-    candidates, _ = materialize(_prefix_candidates(rooted, similarity, frequent_shingles(slim, words)), "mark-pairs", small=True)
-    edges, _ = materialize(tried.unionByName(_alike(candidates, sets, similarity)), "mark-edges", small=True)
-    named = _named(marks.select("doc_id", F.col("cid").alias("fp")), classes.select(F.col("cid").alias("fp"), "least"), edges)
-    return named.select("doc_id", "component_id")
+            keys = np.array([band_keys(h) for h in found], dtype=np.uint64).reshape(len(found), BANDS).view(np.int64)
+            bands = pa.ListArray.from_arrays(pa.array(np.arange(0, len(found) * BANDS + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(cid), pa.array(fp), pa.array([len(h) for h in found], pa.int32()), bands], names=["doc_id", "row", "cid", "fp", "n", "bands"])
+
+    marks, _ = materialize(slim.mapInArrow(lean(run), "doc_id long, row long, cid long, fp long, n int, bands array<bigint>"), "marks")
+    shown = [F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "row")).alias("shown"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("bands").alias("bands")]
+    classes, _ = materialize(marks.groupBy("cid").agg(*shown), "mark-classes")
+    keyed = classes.select("cid", F.explode("bands").alias("key"))
+    shards = keyed.groupBy("key").agg(F.min("cid").alias("lead"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("key", "lead")
+    members, _ = materialize(keyed.join(shards, "key"), "shards")
+
+    # the shingles of the classes that have any partner, made again from the text that shows the class
+    some = members.select("cid").distinct().join(classes, "cid").select("cid", F.col("shown.doc_id").alias("i"), F.col("shown.row").alias("r"))
+    wanted, _ = materialize(some, "mark-wanted", small=True)
+
+    def shingled(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, words).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["cid", "shingles"])
+
+    texts = slim.join(wanted, slim["doc_id"].eqNullSafe(F.col("i")) & slim["row"].eqNullSafe(F.col("r"))).select("cid", "text")
+    sets, _ = materialize(texts.mapInArrow(lean(shingled), "cid long, shingles binary").dropDuplicates(["cid"]), "mark-sets")
+
+    first = members.filter("cid <> lead").select(F.col("lead").alias("u"), F.col("cid").alias("v")).distinct()
+    tried, _ = materialize(_alike(first, sets, similarity), "mark-links", small=True)
+    reached, _ = materialize(components(tried), "mark-linked")
+    rooted = members.join(reached.select(F.col("node").alias("cid"), "root"), "cid", "left").select("key", "cid", F.coalesce("root", "cid").alias("root"))
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("c")).filter("a <> b AND c > 2").select("key")
+    open_rows, _ = materialize(rooted.join(mixed, "key").join(classes.select("cid", "fp", "n"), "cid"), "mark-open", small=True)
+    more, _ = materialize(_rest_of_shards(open_rows, similarity, limit).join(first, ["u", "v"], "left_anti"), "mark-pairs")
+    edges, _ = materialize(tried.unionByName(_alike(more, sets, similarity)), "mark-edges", small=True)
+
+    stars = components(edges)
+    stars = stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
+    named = stars.join(classes.select("cid", "least"), F.col("node") == F.col("cid")).groupBy("root").agg(F.min("least").alias("component_id"))
+    linked = stars.join(named, "root").select(F.col("node").alias("cid"), "component_id", "root")
+    ids = classes.select("cid", "least").join(linked, "cid", "left").select("cid", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("root", "cid").alias("root"))
+    ids, _ = materialize(ids, "near-ids", small=True)  # so that the last join has a shuffle on either side, which hot classes can split
+    return marks.select("doc_id", "row", "cid").join(ids, "cid").select("doc_id", "row", "component_id", "root")
+
+
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int = 5, limit: int = SHARD_LIMIT) -> DataFrame:
+    """doc_id, component_id: documents that links of a shingle similarity of `similarity` or more connect.
+
+    Texts without words are alike; a text of fewer words than a shingle is one shingle; very long texts count whole. Null doc_ids
+    keep their row and never name a component. Repeated rows stay; an empty table gives an empty one; further columns of any
+    name play no part.
+    """
+    return near_classes(docs, similarity, words, limit).select("doc_id", "component_id")
 
 
 def _named(marks: DataFrame, classes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -446,24 +427,38 @@ def _named(marks: DataFrame, classes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
-    """The document of smallest doc_id of each near-duplicate group, with the columns of docs. Null doc_ids all stay."""
-    groups = near_duplicates(docs, similarity, words)
-    gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("_tm_gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"].cast("long") == F.col("_tm_gone"), "left_anti")
-    again = groups.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").limit(1)
-    return kept if again.isEmpty() else kept.filter("doc_id IS NULL").unionByName(kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+    """The document of smallest doc_id of each near-duplicate group, with the columns of docs, whatever their names.
+
+    Rows with a null doc_id all stay. Of several rows of that doc_id in one group one stays; rows of one doc_id in different groups
+    each stand for theirs. Texts without words are one group. An empty table stays empty.
+    """
+    groups, _ = materialize(near_classes(docs, similarity, words), "near-groups", small=True)
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("row"))
+    gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("id"), "row").distinct()
+    kept = marked.join(gone, ["id", "row"], "left_anti")
+    stay = groups.filter("doc_id = component_id")
+    several = stay.groupBy("root").count().filter("count > 1").select("root")
+    if several.isEmpty():
+        return kept.select("doc.*")
+    several, _ = materialize(several, "near-several")
+    which = stay.join(several, "root").select(F.col("doc_id").alias("id"), "row", "root").distinct()
+    again = kept.join(which, ["id", "row"], "left")
+    one = again.filter("root IS NOT NULL").groupBy("root").agg(F.min_by("doc", F.struct("row", F.xxhash64("doc"))).alias("doc"))
+    return again.filter("root IS NULL").select("doc.*").unionByName(one.select("doc.*"))
 
 
 def near_groups(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     """doc_id, fp, component_id of every document; component_id is the smallest doc_id its links reach.
 
-    Documents without words have fingerprint zero and are linked like any other. Null doc_ids keep their row and never
-    name a component (a component of nulls only has a null id). Repeated rows stay; an empty table gives an empty one.
+    Documents without words (null, empty, white space) have fingerprint zero and are linked like any other; very long texts
+    count whole. Null doc_ids keep their row and never name a component (a component of nulls only has a null id).
+    Repeated rows stay; an empty table gives an empty one; further columns of any name play no part.
     """
     marks, _ = materialize(fingerprints(docs, words), "simhash")
-    classes, _ = materialize(marks.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "simhash-classes", small=True)
+    classes, _ = materialize(marks.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "simhash-classes")
     return _named(marks, classes, links(classes))
 
 
 def simhash_report(docs: DataFrame) -> DataFrame:
+    """doc_id, fingerprint (16 lowercase hexadecimal digits), component_id; nulls, ties, repeats and empty tables as in near_groups."""
     return near_groups(docs).select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
