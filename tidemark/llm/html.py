@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import lean, materialize, partitions, small_batches
 
 #: Pages, and characters of html, that share one template.
-GROUP_PAGES, GROUP_CHARS = 1000, 32 << 20
+GROUP_PAGES, GROUP_CHARS = 250, 32 << 20
 #: Characters of html for one task.
 TASK_CHARS = 16 << 20
 #: A text is template if it is on this share of the different pages that have its node, and inside the content on at least so many.
