@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from tidemark.functions.registry import BatchTransformer
+from tidemark.plans.resilience import CircuitBreaker, Open
 
 
 @dataclass
@@ -18,8 +19,34 @@ class Answer:
     data: dict | None = None
 
 
-class RemoteError(RuntimeError):
-    """The batch has to be tried again."""
+#: Stands in the text of errors that a worker raises, by which the driver knows them again.
+MARK = "tidemark-retryable"
+
+
+class Retryable(RuntimeError):
+    """A failure that says nothing about the batch: it has to be tried again and is never counted against it."""
+
+    def __str__(self) -> str:
+        return f"[{MARK}] {super().__str__()}"
+
+
+class RemoteError(Retryable):
+    """The remote function asks for another try, or its answers can't be matched to the records."""
+
+
+class TransportError(Retryable):
+    """A failure of the way to a remote function or a sink."""
+
+
+def retryable(error: BaseException) -> bool:
+    """Whether an error, or what a worker's error has become on the driver, is one of these."""
+    seen: set[int] = set()
+    while error is not None and id(error) not in seen:
+        if isinstance(error, Retryable) or f"[{MARK}]" in str(error):
+            return True
+        seen.add(id(error))
+        error = error.__cause__ or error.__context__
+    return False
 
 
 def requests(sizes: list[int], budget: int) -> list[tuple[int, int]]:
@@ -33,19 +60,28 @@ def requests(sizes: list[int], budget: int) -> list[tuple[int, int]]:
     return [*out, (start, len(sizes))] if sizes else out
 
 
-def remote(ask: Callable[[list[dict]], list[Answer]], budget: int = int(0.95 * (1 << 20)), close: Callable[[], None] | None = None) -> BatchTransformer:
+def remote(ask: Callable[[list[dict]], list[Answer]], budget: int = int(0.95 * (1 << 20)), close: Callable[[], None] | None = None, breaker: Callable[[], CircuitBreaker] | None = CircuitBreaker) -> BatchTransformer:
     """Fails closed: an error of the call, a wrong number of answers or a retryable failure fails the batch.
 
-    A failure that isn't retryable drops its record, except a schema change, which always has to be tried again.
+    A failure that isn't retryable drops its record, except a schema change, which always has to be tried again. Each worker
+    has a breaker of its own; while it is open, calls fail at once as failures of the way.
     """
 
     def run(frames):
+        guard = breaker() if breaker else None
+
+        def call(rows):
+            try:
+                return guard.call(lambda: ask(rows)) if guard else ask(rows)
+            except (OSError, Open) as error:
+                raise TransportError(f"{type(error).__name__}: {error}") from error
+
         for d in frames:
             rows = d.to_dict("records")
             sizes = [sum(len(str(k)) + len(str(v)) for k, v in dict(r.get("data") or {}).items()) + 64 for r in rows]
             keep, data = [], []
             for a, b in requests(sizes, budget):
-                answers = ask(rows[a:b])
+                answers = call(rows[a:b])
                 if len(answers) != b - a:
                     raise RemoteError(f"{len(answers)} answers to {b - a} records")
                 for row, answer in zip(rows[a:b], answers, strict=True):

@@ -75,3 +75,11 @@ def latency_ms(rows: DataFrame, start: str, end: str) -> DataFrame:
 
 def rank_in_table(rows: DataFrame) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy("table_schema", "table_name").orderBy(F.desc("message_timestamp"), F.desc("lsn"))))
+
+
+def schema_changes(changes: DataFrame, pipeline: str, sink: str, now: Column) -> DataFrame:
+    """Audit rows of schema changes."""
+    return changes.select(
+        F.concat_ws("-", "table_schema", "table_name", "lsn", "seq").alias("correlation_id"), F.lit(pipeline).alias("pipeline_id"), "source_id", F.lit(sink).alias("sink_id"), "table_schema", "table_name",
+        "op", canonical_json(F.col("data")).alias("payload"), now.alias("captured_at"), F.col("ts").alias("message_timestamp"),
+    )

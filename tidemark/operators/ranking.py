@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.streaming.scratch import root
+from tidemark.streaming.scratch import root, temporary
 
 
 def row_numbers(rows: DataFrame, by: list[str], order: list[str], out: str = "row") -> DataFrame:
@@ -21,7 +21,7 @@ def row_numbers(rows: DataFrame, by: list[str], order: list[str], out: str = "ro
     dealt = rows.repartitionByRange(spread, *by, *order).withColumn("_part", F.spark_partition_id())
     path = f"{root(spark)}/tidemark/ranked-{uuid.uuid4().hex}"
     dealt.withColumn("_row", F.row_number().over(Window.partitionBy("_part", *by).orderBy(*order))).write.parquet(path)
-    saved = spark.read.parquet(path)
+    saved = spark.read.parquet(temporary(spark, path))
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range that a group touches
     counted = saved.groupBy("_part", *by).agg(F.max("_row").alias("_n")).withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     starts = counted.select(F.col("_part").alias("_p"), "_start", *[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)])

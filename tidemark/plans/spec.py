@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from tidemark.functions.identity import TableRef
+from tidemark.functions.identity import TableRef, checked_identifier
 from tidemark.functions.registry import Processor
 from tidemark.functions.timing import parse_duration
 from tidemark.sources.envelope import OPERATIONS
@@ -15,11 +15,12 @@ DEFAULTS = {"batch_size": 1000, "batch_wait": "5s", "max_retries": 3, "enable_dl
 
 @dataclass
 class TableSpec:
-    """A sink table: key columns and payload columns with their Spark types."""
+    """A sink table: key columns and payload columns with their Spark types, and the buckets that it is kept in."""
 
     name: str
     keys: dict[str, str]
     columns: dict[str, str]
+    buckets: int = 16
 
     @property
     def ref(self) -> TableRef:
@@ -35,6 +36,8 @@ class PipelineSpec:
     name: str = ""
     processors: list[Processor] = field(default_factory=list)
     debug_sinks: list[str] = field(default_factory=list)
+    #: Kind of each sink that isn't one of tables.
+    kinds: dict[str, str] = field(default_factory=dict)
     batch_size: int | None = None
     batch_wait: str | None = None
     max_retries: int | None = None
@@ -68,6 +71,11 @@ class PipelineSpec:
                 faults.append(str(e))
             if not t.keys:
                 faults.append(f"table {t.name}: keys must be set")
+            for c in [*t.keys, *t.columns]:
+                try:
+                    checked_identifier(c)
+                except ValueError as e:
+                    faults.append(f"table {t.name}: {e}")
         for name in ("batch_wait", "retry_base", "retry_cap"):
             try:
                 parse_duration(getattr(self, name) or "0")

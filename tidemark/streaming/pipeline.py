@@ -2,150 +2,183 @@
 
 from __future__ import annotations
 
+import hashlib
+import threading
 import time
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.registry import apply_chain
+from tidemark.functions.remote import TransportError
 from tidemark.functions.timing import parse_duration
-from tidemark.operators import audit
-from tidemark.operators.apply import fold, rejected
-from tidemark.operators.filters import CaptureFilter
-from tidemark.plans.spec import PipelineSpec, TableSpec
-from tidemark.sources.envelope import snapshot, stream_log
-from tidemark.streaming.tables import AppendLog, ControlTable, VersionedTable
+from tidemark.operators.apply import fold
+from tidemark.operators.watermark import AckTracker
+from tidemark.plans.resilience import supervise
+from tidemark.plans.spec import SNAPSHOT_STATES, PipelineSpec, TableSpec, moved, new_tables, reload_action
+from tidemark.sources.envelope import read_log, snapshot
+from tidemark.sources.log import LandedLog, resume_position
+from tidemark.streaming.sinks import Sink, create_sink
+from tidemark.streaming.tables import AppendLog
 
+__all__ = ["Runner", "Sink", "TransportError", "add_table", "barrier_segments", "run_all", "start"]
 
-class TransportError(RuntimeError):
-    """A failure of the way to a sink, which says nothing about the batch; never counted against it."""
 
+def start(spark: SparkSession, spec: PipelineSpec, sink_id: str, log: str, root: str, available_now: bool = True, files_per_trigger: int | None = None, sink=None):
+    """A streaming query that feeds one sink; sinks advance apart, each by its own checkpoint.
 
-class Sink:
-    """One sink of a pipeline: upload is called once for each micro-batch and may be called again for it.
-
-    Rows written, filtered and put with the dead letters all end up acknowledged; the acknowledgements are written before the
-    batch counts as done.
+    A batch size that the specification itself gives bounds micro-batches: published files hold at most so many events, and
+    one file is taken at a time. Without one, and without files_per_trigger, a micro-batch takes all that has landed. A sink whose
+    checkpoint is lost starts after what all sinks have acknowledged, and numbers its batches on from those that are in.
     """
-
-    def __init__(self, spark: SparkSession, spec: PipelineSpec, sink_id: str, root: str, sleep: Callable[[float], None] = time.sleep, capture: CaptureFilter | None = None):
-        """capture: audit the events of the filter before and after transformation."""
-        self.capture = capture
-        self.spark, self.spec, self.sink_id, self.sleep = spark, spec.resolved().check(), sink_id, sleep
-        self.root = f"{root.rstrip('/')}/{spec.id}/{sink_id}"
-        self.dead, self.acks = AppendLog(spark, f"{self.root}/dead_letters"), AppendLog(spark, f"{self.root}/acks")
-        self.checkpoints = ControlTable(spark, f"{self.root}/control")
-
-    def table(self, name: str) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/tables/{name}")
-
-    def apply(self, events: DataFrame, batch_id: int) -> None:
-        """Folds the batch into each table; the batch counts as one batch of the log."""
-        for t in self.spec.tables:
-            target = self.table(t.name)
-            if batch_id <= target.state()["batch_id"]:
-                continue
-            mine = events.filter((F.col("table_schema") == t.ref.schema) & (F.col("table_name") == t.ref.table))
-            target.replace(fold(mine, t.keys, t.columns, base=target.read()), batch_id)
-
-    def upload(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            self._upload(batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    def _upload(self, batch: DataFrame, batch_id: int) -> None:
-        try:
-            self._retry(lambda: self._write(batch, batch_id))
-        except TransportError:
-            raise
-        except Exception as error:
-            if not self.spec.enable_dlq:
-                raise
-            self._isolate(batch, batch_id, error)
-        acks = batch.filter((F.col("lsn") > 0) & (F.col("op") != "snapshot")).select("source_id", F.lit(self.sink_id).alias("sink_id"), "table_schema", "table_name", "lsn", "seq")
-        self.acks.append(acks, batch_id)
-        top = acks.agg(F.max("lsn").alias("m")).first()["m"]
-        if top is not None:
-            self.checkpoints.update("egress", lambda v: {"lsn": max(top, (v or {}).get("lsn", 0)), "batch_id": batch_id})
-
-    def _write(self, batch: DataFrame, batch_id: int) -> None:
-        passed, _ = apply_chain(batch, self.spec.processors)
-        if self.capture is not None:
-            self._audit(batch, passed, batch_id)
-        bad = [rejected(passed.filter((F.col("table_schema") == t.ref.schema) & (F.col("table_name") == t.ref.table)), list(t.keys)) for t in self.spec.tables]
-        dead = bad[0]
-        for more in bad[1:]:
-            dead = dead.unionByName(more)
-        self.dead.append(dead, batch_id)
-        self.apply(passed.withColumn("batch_id", F.lit(batch_id).cast("bigint")), batch_id)
-
-    def _audit(self, batch: DataFrame, passed: DataFrame, batch_id: int) -> None:
-        first = audit.before(batch, self.capture)
-        second = audit.after(passed, first) if self.capture.takes("after") else None
-        rows = first if second is None else audit.mark_filtered(first, second).unionByName(second)
-        AppendLog(self.spark, f"{self.root}/audit").append(rows, batch_id)
-
-    def _retry(self, run: Callable[[], None]) -> None:
-        base, cap = parse_duration(self.spec.retry_base) / 1e9, parse_duration(self.spec.retry_cap) / 1e9
-        attempt = 0
-        while True:
-            try:
-                return run()
-            except Exception as error:
-                if isinstance(error, TransportError):
-                    self.sleep(min(cap, base))
-                    raise
-                attempt += 1
-                if attempt > self.spec.max_retries:
-                    raise
-                self.sleep(min(cap, base * 2 ** (attempt - 1)))
-
-    def _isolate(self, batch: DataFrame, batch_id: int, error: Exception) -> None:
-        """Each published batch of the micro-batch is tried alone, and those that fail alone become dead letters."""
-        names = [r["batch_id"] for r in batch.select("batch_id").distinct().orderBy("batch_id").collect()]  # published batches of one micro-batch
-        good, lost = [], []
-        for name in names:
-            part = batch.filter(F.col("batch_id").eqNullSafe(F.lit(name)))
-            try:
-                passed, _ = apply_chain(part, self.spec.processors)
-                for t in self.spec.tables:
-                    fold(passed.filter(F.col("table_name") == t.ref.table), t.keys, t.columns).write.format("noop").mode("overwrite").save()
-                good.append(name)
-            except Exception:
-                lost.append(name)
-        keep = F.col("batch_id").isin(good) if good else F.lit(False)
-        if good:
-            self._write(batch.filter(keep), batch_id)
-        dead = batch.filter(~keep).withColumn("reason", F.lit(f"batch_failed: {type(error).__name__}"))
-        AppendLog(self.spark, f"{self.root}/dead_batches").append(dead, batch_id)
-
-
-def start(spark: SparkSession, spec: PipelineSpec, sink_id: str, log: str, root: str, available_now: bool = True, files_per_trigger: int | None = None):
-    """A streaming query that feeds one sink; sinks advance apart, each by its own checkpoint."""
-    sink = Sink(spark, spec, sink_id, root)
-    writer = stream_log(spark, log, files_per_trigger).writeStream.foreachBatch(sink.upload).option("checkpointLocation", f"{sink.root}/checkpoint").queryName(f"{spec.id}-{sink_id}-{abs(hash(root)) % 10**8}")
+    sink = sink or create_sink(spark, spec, sink_id, root)
+    at = f"{sink.root}/checkpoint"
+    files = files_per_trigger or (1 if spec.batch_size is not None else None)
+    position, shift = 0, 0
+    if isinstance(sink, Sink):
+        if not sink.dead.files.exists(at):
+            if sink.checkpoints.get("egress")[0]:
+                position = positions(spark, spec, log, root)
+            shift = max([sink.table(t.name).state()["batch_id"] for t in sink.spec.tables], default=-1) + 1
+            sink.checkpoints.update("batches", lambda _: {"shift": shift, "position": position})
+        else:
+            kept = sink.checkpoints.get("batches")[0] or {"shift": 0, "position": 0}
+            position, shift = kept["position"], kept["shift"]
+    name = f"{spec.id}-{sink_id}-{hashlib.sha256(root.encode()).hexdigest()[:8]}"
+    writer = LandedLog(spark, log, files).start(position).writeStream.foreachBatch(lambda batch, batch_id: sink.upload(batch, shift + batch_id)).option("checkpointLocation", at).queryName(name)
     seconds = parse_duration(spec.resolved().batch_wait) / 1e9
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{seconds} seconds")
     return writer.start()
 
 
+def positions(spark: SparkSession, spec: PipelineSpec, log: str, root: str) -> int:
+    """The position that a source may start from: the acknowledgement watermark over all sinks that keep acknowledgements."""
+    found = [(s, AppendLog(spark, f"{root.rstrip('/')}/{spec.id}/{s}/acks").read()) for s in spec.sinks if spec.kinds.get(s, "tables") == "tables"]
+    if not found or any(rows is None for _, rows in found):
+        return 0
+    acks = found[0][1].select("lsn", "sink_id", "op")
+    for _, rows in found[1:]:
+        acks = acks.unionByName(rows.select("lsn", "sink_id", "op"))
+    return resume_position(read_log(spark, log), acks, [s for s, _ in found])
+
+
 def run_all(spark: SparkSession, spec: PipelineSpec, log: str, root: str, files_per_trigger: int | None = None) -> None:
     """Drains the log into every sink at once."""
     for q in [start(spark, spec, s, log, root, True, files_per_trigger) for s in spec.sinks]:
         q.awaitTermination()
 
 
-def add_table(sink: Sink, source: DataFrame, table: TableSpec, from_batch: int) -> None:
+def add_table(sink: Sink, source: DataFrame, table: TableSpec, from_batch: int) -> bool:
     """Brings a table that joins a running pipeline up to date: its snapshot first, then the stream goes on from a batch.
 
-    The snapshot counts as the batch before from_batch, so events that the stream delivers again only repeat what it holds.
+    The snapshot counts as the batch before from_batch, so events that the stream delivers again only repeat what it holds. The table's
+    way from snapshot to stream is kept; one that has arrived isn't read again. Returns whether the snapshot was taken.
     """
-    rows = snapshot(source, table.ref.schema, table.ref.table, list(table.keys))
-    filled = rows.select("table_schema", "table_name", "op", "lsn", F.lit(0).cast("bigint").alias("seq"), "data", F.create_map().cast("map<string,string>").alias("column_kinds"), F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(from_batch - 1).cast("bigint").alias("batch_id"))
-    sink.table(table.name).replace(fold(filled, table.keys, table.columns), from_batch - 1)
+    key = f"snapshot-{table.ref}"
+
+    def state(to: str) -> None:
+        sink.checkpoints.update(key, lambda v: {"state": to if (v or {}).get("state") == to else moved(SNAPSHOT_STATES, (v or {}).get("state"), to)})
+
+    now = (sink.checkpoints.get(key)[0] or {}).get("state")
+    if now == "cdc":
+        return False
+    if now != "draining":
+        state("snapshotting")
+        try:
+            rows = snapshot(source, table.ref.schema, table.ref.table, list(table.keys))
+            filled = rows.select("table_schema", "table_name", "op", "lsn", F.lit(0).cast("bigint").alias("seq"), "data", F.create_map().cast("map<string,string>").alias("column_kinds"), F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(from_batch - 1).cast("bigint").alias("batch_id"))
+            if all(t.name != table.name for t in sink.spec.tables):
+                sink.spec = replace(sink.spec, tables=[*sink.spec.tables, table])
+            sink.prime()
+            target = sink.table(table.name)
+            whole = fold(filled, table.keys, table.columns)
+            target.merge(whole.select(*table.keys), lambda old: whole if old is None else fold(filled, table.keys, table.columns, base=old), from_batch - 1)
+        except Exception:
+            state("failed")
+            raise
+        state("draining")
+    state("cdc")
+    return True
+
+
+class Runner:
+    """Pipelines that run, under supervision, and follow new revisions of their specifications."""
+
+    def __init__(self, spark: SparkSession, log: str, root: str, sources: Callable[[TableSpec], DataFrame] | None = None, sleep: Callable[[float], None] = time.sleep):
+        """sources: the rows of a table that joins, for its snapshot."""
+        self.spark, self.log, self.root, self.sources, self.sleep = spark, log, root, sources, sleep
+        self.running: dict[str, tuple[PipelineSpec, int]] = {}
+        self.trackers: dict[str, AckTracker] = {}
+        self.threads: dict[str, list[threading.Thread]] = {}
+        self.stopping: dict[str, threading.Event] = {}
+        self.queries: dict[tuple[str, str], object] = {}
+        self.failures: dict[str, str] = {}
+
+    def _keep(self, spec: PipelineSpec, sink_id: str, available_now: bool, stop: threading.Event) -> None:
+        def run() -> None:
+            q = start(self.spark, spec, sink_id, self.log, self.root, available_now)
+            self.queries[spec.id, sink_id] = q
+            if stop.is_set():
+                q.stop()
+            try:
+                q.awaitTermination()
+            except Exception as error:
+                self.failures[spec.id] = str(error)[:500]
+                raise
+
+        supervise(run, stop.is_set, sleep=self.sleep)
+
+    def _start(self, spec: PipelineSpec, available_now: bool) -> None:
+        stop = self.stopping[spec.id] = threading.Event()
+        tracker = self.trackers.setdefault(spec.id, AckTracker(spec.sinks))
+        tracker.hydrate(self.position(spec))
+        self.threads[spec.id] = [threading.Thread(target=self._keep, args=(spec, s, available_now, stop), daemon=True) for s in spec.sinks]
+        for t in self.threads[spec.id]:
+            t.start()
+
+    def position(self, spec: PipelineSpec) -> int:
+        """What all sinks have acknowledged, read from their logs."""
+        return positions(self.spark, spec, self.log, self.root)
+
+    def idle(self, pipeline: str, position: int) -> bool:
+        """Moves the position of a pipeline to the source's own while nothing is pending."""
+        return self.trackers[pipeline].idle(position)
+
+    def stop(self, pipeline: str) -> None:
+        """Ends a pipeline's queries after the batch they are at."""
+        self.stopping[pipeline].set()
+        for (p, _), q in list(self.queries.items()):
+            if p == pipeline and q.isActive:
+                q.stop()
+        self.wait(pipeline)
+
+    def wait(self, pipeline: str) -> None:
+        """Until the pipeline's queries have ended; with available_now that is when the log is drained."""
+        for t in self.threads.get(pipeline, []):
+            t.join()
+
+    def reload(self, spec: PipelineSpec, revision: int, available_now: bool = True) -> str:
+        """Brings a pipeline to a revision of its specification, and says how: start, ignore, skip, add_tables or restart."""
+        old, old_revision = self.running.get(spec.id, (None, 0))
+        action = reload_action(old, spec, old_revision, revision)
+        if action in ("ignore", "skip"):
+            if action == "skip":
+                self.running[spec.id] = (spec, revision)
+            return action
+        spec.resolved().check()
+        if old is not None:
+            self.stop(spec.id)
+        if action == "add_tables" and self.sources is not None:
+            for s in spec.sinks:
+                sink = create_sink(self.spark, old, s, self.root)
+                if isinstance(sink, Sink):
+                    done = max([sink.table(t.name).state()["batch_id"] for t in old.tables], default=-1)
+                    for t in new_tables(old, spec):
+                        add_table(sink, self.sources(t), t, done + 1)
+        self.running[spec.id] = (spec, revision)
+        self._start(spec, available_now)
+        return action
 
 
 def barrier_segments(events: DataFrame) -> DataFrame:
