@@ -3,7 +3,7 @@ import numpy as np
 import corpus_pipeline
 from tidemark.llm.mixing import mix_report
 from tidemark.llm.quality import quality_report
-from tidemark.llm.simhash import BANDS, band_keys, keep_one, near_duplicates, set_simhash, shingle_set
+from tidemark.llm.simhash import BANDS, band_keys, keep_one, min_hashes, near_duplicates, set_simhash, shingle_set
 
 
 def shingles(text):
@@ -102,10 +102,10 @@ def test_chance_of_a_shared_band_and_bits_that_differ():
         h = rng.integers(0, 2**63, int(n * 1.25), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         k = len(h) // 10
         a, b = np.unique(h[k:]), np.unique(h[:-k])
-        shared += bool((band_keys(a) == band_keys(b)).any())
+        shared += bool((band_keys(min_hashes(a)) == band_keys(min_hashes(b))).any())
         within += (set_simhash(a) ^ set_simhash(b)).bit_count() <= WIDE_RADIUS
     assert shared >= 298 and within >= 297
-    assert len(band_keys(h)) == BANDS and (band_keys(shingle_set("")) == band_keys(shingle_set(None))).all()
+    assert len(band_keys(min_hashes(h))) == BANDS and (min_hashes(shingle_set("")) == min_hashes(shingle_set(None))).all()
 
 
 def test_hot_groups_of_near_copies(spark):
@@ -122,6 +122,36 @@ def test_hot_groups_of_near_copies(spark):
     assert kept == {0, *range(1000, 2800)}
 
 
+def test_dense_groups_that_stars_do_not_connect(spark):
+    """Variants of one text of which about half the pairs are links: groups equal all pairs', with few links to show for them."""
+    from tidemark.llm.simhash import near_classes
+
+    rng = np.random.default_rng(23)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for n in range(260):
+        other = list(base)
+        for at in rng.choice(150, int(rng.integers(1, 5)), replace=False):
+            other[at] = f"x{rng.integers(0, 30)}"
+        rows.append((n, " ".join(other)))
+    sets, parent = {k: shingles(t) for k, t in rows}, list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a in sets:
+        for b in range(a):
+            if find(a) != find(b) and jaccard(sets[a], sets[b]) >= 0.8:
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    want = {k: find(k) for k in sets}
+    for limit in (2048, 50):
+        got = near_classes(spark.createDataFrame(rows, "doc_id long, text string"), limit=limit)
+        assert {r.doc_id: r.component_id for r in got.collect()} == want
+
+
 def test_rows_of_one_id_with_different_texts_all_count(spark, make_docs):
     a, b, c = (" ".join(f"{x}{i}" for i in range(50)) for x in "abc")
     df = make_docs([(3, a), (5, a), (5, b), (5, b), (7, c), (7, a), (None, b), (None, None), (8, None), (9, "")])

@@ -207,7 +207,7 @@ def by_shard(ordered: DataFrame, search: Callable[[np.ndarray, list[np.ndarray]]
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(width)]
+            cols = [np.array(batch.column(i).to_pylist(), object) if pa.types.is_binary(batch.column(i).type) else batch.column(i).to_numpy(zero_copy_only=False) for i in range(width)]
             last = np.ones(len(cols[0]), bool)
             for c in cols[:keys]:
                 last &= c == c[-1]
@@ -216,7 +216,7 @@ def by_shard(ordered: DataFrame, search: Callable[[np.ndarray, list[np.ndarray]]
             if cut or not goes_on:
                 head = (len(held), cut)
             held.append(cols)
-            size += batch.num_rows
+            size += max(batch.num_rows, batch.nbytes // 1024)
             if size >= least and head and (head[0] or head[1]):
                 k, at = head
                 done = [*held[:k], [c[:at] for c in held[k]]]
@@ -245,6 +245,8 @@ def _search(keyed: DataFrame, radius: int) -> DataFrame:
 
 #: Bands of min-hashes, and hashes a band. Two sets of Jaccard similarity 0.8 share a band with a chance of 0.9993, at 0.85 of 0.99999.
 BANDS, ROWS = 24, 6
+#: Rows of a shard of bands that one task searches with their whole sets.
+BLOCK_ROWS = 2048
 #: Bits in which SimHashes of sets of a similarity of 0.8 may differ: about three standard deviations over the mean of 9.7.
 WIDE_RADIUS = 18
 _MULTIPLIERS = np.array([(2 * i + 1) * 0x9E3779B97F4A7C15 % (1 << 64) | 1 for i in range(1, BANDS * ROWS + 1)], np.uint64)
@@ -268,13 +270,18 @@ def set_simhash(h: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(h), bitorder="little").tobytes(), "little")
 
 
-def band_keys(h: np.ndarray) -> np.ndarray:
-    """A key for each band of a set's min-hashes; an empty set has equal keys."""
+def min_hashes(h: np.ndarray) -> np.ndarray:
+    """The least of each of BANDS * ROWS hashes of a set's members."""
     least = np.full(BANDS * ROWS, ~np.uint64(0))
     for at in range(0, len(h), 512):
         mixed = h[at : at + 512, None] * _MULTIPLIERS[None, :]
         mixed ^= mixed >> np.uint64(32)
         np.minimum(least, mixed.min(axis=0), out=least)
+    return least
+
+
+def band_keys(least: np.ndarray) -> np.ndarray:
+    """A key for each band of min-hashes; empty sets have equal keys."""
     keys = np.zeros(BANDS, np.uint64)
     for row in least.reshape(BANDS, ROWS).T:
         keys = (keys ^ row) * np.uint64(0xD6E8FEB86659FD93)
@@ -282,6 +289,29 @@ def band_keys(h: np.ndarray) -> np.ndarray:
     return keys + np.arange(BANDS, dtype=np.uint64)
 
 
+def _likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (u, v) of cids whose sizes allow the similarity and whose min-hashes don't speak against it.
+
+    Min-hashes estimate a similarity of 0.8 with a standard deviation of 0.033; pairs more than 0.15 below are left out.
+    """
+    x, y = (classes.select(F.col("cid").alias(k), F.col("n").alias(f"n_{k}"), F.col("sig").alias(f"sig_{k}")) for k in ("u", "v"))
+    sized = pairs.join(x, "u").join(y, "v").filter(F.least("n_u", "n_v") >= F.greatest("n_u", "n_v") * similarity - 1e-6).select("u", "v", "sig_u", "sig_v")
+
+    def run(batches):
+        for b in batches:
+            p, q = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint8).reshape(b.num_rows, BANDS * ROWS) for i in (2, 3))
+            ok = (p == q).mean(axis=1) >= similarity - 0.15 if b.num_rows else np.zeros(0, bool)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["u", "v"]).filter(pa.array(ok, pa.bool_()))
+
+    return sized.mapInArrow(lean(run), "u long, v long")
+
+
+def jaccard_at_least(p: np.ndarray, q: np.ndarray, similarity: float) -> bool:
+    """Whether two sorted sets have the similarity; two empty ones do."""
+    common = len(np.intersect1d(p, q, assume_unique=True))
+    return common >= similarity * (len(p) + len(q) - common) - 1e-9
+
+
 def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (u, v) of cids whose whole shingle sets have the similarity."""
     x, y = (sets.select(F.col("cid").alias(k), F.col("shingles").alias(f"shingles_{k}")) for k in ("u", "v"))
@@ -291,65 +321,68 @@ def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         for b in batches:
             ok = []
             for p, q in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                common = len(np.intersect1d(p, q, assume_unique=True))
-                ok.append(common >= similarity * (len(p) + len(q) - common) - 1e-9)
+                ok.append(jaccard_at_least(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), similarity))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
     return both.mapInArrow(lean(run), "u long, v long")
 
 
 def _rest_of_shards(rows: DataFrame, similarity: float, limit: int) -> DataFrame:
-    """(u, v): pairs of a band's shard that aren't connected yet, whose sizes allow the similarity and whose SimHashes are near.
+    """(u, v): links between the rows of a shard that aren't connected yet, as many as connect them.
 
-    rows: key, cid, root, fp, n of shards with several roots. A shard above the limit is cut into blocks by hash and each pair
-    of blocks is searched as a shard of its own, so tasks stay bounded and no pair is left out.
+    rows: key, cid, root, fp, n, shingles of shards with several roots. Rows of a shard's commonest root are connected already, so the others
+    alone look for links: each searches the BK-tree of the shard's SimHashes, and whole sets decide, nearest first, until a root is
+    reached. A shard above the limit is cut into blocks by hash, and the searching rows go to each, so the rows of a hot
+    shard are spread and none is left out; a task emits no more links than it has rows.
     """
     spark = rows.sparkSession
-    sizes, _ = materialize(rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > limit).select("key", F.ceil(F.col("c") / limit).cast("int").alias("blocks")), "crowded")
-    cut = rows.join(sizes, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("cid", F.lit(3)), F.col("blocks")))
-    other = F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
-    dealt = cut.select("key", "own", other, "cid", "root", "fp", "n").select("key", (F.least("own", "other") * 65_536 + F.greatest("own", "other")).cast("long").alias("block"), "cid", "root", "fp", "n")
+    rooted = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
+    shards, _ = materialize(rooted.groupBy("key").agg(F.max(F.struct("c", "root"))["root"].alias("main"), F.ceil(F.sum("c") / limit).cast("int").alias("blocks")), "mark-shards", small=True)
+    cut = rows.join(shards, "key").withColumn("own", F.pmod(F.xxhash64("cid", F.lit(3)), F.col("blocks")).cast("int")).withColumn("asks", F.col("root") != F.col("main"))
+    blocks = F.when(F.col("asks"), F.expr("sequence(0, blocks - 1)")).otherwise(F.array("own"))
+    dealt = cut.withColumn("block", F.explode(blocks)).select("key", "block", "cid", "root", "fp", F.col("n").cast("long").alias("n"), "asks", "shingles")
     ordered = dealt.repartition(partitions(spark), "key", "block").sortWithinPartitions("key", "block", "fp", "cid")
 
     def search(shard, cols):
-        cid, root, fp, n = cols
-        where = busy_rows(shard)
+        cid, root, fp, n, asks, shingles = cols
         # a tree holds distinct fingerprints; equal ones hang on the first of them
-        s, f = shard[where], fp[where].view(np.uint64)
-        first = np.concatenate([[True], (s[1:] != s[:-1]) | (f[1:] != f[:-1])]) if len(where) else np.zeros(0, bool)
+        f = fp.view(np.uint64)
+        first = np.concatenate([[True], (shard[1:] != shard[:-1]) | (f[1:] != f[:-1])])
         heads = np.flatnonzero(first)
-        count = np.diff(np.append(heads, len(where)))
-        forest = BkForest(s[heads], f[heads])
-        us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-
-        def keep(a, b):
-            a, b = where[a], where[b]
-            ok = (root[a] != root[b]) & (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-6) & (cid[a] != cid[b])
-            us.append(np.minimum(cid[a[ok]], cid[b[ok]]))
-            vs.append(np.maximum(cid[a[ok]], cid[b[ok]]))
-
-        def spread(q, node):
-            """All rows of a head's fingerprint with all rows of the other's."""
-            total = count[q] * count[node]
-            k = np.repeat(np.arange(len(q)), total)
-            i = np.arange(len(k)) - np.repeat(np.cumsum(total) - total, total)
-            keep(heads[q[k]] + i // count[node[k]], heads[node[k]] + i % count[node[k]])
-
-        many = np.flatnonzero(count > 1)
-        spread(many, many)
-        for q, node in forest.hits(np.arange(len(heads)), WIDE_RADIUS):
-            half = q < node
-            spread(q[half], node[half])
-        u, v = np.concatenate(us), np.concatenate(vs)
-        if len(u):
-            u, v = np.unique(np.stack([u, v]), axis=1)
-        return u, v
-
-    return by_shard(ordered.select("key", "block", "cid", "root", "fp", F.col("n").cast("long").alias("n")), search, 2).distinct()
-
-
-def near_classes(docs: DataFrame, similarity: float = 0.8, words: int = 5, limit: int = SHARD_LIMIT) -> DataFrame:
+        ends = np.append(heads[1:], len(f))
+        forest = BkForest(shard[heads], f[heads])
+        names, group = np.unique(root, return_inverse=True)
+        parent, us, vs = list(range(len(names))), [], []
+
+        def top(i):
+            while parent[i] != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        asking = np.flatnonzero(np.logical_or.reduceat(asks, heads))
+        found = [(np.concatenate([asking, *[q for q, _ in hits]]), np.concatenate([asking, *[m for _, m in hits]])) for hits in [list(forest.hits(asking, WIDE_RADIUS))]]
+        q, node = found[0]
+        order = np.lexsort((np.bitwise_count(f[heads[q]] ^ f[heads[node]]), q))
+        for a, b in zip(q[order].tolist(), node[order].tolist(), strict=True):
+            for i in range(heads[a], ends[a]):
+                if not asks[i]:
+                    continue
+                mine = np.frombuffer(shingles[i], np.uint64)
+                for j in range(heads[b], ends[b]):
+                    if min(n[i], n[j]) < similarity * max(n[i], n[j]) - 1e-6 or top(group[i]) == top(group[j]):
+                        continue
+                    if jaccard_at_least(mine, np.frombuffer(shingles[j], np.uint64), similarity):
+                        x, y = sorted((top(group[i]), top(group[j])))
+                        parent[y] = x
+                        us.append(cid[i])
+                        vs.append(cid[j])
+        return np.array(us, np.int64), np.array(vs, np.int64)
+
+    return by_shard(ordered, search, 2, 4096).distinct()
+
+
+def near_classes(docs: DataFrame, similarity: float = 0.8, words: int = 5, limit: int = BLOCK_ROWS) -> DataFrame:
     """doc_id, row (xxhash64 of the text), component_id, root for every row of docs; root names a component without fail.
 
     Every link is decided by the Jaccard similarity of the whole shingle sets. Texts with equal sets are one class. Classes that share a
@@ -366,18 +399,23 @@ def near_classes(docs: DataFrame, similarity: float = 0.8, words: int = 5, limit
             found = [shingle_set(t, words) for t in b.column(1).to_pylist()]
             fp = np.array([set_simhash(h) for h in found], dtype=np.uint64).view(np.int64)
             cid = np.array([xxhash.xxh3_64_intdigest(h.tobytes()) for h in found], dtype=np.uint64).view(np.int64)
-            keys = np.array([band_keys(h) for h in found], dtype=np.uint64).reshape(len(found), BANDS).view(np.int64)
+            least = [min_hashes(h) for h in found]
+            keys = np.array([band_keys(m) for m in least], dtype=np.uint64).reshape(len(found), BANDS).view(np.int64)
+            sig = pa.array([(m >> np.uint64(24)).astype(np.uint8).tobytes() for m in least], pa.binary())
             bands = pa.ListArray.from_arrays(pa.array(np.arange(0, len(found) * BANDS + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(cid), pa.array(fp), pa.array([len(h) for h in found], pa.int32()), bands], names=["doc_id", "row", "cid", "fp", "n", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(cid), pa.array(fp), pa.array([len(h) for h in found], pa.int32()), bands, sig], names=["doc_id", "row", "cid", "fp", "n", "bands", "sig"])
 
-    marks, _ = materialize(slim.mapInArrow(lean(run), "doc_id long, row long, cid long, fp long, n int, bands array<bigint>"), "marks")
-    shown = [F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "row")).alias("shown"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("bands").alias("bands")]
+    marks, _ = materialize(slim.mapInArrow(lean(run), "doc_id long, row long, cid long, fp long, n int, bands array<bigint>, sig binary"), "marks")
+    shown = [F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "row")).alias("shown"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("bands").alias("bands"), F.min("sig").alias("sig")]
     classes, _ = materialize(marks.groupBy("cid").agg(*shown), "mark-classes")
     keyed = classes.select("cid", F.explode("bands").alias("key"))
     shards = keyed.groupBy("key").agg(F.min("cid").alias("lead"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("key", "lead")
     members, _ = materialize(keyed.join(shards, "key"), "shards")
 
-    # the shingles of the classes that have any partner, made again from the text that shows the class
+    leads = members.filter("cid <> lead").select(F.col("lead").alias("u"), F.col("cid").alias("v")).distinct()
+    first, _ = materialize(_likely(leads, classes, similarity), "mark-pairs", small=True)
+
+    # the shingles of the classes that share a shard, made again from the text that shows the class
     some = members.select("cid").distinct().join(classes, "cid").select("cid", F.col("shown.doc_id").alias("i"), F.col("shown.row").alias("r"))
     wanted, _ = materialize(some, "mark-wanted", small=True)
 
@@ -388,14 +426,12 @@ def near_classes(docs: DataFrame, similarity: float = 0.8, words: int = 5, limit
     texts = slim.join(wanted, slim["doc_id"].eqNullSafe(F.col("i")) & slim["row"].eqNullSafe(F.col("r"))).select("cid", "text")
     sets, _ = materialize(texts.mapInArrow(lean(shingled), "cid long, shingles binary").dropDuplicates(["cid"]), "mark-sets")
 
-    first = members.filter("cid <> lead").select(F.col("lead").alias("u"), F.col("cid").alias("v")).distinct()
     tried, _ = materialize(_alike(first, sets, similarity), "mark-links", small=True)
     reached, _ = materialize(components(tried), "mark-linked")
     rooted = members.join(reached.select(F.col("node").alias("cid"), "root"), "cid", "left").select("key", "cid", F.coalesce("root", "cid").alias("root"))
     mixed = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("c")).filter("a <> b AND c > 2").select("key")
-    open_rows, _ = materialize(rooted.join(mixed, "key").join(classes.select("cid", "fp", "n"), "cid"), "mark-open", small=True)
-    more, _ = materialize(_rest_of_shards(open_rows, similarity, limit).join(first, ["u", "v"], "left_anti"), "mark-pairs")
-    edges, _ = materialize(tried.unionByName(_alike(more, sets, similarity)), "mark-edges", small=True)
+    open_rows = rooted.join(mixed, "key").join(classes.select("cid", "fp", "n"), "cid").join(sets, "cid")
+    edges, _ = materialize(tried.unionByName(_rest_of_shards(open_rows, similarity, limit)), "mark-edges", small=True)
 
     stars = components(edges)
     stars = stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
@@ -406,7 +442,7 @@ def near_classes(docs: DataFrame, similarity: float = 0.8, words: int = 5, limit
     return marks.select("doc_id", "row", "cid").join(ids, "cid").select("doc_id", "row", "component_id", "root")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int = 5, limit: int = SHARD_LIMIT) -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int = 5, limit: int = BLOCK_ROWS) -> DataFrame:
     """doc_id, component_id: documents that links of a shingle similarity of `similarity` or more connect.
 
     Texts without words are alike; a text of fewer words than a shingle is one shingle; very long texts count whole. Null doc_ids
