@@ -23,7 +23,7 @@ def duck(sf):
 
 def rows(df):
     df = df[sorted(df.columns)].astype(object)
-    blank = lambda x: x is None or x is pd.NaT or (isinstance(x, float) and x != x)
+    blank = lambda x: x is None or x is pd.NaT or x is pd.NA or (isinstance(x, float) and x != x)
     return sorted(tuple("null" if blank(x) else str(float(x)) if isinstance(x, (int, float)) else repr(x) for x in r) for r in df.itertuples(index=False, name=None))
 
 

@@ -62,6 +62,11 @@ def checked_identifier(name: str) -> str:
     return name
 
 
+def is_identifier(name: Column) -> Column:
+    """Whether each dot-separated part of a name is letters, digits and underscores."""
+    return name.rlike(r"^[A-Za-z0-9_]+(\.[A-Za-z0-9_]+)*\z")
+
+
 def quoted(name: str) -> str:
     return ".".join(f"`{p.replace('`', '``')}`" for p in name.split("."))
 

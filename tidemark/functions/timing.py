@@ -31,6 +31,12 @@ def lag_ms(now: Column, ts: Column) -> Column:
     return F.timestamp_diff("MILLISECOND", ts, now)
 
 
+def rfc3339(ts: Column) -> Column:
+    """A time as RFC 3339 text in UTC, with as many digits of the second as it has and no trailing zeros."""
+    text = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.concat(F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", ""), F.lit("Z"))
+
+
 # Units of duration texts in nanoseconds.
 UNITS = {"ns": 1, "us": 1_000, "µs": 1_000, "ms": 1_000_000, "s": 1_000_000_000, "m": 60_000_000_000, "h": 3_600_000_000_000}
 _SPAN = re.compile(r"(\d+(?:\.\d*)?|\.\d+)(ns|us|µs|ms|s|m|h)")

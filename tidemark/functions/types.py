@@ -20,10 +20,6 @@ TYPE_RULES = [
     ("variant", "VARIANT"),
     ("bytea", "BINARY"),
     ("blob", "BINARY"),
-    ("uuid", "STRING"),
-    ("text", "STRING"),
-    ("varchar", "STRING"),
-    ("char", "STRING"),
 ]
 # Type numbers that stand for a type.
 TYPE_NUMBERS = {"16": "BOOLEAN", "20": "INT64", "23": "INT64", "25": "STRING", "1043": "STRING", "1114": "TIMESTAMP", "1184": "TIMESTAMP", "3802": "VARIANT"}
@@ -100,3 +96,42 @@ def json_or_text(value: Column) -> Column:
     """Parsed JSON; text that isn't JSON becomes a JSON string."""
     wrapped = F.variant_get(F.try_parse_json(F.to_json(F.struct(value.alias("v")))), "$.v", "variant")
     return F.coalesce(F.try_parse_json(value), wrapped)
+
+
+def plain_value(value):
+    """A nested value in the forms that travel as JSON: numbers, texts, truth values, lists and maps of them."""
+    import datetime
+    import decimal
+    import uuid
+
+    if isinstance(value, dict):
+        return {str(k): plain_value(v) for k, v in value.items()}
+    if isinstance(value, (list, tuple, set)):
+        return [plain_value(v) for v in value]
+    if isinstance(value, bytes):
+        import base64
+
+        return base64.b64encode(value).decode()
+    if isinstance(value, datetime.datetime):
+        utc = value.astimezone(datetime.UTC).replace(tzinfo=None) if value.tzinfo else value
+        return utc.isoformat() + "Z"
+    if isinstance(value, (datetime.date, decimal.Decimal, uuid.UUID)):
+        return str(value)
+    return value
+
+
+def normalised(column: Column, kind: str) -> Column:
+    """A value of any Spark type with all that is in it in the text form in which it travels; arrays and structs keep their shape."""
+    from pyspark.sql.types import ArrayType, MapType, StructType, _parse_datatype_string
+
+    def walk(c: Column, t) -> Column:
+        if isinstance(t, ArrayType):
+            return F.transform(c, lambda x: walk(x, t.elementType))
+        if isinstance(t, MapType):
+            return F.transform_values(c, lambda _, v: walk(v, t.valueType))
+        if isinstance(t, StructType):
+            inside = F.struct(*[walk(c[f.name], f.dataType).alias(f.name) for f in t.fields])
+            return F.when(c.isNotNull(), inside)
+        return wire_text(c, t.simpleString())
+
+    return walk(column, _parse_datatype_string(kind))

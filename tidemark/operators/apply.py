@@ -117,6 +117,20 @@ def upsert(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     return target.join(rows.select(*keys), keys, "left_anti").unionByName(rows, allowMissingColumns=True)
 
 
+def deletes_by_key(events: DataFrame, keys: dict[str, str]) -> DataFrame:
+    """The deletes of each key: the time of the last one, and their number."""
+    gone = events.filter(is_delete() & ~lacks_key(list(keys)))
+    return gone.groupBy(*[typed(value(k), t).alias(k) for k, t in keys.items()]).agg(F.max("ts").alias("ts"), F.count(F.lit(1)).alias("n"))
+
+
+def keys_to_read_back(events: DataFrame, keys: dict[str, str], columns: list[str]) -> DataFrame:
+    """Keys of events that leave any of the columns out as unchanged."""
+    lacking = F.lit(False)
+    for c in columns:
+        lacking = lacking | unchanged(c)
+    return events.filter(is_upsert() & lacking & ~lacks_key(list(keys))).select(*[typed(value(k), t).alias(k) for k, t in keys.items()]).distinct()
+
+
 def column_set() -> Column:
     """Sorted names of the columns an event lists."""
     return F.array_sort(F.map_keys("data"))

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from tidemark.operators.filters import CaptureFilter, without_control
 
 
-def canonical_json(data: Column) -> Column:
-    """A map as JSON with sorted keys."""
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(data))))
+def canonical_json(data: Column, nulls: bool = False) -> Column:
+    """A map as JSON with sorted keys; nulls: keys without a value are written too."""
+    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(data))), {"ignoreNullFields": "false"} if nulls else {})
 
 
-def payload_hash(data: Column) -> Column:
-    return F.sha2(canonical_json(data), 256)
+def payload_hash(data: Column, nulls: bool = False) -> Column:
+    """SHA-256 of the canonical JSON."""
+    return F.sha2(canonical_json(data, nulls), 256)
 
 
 def before(events: DataFrame, chosen: CaptureFilter | None = None, sample: Column | None = None) -> DataFrame:

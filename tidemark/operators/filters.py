@@ -92,11 +92,21 @@ def without_snapshot_helpers(tables: DataFrame) -> DataFrame:
 
 
 def sample_share(percent: float, key: Column, overrides: dict[str, float] | None = None) -> Column:
-    """Keeps about percent of all keys, the same ones on every run; a table may have a share of its own."""
+    """Keeps about percent of all keys, the same ones on every run and in every engine that has MD5; a table may have a share of its own."""
     share = F.lit(float(percent))
     for table, own in (overrides or {}).items():
         share = F.when(F.col("table_name") == table, F.lit(float(own))).otherwise(share)
-    return (share >= 100) | ((share > 0) & (F.pmod(F.xxhash64(key), F.lit(10_000)) < share * 100))
+    return (share >= 100) | ((share > 0) & (F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") % 10_000 < share * 100))
+
+
+def once(events: DataFrame) -> DataFrame:
+    """One event of each message id; events without one all stay."""
+    return events.filter("uuid IS NOT NULL").dropDuplicates(["uuid"]).unionByName(events.filter("uuid IS NULL"))
+
+
+def at_stage(rows: DataFrame, chosen: CaptureFilter) -> DataFrame:
+    """Audit rows of the stages that a capture takes."""
+    return rows.filter(F.col("capture_stage").isin(*chosen.stages))
 
 
 def every_nth(events: DataFrame, n: int, order: list[str], per: list[str]) -> DataFrame:

@@ -32,7 +32,7 @@ def error_counts(events: DataFrame, failed: Column, by: list[str]) -> DataFrame:
 
 def without_debug(stats: DataFrame, sinks: DataFrame) -> DataFrame:
     """Statistics of sinks that aren't for debugging."""
-    return stats.join(F.broadcast(sinks.filter("is_debug").select("sink_id")), "sink_id", "left_anti")
+    return stats.join(sinks.filter("is_debug").select("sink_id"), "sink_id", "left_anti")
 
 
 def max_of_sinks(stats: DataFrame, by: list[str]) -> DataFrame:
@@ -51,6 +51,28 @@ def pipeline_status(stats: DataFrame) -> DataFrame:
     return stats.groupBy("pipeline").agg(F.max(F.struct("updated_at", "status"))["status"].alias("status"), F.max("total_synced").alias("total_synced"), F.max("lag_ms").alias("lag_ms"), F.count(F.lit(1)).alias("n_sinks"))
 
 
+def sink_breakdown(stats: DataFrame) -> DataFrame:
+    """Tables, events and greatest lag of each sink of each pipeline, with its latest status (ties: the greater one)."""
+    return stats.groupBy("pipeline", "sink_id").agg(F.count_distinct("table_name").alias("n_tables"), F.sum("total_synced").alias("total_synced"), F.max("lag_ms").alias("lag_ms"), F.max(F.struct("updated_at", "status"))["status"].alias("status"))
+
+
+def max_lsn(events: DataFrame, by: list[str]) -> DataFrame:
+    """Greatest LSN of each group."""
+    return events.groupBy(*by).agg(F.max("lsn").alias("max_lsn"))
+
+
+def counters(events: DataFrame, kinds: dict[str, Column], by: list[str]) -> DataFrame:
+    """Counters by name and labels, as metrics have them: a row for each condition that holds somewhere in the group."""
+    counted = events.groupBy(*by).agg(*[F.count_if(c).alias(f"c{i}") for i, c in enumerate(kinds.values())])
+    rows = F.array(*[F.struct(F.lit(k).alias("metric"), F.col(f"c{i}").alias("value")) for i, k in enumerate(kinds)])
+    return counted.select(*by, F.inline(rows)).filter("value > 0")
+
+
+def gauges(samples: DataFrame, by: list[str], value: str, order: list[str]) -> DataFrame:
+    """The latest value of each series."""
+    return samples.groupBy(*by).agg(F.max_by(value, F.struct(*order)).alias("value"))
+
+
 def latest_checkpoints(events: DataFrame, by: list[str]) -> DataFrame:
     """Greatest LSN of real changes: snapshots and LSN 0 don't count."""
     return events.filter((F.col("op") != "snapshot") & (F.col("lsn") > 0)).groupBy(*by).agg(F.max("lsn").alias("checkpoint_lsn"))

@@ -34,7 +34,7 @@ def watermark(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
     """
     by = by or []
     held = counts.groupBy(*by).agg(F.min(F.when(~F.col("confirmed"), F.col("lsn"))).alias("first_unconfirmed"))
-    joined = counts.join(F.broadcast(held), by) if by else counts.crossJoin(F.broadcast(held))  # without by, held is one row
+    joined = counts.join(held, by) if by else counts.crossJoin(F.broadcast(held))  # without by, held is one row
     below = F.when(F.col("first_unconfirmed").isNull() | (F.col("lsn") < F.col("first_unconfirmed")), F.col("lsn"))
     return joined.groupBy(*by, "first_unconfirmed").agg(F.coalesce(F.max(below), F.lit(0)).alias("watermark")).select(*by, "watermark", "first_unconfirmed")
 
@@ -45,7 +45,7 @@ def ack_watermark(observed: DataFrame, confirms: DataFrame, sinks: list[str], by
     by = by or []
     held = ack_counts(observed, confirms, sinks, by).groupBy(*by).agg(F.min(F.when(~F.col("confirmed"), F.col("lsn"))).alias("first_unconfirmed"))
     rows = observed.select(*by, "lsn").unionByName(confirms.select(*by, "lsn"))
-    joined = rows.join(F.broadcast(held), by) if by else rows.crossJoin(F.broadcast(held))  # a row for each source
+    joined = rows.join(held, by) if by else rows.crossJoin(F.broadcast(held))  # without by, held is one row
     below = F.when(F.col("first_unconfirmed").isNull() | (F.col("lsn") < F.col("first_unconfirmed")), F.col("lsn"))
     return joined.groupBy(*by, "first_unconfirmed").agg(F.coalesce(F.max(below), F.lit(0)).alias("watermark")).select(*by, "watermark", "first_unconfirmed")
 
@@ -54,7 +54,8 @@ def requirements(observed: DataFrame, confirms: DataFrame, sinks: DataFrame) ->
     """Each observed LSN with each required sink and the confirms it has: lsn, sink_id, required, confirmed."""
     need = observed.groupBy("lsn").agg((F.count(F.lit(1)) - F.sum(F.col("self_acked").cast("int"))).alias("required"))
     have = confirms.groupBy("lsn", "sink_id").agg(F.count(F.lit(1)).alias("confirmed"))
-    return need.crossJoin(F.broadcast(sinks.select("sink_id"))).join(have, ["lsn", "sink_id"], "left").select("lsn", "sink_id", "required", F.coalesce("confirmed", F.lit(0)).alias("confirmed"))
+    listed = sinks.agg(F.collect_set("sink_id").alias("_sinks"))  # one row
+    return need.crossJoin(F.broadcast(listed)).withColumn("sink_id", F.explode("_sinks")).join(have, ["lsn", "sink_id"], "left").select("lsn", "sink_id", "required", F.coalesce("confirmed", F.lit(0)).alias("confirmed"))
 
 
 def running_confirmed(counts: DataFrame) -> DataFrame:
@@ -65,7 +66,7 @@ def running_confirmed(counts: DataFrame) -> DataFrame:
 
 def late(events: DataFrame, marks: DataFrame) -> DataFrame:
     """Events at or below their source's watermark: delivered again, or lost to it."""
-    return events.join(F.broadcast(marks.select("source_id", "watermark")), "source_id").filter(F.col("lsn") <= F.col("watermark")).drop("watermark")
+    return events.join(marks.select("source_id", "watermark"), "source_id").filter(F.col("lsn") <= F.col("watermark")).drop("watermark")
 
 
 class AckTracker:
@@ -149,3 +150,8 @@ def lag_series(samples: DataFrame, by: list[str], order: str, total: str) -> Dat
     """Non-negative growth of a total between samples; the first sample grows by nothing."""
     w = Window.partitionBy(*by).orderBy(order)
     return samples.withColumn("delta", F.greatest(F.lit(0), F.col(total) - F.coalesce(F.lag(total).over(w), F.col(total))))
+
+
+def unconfirmed(counts: DataFrame, most: int) -> DataFrame:
+    """The first unconfirmed LSNs in order, with the events observed at each: a top-k, without a global sort."""
+    return counts.filter("NOT confirmed").select("lsn", F.col("observed").alias("pending")).orderBy("lsn").limit(most)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import identity, registry, text, timing, types
 from tidemark.functions.registry import Processor
 from tidemark.operators import apply, audit, chunking, filters, schema, stats, watermark
-from tidemark.sources import envelope
+from tidemark.sources import catalog, envelope
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -175,7 +175,7 @@ def fil_4_capture_filter(spark, sf):
     return feed(spark, sf).filter(chosen.column(name)).select("event_id", "op")
 
 
-@query()
+@query(f"{FEED} SELECT event_id FROM feed WHERE ('0x' || substr(md5('u' || event_id), 1, 8))::BIGINT % 10000 < 1000")
 def fil_7_sample_share(spark, sf):
     return feed(spark, sf).filter(filters.sample_share(10, F.col("uuid"), {"orders": 100})).select("event_id")
 
@@ -312,12 +312,12 @@ def app_7_missing_key(spark, sf):
 
 @query(f"{FEED} SELECT user_id, max(ts) AS ts, count(*) AS n FROM feed WHERE op = 'delete' GROUP BY user_id")
 def agg_13_delete_grouping(spark, sf):
-    return feed(spark, sf).filter(apply.is_delete()).groupBy(carried("user_id", "bigint").alias("user_id")).agg(F.max("ts").alias("ts"), F.count(F.lit(1)).alias("n"))
+    return apply.deletes_by_key(feed(spark, sf), KEYS)
 
 
 @query(f"{FEED} SELECT DISTINCT user_id FROM feed WHERE event_type = 'view'")
 def agg_14_keys_to_read_back(spark, sf):
-    return feed(spark, sf).filter(envelope.unchanged("props")).select(carried("user_id", "bigint").alias("user_id")).distinct()
+    return apply.keys_to_read_back(feed(spark, sf), KEYS, ["props"])
 
 
 # --- watermarks and stats ------------------------------------------------------------------------------------
@@ -414,7 +414,7 @@ def agg_6_pipeline_status(spark, sf):
 
 @query(f"{FEED} SELECT batch_id, max(lsn) AS max_lsn FROM feed GROUP BY 1")
 def agg_7_max_lsn(spark, sf):
-    return feed(spark, sf).groupBy("batch_id").agg(F.max("lsn").alias("max_lsn"))
+    return stats.max_lsn(feed(spark, sf), ["batch_id"])
 
 
 _CHECKPOINTS = "points AS (SELECT 's' || (event_id % 3) AS sink_id, event_type AS table_name, max(lsn) AS checkpoint_lsn FROM feed WHERE op <> 'snapshot' AND lsn > 0 GROUP BY 1, 2)"
@@ -472,10 +472,12 @@ def agg_20_histogram(spark, sf):
     return stats.histogram(table(spark, sf, "events"), "value", [1, 10, 100])
 
 
-@query(f"""{FEED} SELECT event_id, sha256(CASE WHEN op = 'delete' THEN '{{"user_id":"' || user_id || '"}}' ELSE '{{"props":"' || replace(props, '"', '\\"') || '","user_id":"' || user_id || '"}}' END) AS h FROM feed WHERE event_type <> 'view'""")
+@query(f"""{FEED}, c AS (SELECT *, '"user_id":"' || user_id || '"' AS k, '"value":"' || (round(value * 100) :: BIGINT) || '"' AS v, '"props":"' || replace(props, '"', '\\"') || '",' AS p FROM feed)
+ SELECT event_id, sha256('{{' || CASE WHEN op = 'delete' THEN k WHEN event_type = 'view' THEN k || coalesce(',' || v, ',"value":null') ELSE coalesce(p, '"props":null,') || k || coalesce(',' || v, ',"value":null') END || '}}') AS h FROM c""")
 def agg_21_payload_hash(spark, sf):
-    e = feed(spark, sf).filter("event_type <> 'view'").withColumn("data", F.map_filter("data", lambda k, _: k != "value"))
-    return e.select("event_id", audit.payload_hash(F.col("data")).alias("h"))
+    """Hashes of all payloads; values count in cents, whose text is the same everywhere."""
+    cents = F.transform_values("data", lambda k, v: F.when(k == "value", F.round(v.cast("double") * 100).cast("bigint").cast("string")).otherwise(v))
+    return feed(spark, sf).withColumn("data", cents).select("event_id", audit.payload_hash(F.col("data"), True).alias("h"))
 
 
 # --- schema --------------------------------------------------------------------------------------------------
@@ -487,7 +489,10 @@ def str_12_drift_first_seen(spark, sf):
     return schema.drift(feed(spark, sf), reg).select("table_schema", "column", "first_lsn")
 
 
-@query("SELECT 'public' AS table_schema, CAST(2 AS BIGINT) AS version, 'props:unknown,user_id:bigint,value:float8' AS columns UNION ALL SELECT 'sales', 2, 'props:unknown,user_id:bigint,value:float8'")
+@query(f"""{FEED}, carried AS (SELECT DISTINCT table_schema, unnest(CASE WHEN op = 'delete' THEN ['user_id'] WHEN event_type = 'view' THEN ['user_id', 'value'] ELSE ['user_id', 'value', 'props'] END) AS c FROM feed),
+ known AS (SELECT s.table_schema, k.c, k.t FROM (SELECT DISTINCT table_schema FROM feed) s, (VALUES ('user_id', 'bigint'), ('value', 'float8')) k(c, t)),
+ every AS (SELECT table_schema, c, t, 0 AS added FROM known UNION ALL SELECT table_schema, c, 'unknown', 1 FROM carried WHERE (table_schema, c) NOT IN (SELECT table_schema, c FROM known))
+ SELECT table_schema, CAST(1 + max(added) AS BIGINT) AS version, string_agg(c || ':' || t, ',' ORDER BY c) AS columns FROM every GROUP BY 1""")
 def snk_3_evolved_registry(spark, sf):
     reg = spark.createDataFrame([("public", "users", 1, {"user_id": "bigint", "value": "float8"}, ["user_id"]), ("sales", "users", 1, {"user_id": "bigint", "value": "float8"}, ["user_id"])], schema.REGISTRY)
     new = schema.evolve(reg, schema.diffs(schema.drift(feed(spark, sf), reg)))
@@ -534,7 +539,7 @@ def fn_9_timeouts(spark, sf):
 
 @query("SELECT vec_id, to_json({'vec_id': vec_id, 'label': label}) AS j FROM embeddings")
 def fn_17_json(spark, sf):
-    return table(spark, sf, "embeddings").select("vec_id", F.to_json(F.struct("vec_id", "label")).alias("j"))
+    return table(spark, sf, "embeddings").select("vec_id", types.wire_text(F.struct("vec_id", "label"), "struct<vec_id:bigint,label:int>").alias("j"))
 
 
 @query("SELECT c_custkey, h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32] AS u, to_base64(encode(c_name)) AS b FROM (SELECT *, md5(c_name) AS h FROM customer)")
@@ -614,7 +619,7 @@ def win_7_byte_chunks(spark, sf):
 @query(f"{FEED} SELECT event_id FROM feed")
 def str_16_dedup_by_message_id(spark, sf):
     e = feed(spark, sf)
-    return e.unionByName(e.filter("event_id % 3 = 0")).dropDuplicates(["uuid"]).select("event_id")
+    return filters.once(e.unionByName(e.filter("event_id % 3 = 0"))).select("event_id")
 
 
 @query(f"{FEED} SELECT event_id, CAST((SELECT count(*) FROM (VALUES (2100), (4100)) m(l) WHERE l <= feed.lsn AND feed.table_schema = 'public') AS INT) AS segment FROM feed")
@@ -724,26 +729,28 @@ def set_1_snapshot_and_stream(spark, sf):
     return log.unionByName(snap).groupBy("lsn").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT 'c' || (event_id % 400) AS correlation_id FROM events WHERE event_id < 1200 GROUP BY 1 HAVING count(DISTINCT user_id % 3) >= 3")
+@query("SELECT 'c' || (event_id // 4) AS correlation_id FROM events GROUP BY 1 HAVING count(DISTINCT user_id % 3) >= 3")
 def set_4_acknowledged_changes(spark, sf):
-    e = table(spark, sf, "events").filter("event_id < 1200")
-    acks_ = e.select(F.concat(F.lit("c"), (F.col("event_id") % 400).cast("string")).alias("correlation_id"), F.concat(F.lit("s"), (F.col("user_id") % 3).cast("string")).alias("sink_id"))
+    e = table(spark, sf, "events")
+    acks_ = e.select(F.concat(F.lit("c"), F.floor(F.col("event_id") / 4).cast("string")).alias("correlation_id"), F.concat(F.lit("s"), (F.col("user_id") % 3).cast("string")).alias("sink_id"))
     return schema.acknowledged(acks_, 3)
 
 
 @query(f"{FEED} SELECT lsn, CAST(count(*) AS BIGINT) AS pending FROM feed WHERE event_id % 97 = 96 GROUP BY 1 ORDER BY 1 LIMIT 10")
 def srt_7_first_pending(spark, sf):
-    counts = watermark.ack_counts(*acks(spark, sf), ["b"]).filter("NOT confirmed")
-    return counts.select("lsn", F.col("observed").alias("pending")).orderBy("lsn").limit(10)
+    return watermark.unconfirmed(watermark.ack_counts(*acks(spark, sf), ["b"]), 10)
 
 
-@query(f"{FEED} SELECT table_schema, 'PRIMARY' AS kind, 'user_id' AS keys FROM feed GROUP BY 1")
+@query("""SELECT r_name AS table_schema, n_name AS table_name, CASE WHEN n_nationkey % 3 = 0 THEN 'k' || n_nationkey || ',turn' WHEN n_nationkey % 3 = 1 THEN lower(n_name) || '_id' WHEN n_regionkey <> 4 THEN 'id' END AS keys FROM nation JOIN region ON n_regionkey = r_regionkey""")
 def snk_9_key_resolution(spark, sf):
-    tables = feed(spark, sf).select("table_schema", "table_name").distinct()
-    reg = spark.createDataFrame([("public", "users", 1, {"user_id": "bigint"}, ["user_id"])], schema.REGISTRY)
-    ddl = spark.createDataFrame([("sales", "users", "CREATE TABLE users (user_id INT, PRIMARY KEY (user_id))")], "table_schema string, table_name string, ddl string")
-    found = schema.resolve_keys(tables, reg, ddl)
-    return found.select("table_schema", F.lit("PRIMARY").alias("kind"), F.array_join("pk_columns", ",").alias("keys"))
+    """Keys from the registry, from the DDL, by default, or unresolved where a schema has no default."""
+    n = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")).withColumns({"table_schema": F.col("r_name"), "table_name": F.col("n_name"), "k": F.concat(F.lit("k"), F.col("n_nationkey").cast("string"))})
+    reg = n.filter("n_nationkey % 3 = 0").select("table_schema", "table_name", F.lit(1).cast("bigint").alias("version"), F.create_map("k", F.lit("int8")).alias("columns"), F.array("k", F.lit("turn")).alias("pk_columns"))
+    own = F.concat(F.lower("n_name"), F.lit("_id"))
+    ddl = n.filter("n_nationkey % 3 = 1").select("table_schema", "table_name", F.concat(F.lit("CREATE TABLE t (`"), own, F.lit("` INT, PRIMARY KEY (`"), own, F.lit("`))")).alias("ddl"))
+    strict = [r["r_name"] for r in table(spark, sf, "region").filter("r_regionkey = 4").collect()]  # one name
+    found = schema.resolve_keys(n.select("table_schema", "table_name"), reg, ddl, strict)
+    return found.select("table_schema", "table_name", F.when(F.col("pk_columns").isNotNull(), F.array_join("pk_columns", ",")).alias("keys"))
 
 
 @query("SELECT c_custkey, regexp_replace('postgres://u:' || c_name || '@h/db', '(://[^:/@]*):[^@]*@', '\\1:***@') AS dsn FROM customer")
@@ -751,3 +758,365 @@ def prj_4_masked_dsn(spark, sf):
     from tidemark.sources.catalog import masked_dsn
 
     return table(spark, sf, "customer").select("c_custkey", masked_dsn(F.concat(F.lit("postgres://u:"), "c_name", F.lit("@h/db"))).alias("dsn"))
+
+
+# --- catalog -------------------------------------------------------------------------------------------------
+
+_OIDS = "SELECT event_id, coalesce(s, 'public') AS table_schema, t AS table_name FROM (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'orders' ELSE n_name END AS t, CASE WHEN event_id % 2 = 0 THEN NULL ELSE 'r' || n_regionkey END AS s FROM events LEFT JOIN nation ON n_nationkey = user_id % 30)"
+
+
+@query(_OIDS)
+def src_5_relation_cache(spark, sf):
+    """Names by relation number where an event has none of its own."""
+    own = F.col("event_id") % 2 == 0
+    e = table(spark, sf, "events").select("event_id", F.lit(None).cast("string").alias("table_schema"), F.when(own, F.lit("orders")).alias("table_name"), F.when(~own, F.col("user_id") % 30).alias("oid"))
+    relations = table(spark, sf, "nation").select(F.col("n_nationkey").alias("oid"), F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("table_schema"), F.col("n_name").alias("table_name"))
+    return catalog.resolve_relations(e, relations).select("event_id", "table_schema", "table_name")
+
+
+def _keys_of_nations(spark, sf):
+    """Tables are nations, their key columns are suppliers, in the order of supplier numbers from above."""
+    n, sup = table(spark, sf, "nation"), table(spark, sf, "supplier")
+    constraints = n.select(F.lit("public").alias("table_schema"), F.col("n_name").alias("table_name"), F.concat(F.lit("c"), F.col("n_nationkey").cast("string")).alias("constraint_name"), F.when(F.col("n_regionkey") < 3, "PRIMARY KEY").otherwise("UNIQUE").alias("constraint_type"))
+    columns = sup.select(F.lit("public").alias("table_schema"), F.concat(F.lit("c"), F.col("s_nationkey").cast("string")).alias("constraint_name"), F.col("s_name").alias("column_name"), (-F.col("s_suppkey")).alias("ordinal_position"))
+    return constraints, columns
+
+
+@query("SELECT 'public' AS table_schema, n_name AS table_name, string_agg(s_name, ',' ORDER BY s_suppkey DESC) AS pk FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey < 3 GROUP BY n_name")
+def src_10_declared_keys(spark, sf):
+    return catalog.declared_keys(*_keys_of_nations(spark, sf)).select("table_schema", "table_name", F.array_join("pk_columns", ",").alias("pk"))
+
+
+@query("SELECT n_name AS table_name, string_agg(s_name, ',' ORDER BY s_suppkey DESC) AS pk FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey < 3 GROUP BY n_name")
+def jon_6_key_catalog_join(spark, sf):
+    constraints, columns = _keys_of_nations(spark, sf)
+    return catalog.declared_keys(constraints.filter("constraint_type <> 'UNIQUE'"), columns).select("table_name", F.array_join("pk_columns", ",").alias("pk"))
+
+
+@query("SELECT l_orderkey AS relid, string_agg('c' || l_linenumber, ',' ORDER BY l_linenumber DESC) AS pk FROM lineitem WHERE l_linenumber IN (1, 3, 4) GROUP BY 1")
+def jon_7_index_keys(spark, sf):
+    """Tables are orders, their columns are lines; the index names columns 4, 3 and 1."""
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("relid"), F.col("l_linenumber").cast("int").alias("attnum"), F.concat(F.lit("c"), F.col("l_linenumber").cast("string")).alias("name"))
+    indexes = table(spark, sf, "orders").select(F.col("o_orderkey").alias("relid"), F.lit(True).alias("is_primary"), F.array(F.lit(4), F.lit(3), F.lit(1)).alias("indkey"))
+    return catalog.indexed_keys(lines, indexes).select("relid", F.array_join("pk_columns", ",").alias("pk"))
+
+
+@query("""SELECT n_name AS table_name, string_agg(s_name || ':' || CASE WHEN s_acctbal < 0 THEN 'int4' ELSE 'text' END, ',' ORDER BY s_name) AS columns, CASE WHEN n_regionkey < 3 THEN string_agg(s_name, ',' ORDER BY s_suppkey DESC) END AS pk
+ FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name, n_regionkey""")
+def src_9_column_metadata(spark, sf):
+    n = table(spark, sf, "nation").join(table(spark, sf, "supplier"), F.col("s_nationkey") == F.col("n_nationkey"))
+    columns = n.select(F.lit("public").alias("table_schema"), F.col("n_name").alias("table_name"), F.col("s_name").alias("column_name"), F.when(F.col("s_acctbal") < 0, "int4").otherwise("text").alias("data_type"))
+    found = catalog.column_metadata(columns, catalog.declared_keys(*_keys_of_nations(spark, sf)))
+    listed = F.transform(F.array_sort(F.map_entries("columns")), lambda e: F.concat_ws(":", e["key"], e["value"]))
+    return found.select("table_name", F.array_join(listed, ",").alias("columns"), F.when(F.col("pk_columns").isNotNull(), F.array_join("pk_columns", ",")).alias("pk"))
+
+
+@query("SELECT DISTINCT r_name AS table_schema FROM region WHERE r_regionkey <> 2")
+def src_11_schemas(spark, sf):
+    t = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return catalog.schemas_of(t.select(F.when(F.col("r_regionkey") == 2, "pg_catalog").otherwise(F.col("r_name")).alias("table_schema")))
+
+
+@query("SELECT 'r' || n_regionkey AS table_schema, n_name AS table_name FROM nation WHERE n_regionkey < 2 AND n_nationkey % 2 = 0 UNION ALL SELECT 'r' || n_regionkey, n_name FROM nation WHERE n_regionkey >= 2")
+def src_12_listed_tables(spark, sf):
+    n = table(spark, sf, "nation").select(F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("table_schema"), F.col("n_name").alias("table_name"), "n_regionkey", "n_nationkey")
+    return catalog.listed_tables(n.filter("n_regionkey < 2 AND n_nationkey % 2 = 0"), n)
+
+
+@query(f"{FEED}{_ACKS}{_COUNTS} SELECT coalesce(max(lsn) FILTER (WHERE lsn < f), 0) AS position FROM counts, (SELECT min(lsn) FILTER (WHERE NOT confirmed) AS f FROM counts)")
+def src_15_resume_position(spark, sf):
+    """Where reading starts again: after what all sinks have acknowledged."""
+    from tidemark.sources.log import resume_position
+
+    observed, told = acks(spark, sf)
+    mine = observed.filter("NOT self_acked").withColumn("op", F.lit("insert"))
+    selfed = observed.filter("self_acked").select("lsn", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("sink_id"))
+    position = resume_position(mine.select("lsn", "op").unionByName(observed.filter("self_acked").select("lsn", F.lit("insert").alias("op"))), told.unionByName(selfed).withColumn("op", F.lit("insert")), ["a", "b"])
+    return spark.createDataFrame([(position,)], "position bigint")
+
+
+@query("SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'id:int8' ELSE 'extra:text' END AS columns FROM nation")
+def prj_2_schema_of_change(spark, sf):
+    own = F.when(F.col("n_nationkey") % 2 == 0, F.create_map(F.lit("id"), F.lit("int8")))
+    changes = table(spark, sf, "nation").select("n_nationkey", own.alias("columns"), F.create_map(F.lit("extra"), F.lit("text")).alias("added"))
+    return catalog.schema_of_change(changes).select("n_nationkey", F.array_join(F.transform(F.map_entries("columns"), lambda e: F.concat_ws(":", e["key"], e["value"])), ",").alias("columns"))
+
+
+@query("SELECT n_nationkey, 'num:int8,' || lower(n_name) || ':text' AS columns, 'num' AS pk FROM nation")
+def prj_3_renamed_schema(spark, sf):
+    reg = table(spark, sf, "nation").select("n_nationkey", F.create_map(F.lit("id"), F.lit("int8"), F.lower("n_name"), F.lit("text")).alias("columns"), F.array(F.lit("id")).alias("pk_columns"))
+    new = catalog.renamed(reg, {"id": "num"})
+    return new.select("n_nationkey", F.array_join(F.transform(F.map_entries("columns"), lambda e: F.concat_ws(":", e["key"], e["value"])), ",").alias("columns"), F.array_join("pk_columns", ",").alias("pk"))
+
+
+@query("SELECT n_name AS table_name, 'age INT64, deleted_at TIMESTAMP' AS columns FROM nation WHERE n_nationkey % 2 = 0 UNION ALL SELECT n_name, 'a' || n_nationkey || ' STRING, deleted_at TIMESTAMP' FROM nation WHERE n_nationkey % 2 = 1")
+def srt_4_sorted_ddl(spark, sf):
+    cols = F.when(F.col("n_nationkey") % 2 == 0, F.create_map(F.lit("deleted_at"), F.lit("timestamp"), F.lit("age"), F.lit("int4"))).otherwise(F.create_map(F.concat(F.lit("a"), F.col("n_nationkey").cast("string")), F.lit("text")))
+    reg = table(spark, sf, "nation").select(F.lit("public").alias("table_schema"), F.col("n_name").alias("table_name"), cols.alias("columns"))
+    return schema.table_ddl(reg).select("table_name", "columns")
+
+
+@query("SELECT n_name AS table_name FROM nation WHERE n_regionkey >= 3")
+def set_3_added_tables(spark, sf):
+    """Tables that a new revision of a specification adds, and nothing else, so that the pipeline needn't start anew."""
+    from tidemark.plans.spec import PipelineSpec, TableSpec, new_tables, reload_action
+
+    rows = table(spark, sf, "nation").select("n_name", "n_regionkey").collect()  # the names of a specification's tables
+    safe = lambda n: n.replace(" ", "_")
+    spec = lambda names: PipelineSpec("p", "pg", ["main"], [TableSpec(safe(n), {"id": "bigint"}, {}) for n in names])
+    old, new = spec(r.n_name for r in rows if r.n_regionkey < 3), spec(r.n_name for r in rows)
+    added = {t.name for t in new_tables(old, new)} if reload_action(old, new) == "add_tables" else set()
+    return spark.createDataFrame([(r.n_name,) for r in rows if safe(r.n_name) in added], "table_name string")
+
+
+# --- functions -----------------------------------------------------------------------------------------------
+
+
+@query(f"{FEED} SELECT event_id, 'p1.pg1.s' || (event_id % 3) || '.' || CASE WHEN table_schema = 'public' THEN table_name ELSE table_schema || '=' || table_name END AS k FROM feed")
+def idn_stats_key(spark, sf):
+    sink = F.concat(F.lit("s"), (F.col("event_id") % 3).cast("string"))
+    return feed(spark, sf).select("event_id", identity.stats_key(F.lit("p1"), F.col("source_id"), sink, F.col("table_schema"), F.col("table_name")).alias("k"))
+
+
+@query("SELECT p_partkey, regexp_full_match(CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN replace(p_name, ' ', '_') WHEN 2 THEN 'public.t' || p_partkey ELSE 'a..b' END, '[A-Za-z0-9_]+([.][A-Za-z0-9_]+)*') AS ok FROM part")
+def fn_5_identifiers(spark, sf):
+    k = F.col("p_partkey") % 4
+    name = F.when(k == 0, F.col("p_name")).when(k == 1, F.replace(F.col("p_name"), F.lit(" "), F.lit("_"))).when(k == 2, F.concat(F.lit("public.t"), F.col("p_partkey").cast("string"))).otherwise("a..b")
+    return table(spark, sf, "part").select("p_partkey", identity.is_identifier(name).alias("ok"))
+
+
+@query("SELECT event_id, CAST(date_diff('microsecond', ts, ts + to_microseconds(event_id * 1700)) // 1000 AS BIGINT) AS processing_latency_ms FROM events")
+def fn_11_processing_latency(spark, sf):
+    later = table(spark, sf, "events").withColumn("end", F.timestamp_add("MICROSECOND", F.col("event_id") * 1700, F.col("ts")))
+    return audit.latency_ms(later, "ts", "end").select("event_id", "processing_latency_ms")
+
+
+@query("SELECT event_id, rtrim(rtrim(strftime(t, '%Y-%m-%dT%H:%M:%S.%f'), '0'), '.') || 'Z' AS at FROM (SELECT event_id, ts + to_microseconds(CASE event_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 250000 ELSE 123457 END) AS t FROM (SELECT event_id, date_trunc('minute', ts) + INTERVAL 7 SECOND AS ts FROM events))")
+def fn_14_rfc3339(spark, sf):
+    k = F.col("event_id") % 3
+    t = F.timestamp_add("MICROSECOND", F.when(k == 0, 0).when(k == 1, 250_000).otherwise(123_457), F.date_trunc("minute", "ts").cast("timestamp_ntz") + F.expr("INTERVAL 7 SECOND"))
+    return table(spark, sf, "events").select("event_id", timing.rfc3339(t).alias("at"))
+
+
+@query("SELECT conv_id, turn, '[\"' || turn || '\",\"x\"]' AS list, role AS part FROM conversations")
+def fn_16_nested_values(spark, sf):
+    kind = "struct<a:array<string>,b:struct<c:string,d:date>>"
+    c = table(spark, sf, "conversations").select("conv_id", "turn", F.struct(F.array(F.col("turn").cast("string"), F.lit("x")).alias("a"), F.struct(F.col("role").alias("c"), F.lit("2024-02-29").cast("date").alias("d")).alias("b")).alias("v"))
+    plain = types.normalised(F.col("v"), kind)
+    return c.select("conv_id", "turn", F.to_json(plain["a"]).alias("list"), plain["b"]["c"].alias("part"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN replace(props, ' ', '') ELSE 'plain' END AS v FROM events WHERE props IS NOT NULL")
+def fn_18_json_or_text(spark, sf):
+    """Parsed where it is JSON, raw text where it isn't."""
+    v = F.when(F.col("event_id") % 2 == 0, F.col("props")).otherwise("plain")
+    parsed = types.json_or_text(v)
+    shown = F.when(F.schema_of_variant(parsed) == "STRING", F.variant_get(parsed, "$", "string")).otherwise(F.to_json(parsed))
+    return table(spark, sf, "events").filter("props IS NOT NULL").select("event_id", shown.alias("v"))
+
+
+@query("SELECT c_custkey, c_name AS opened, false AS same FROM customer")
+def fn_21_sealed_secrets(spark, sf):
+    key = bytes(range(32))
+    sealed = catalog.sealed(F.col("c_name"), key)
+    return table(spark, sf, "customer").select("c_custkey", sealed.alias("s"), "c_name").select("c_custkey", catalog.opened(F.col("s"), key).alias("opened"), (F.col("s") == F.col("c_name")).alias("same"))
+
+
+@query("SELECT c_custkey AS k, sha256('public.customer:{\"c_custkey\":' || c_custkey || '}') AS uuid FROM customer")
+def fn_25_snapshot_uuid(spark, sf):
+    """Message ids that are the same on every run."""
+    return envelope.snapshot(table(spark, sf, "customer"), "public", "customer", ["c_custkey"]).select(carried("c_custkey", "bigint").alias("k"), "uuid")
+
+
+@query(f"WITH {_STATS} SELECT pipeline, sink_id, count(DISTINCT table_name) AS n_tables, CAST(sum(total_synced) AS BIGINT) AS total_synced, max(lag_ms) AS lag_ms, max({{'updated_at': updated_at, 'status': status}}).status AS status FROM stats GROUP BY 1, 2")
+def agg_6_sink_breakdown(spark, sf):
+    return stats.sink_breakdown(sink_stats(spark, sf))
+
+
+@query(f"{FEED} SELECT table_schema, metric, value FROM (SELECT table_schema, unnest(['synced', 'errors', 'unchanged']) AS metric, unnest([count(*), count(*) FILTER (WHERE op = 'delete'), count(*) FILTER (WHERE event_type = 'view')]) AS value FROM feed GROUP BY 1) WHERE value > 0")
+def agg_20_counters(spark, sf):
+    return stats.counters(feed(spark, sf), {"synced": F.lit(True), "errors": F.col("op") == "delete", "unchanged": envelope.unchanged("props")}, ["table_schema"])
+
+
+@query(f"{FEED} SELECT table_schema, arg_max(event_id, lsn) AS value FROM feed GROUP BY 1")
+def agg_20_gauges(spark, sf):
+    return stats.gauges(feed(spark, sf), ["table_schema"], "event_id", ["lsn", "seq"])
+
+
+@query(f"{FEED} SELECT event_id FROM feed WHERE op <> 'delete'")
+def fil_6_capture_stage(spark, sf):
+    first, second = audited(spark, sf)
+    rows = audit.mark_filtered(first, second).unionByName(second)
+    return filters.at_stage(rows, filters.CaptureFilter(stages=["before"])).select(((F.col("lsn") - 100) / 8).cast("bigint").alias("event_id"))
+
+
+# --- payloads, sinks and streams -----------------------------------------------------------------------------
+
+
+def _wire(spark, sf):
+    """The feed as envelopes alone."""
+    log = feed(spark, sf)
+    return log.select(*[c for c in log.columns if c not in ("event_id", "event_type")]).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
+def _place(spark, name):
+    import uuid
+
+    from tidemark.streaming.scratch import root, temporary
+
+    base = f"{root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+    return temporary(spark, base)
+
+
+@query(f"{FEED} SELECT event_id, CASE event_id % 3 WHEN 2 THEN 'deserialization_failed' END AS reason, CASE WHEN event_id % 3 < 2 THEN user_id END AS user_id FROM feed")
+def app_8_payloads(spark, sf):
+    """Data as it is, else from JSON, else with the dead letters."""
+    from tidemark.sources.payload import decode_payloads
+
+    k = F.col("event_id") % 3
+    body = F.when(k == 1, F.to_json(F.map_filter("data", lambda n, _: n == "user_id"))).when(k == 2, "not a payload")
+    e = feed(spark, sf).select("event_id", F.when(k == 0, F.col("data")).alias("data"), F.encode(body, "UTF-8").alias("payload"))
+    good, dead = decode_payloads(e)
+    return good.select("event_id", F.lit(None).cast("string").alias("reason"), carried("user_id", "bigint").alias("user_id")).unionByName(dead.select("event_id", "reason", F.lit(None).cast("bigint").alias("user_id")))
+
+
+@query(f"{FEED} SELECT event_id, user_id * 2 AS doubled FROM feed WHERE op <> 'insert' OR event_id % 5 <> 0")
+def udf_7_remote_transformer(spark, sf):
+    """A remote function over requests of bounded size: it changes the data of most events and rejects some inserts."""
+    from tidemark.functions.remote import Answer, remote
+
+    def ask(rows):
+        out = []
+        for r in rows:
+            data = dict(r["data"])
+            out.append(Answer(success=not (r["op"] == "insert" and r["event_id"] % 5 == 0), data={"user_id": str(2 * int(data["user_id"]))}))
+        return out
+
+    e = feed(spark, sf).select("event_id", "op", "data")
+    return registry.run_batch(e, remote(ask, budget=4096)).select("event_id", carried("user_id", "bigint").alias("doubled"))
+
+
+@query(f"{FEED} SELECT event_id, event_type = 'view' AS dropped FROM feed")
+def udf_2_dropped_events(spark, sf):
+    """What a batch transformer drops, told in the same pass."""
+    if "queries/without_views" not in registry._FACTORIES:
+        registry.register("queries/without_views", lambda **_: registry.BatchTransformer(lambda frames: (d[d["event_type"] != "view"] for d in frames)))
+    out, gone = registry.apply_chain(feed(spark, sf), [Processor("queries/without_views", ["update"])])
+    return out.select("event_id", F.lit(False).alias("dropped")).unionByName(gone.select("event_id", F.lit(True).alias("dropped")))
+
+
+@query(f"{FEED} SELECT event_id FROM feed")
+def snk_10_published_log(spark, sf):
+    """Events published in three batches, one of them twice and with repeats inside; the landed log has each once."""
+    from tidemark.sources.log import Publisher
+
+    log, wire = f"{_place(spark, 'published')}/log", _wire(spark, sf)
+    publisher = Publisher(spark, log, batch_size=5000)
+    for part in (0, 1, 2, 1):
+        some = wire.filter(F.col("batch_id") % 3 == part)
+        publisher.publish(some.unionByName(some.filter(F.col("lsn") % 16 == 4)), part)
+    return envelope.read_log(spark, log).select(((F.col("lsn") - 100) / 8).cast("bigint").alias("event_id"))
+
+
+@query(f"{FEED} SELECT event_id FROM feed WHERE table_schema = 'sales'")
+def src_1_landed_source(spark, sf):
+    """The landed log as a named source, narrowed to one table and read as a stream."""
+    from tidemark.sources.log import create_source
+
+    base = _place(spark, "source")
+    _wire(spark, sf).write.parquet(f"{base}/log")
+    source = create_source("landed", spark, f"{base}/log", tables=[("sales", "users")])
+    q = source.start().writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema("lsn bigint").parquet(f"{base}/out").select(((F.col("lsn") - 100) / 8).cast("bigint").alias("event_id"))
+
+
+_HALF = "(SELECT max(event_id) // 2 FROM events)"
+
+
+@query(f"""{FEED}, mine AS (SELECT * FROM feed WHERE table_schema = 'public'), ups AS (SELECT * FROM mine WHERE op <> 'delete'),
+ last AS (SELECT user_id, arg_max(value, lsn) AS value, max(event_id) FILTER (WHERE event_id > {_HALF}) AS late FROM ups GROUP BY 1)
+ SELECT u.user_id, u.value, CASE WHEN late IS NOT NULL AND l.event_id = late THEN CAST(late AS BIGINT) END AS seen_at FROM last u LEFT JOIN (SELECT user_id, max(event_id) AS event_id FROM ups GROUP BY 1) l USING (user_id)""")
+def str_11_columns_in_the_stream(spark, sf):
+    """A log in whose second half a declared column appears; the streamed table gets it, with its declared type, and keeps the earlier rows."""
+    from tidemark.plans.spec import PipelineSpec, TableSpec
+    from tidemark.streaming.pipeline import Sink, run_all
+
+    base, wire = _place(spark, "evolving"), _wire(spark, sf)
+    half = table(spark, sf, "events").agg(F.floor(F.max("event_id") / 2)).first()[0] * 8 + 100
+    mine = wire.filter("table_schema = 'public'")
+    late = F.col("lsn") > half
+    grown = mine.filter(late).withColumn("data", F.when(F.col("op") != "delete", F.map_concat("data", F.create_map(F.lit("seen_at"), ((F.col("lsn") - 100) / 8).cast("bigint").cast("string")))).otherwise(F.col("data")))
+    change = mine.filter(late).orderBy("lsn").limit(1).withColumns({"op": F.lit("schema_change"), "data": F.create_map(F.lit("seen_at"), F.lit("int8")), "seq": F.lit(-1).cast("bigint")})
+    spec = PipelineSpec("evolving", "pg1", ["main"], [TableSpec("users", KEYS, {"value": "double"})])
+    for part in (mine.filter(~late), grown.unionByName(change)):
+        part.coalesce(1).write.mode("append").parquet(f"{base}/log")
+        run_all(spark, spec, f"{base}/log", base)
+    return Sink(spark, spec, "main", base).table("users").read().select("user_id", "value", "seen_at")
+
+
+@query(f"{FEED} SELECT event_id FROM feed WHERE event_id % 4 = 2")
+def snk_7_dead_batches(spark, sf):
+    """Published batches that a transformer can't take are told from the others and kept as dead letters."""
+    from tidemark.plans.spec import PipelineSpec, TableSpec
+    from tidemark.streaming.sinks import Sink
+    from tidemark.streaming.tables import AppendLog
+
+    def poison(frames):
+        for d in frames:
+            if (d["batch_id"] == 2).any():
+                raise RuntimeError("poison")
+            yield d
+
+    if "queries/poison" not in registry._FACTORIES:
+        registry.register("queries/poison", lambda **_: registry.BatchTransformer(poison))
+    spec = PipelineSpec("poisoned", "pg1", ["main"], [TableSpec("users", KEYS, COLUMNS)], processors=[Processor("queries/poison", ["insert", "update", "delete"])], max_retries=0)
+    sink = Sink(spark, spec, "main", _place(spark, "poisoned"))
+    few = _wire(spark, sf).withColumn("batch_id", ((F.col("lsn") - 100) / 8).cast("bigint") % 4)  # four published batches
+    sink.upload(few, 0)
+    return AppendLog(spark, f"{sink.root}/dead_batches").read().select(((F.col("lsn") - 100) / 8).cast("bigint").alias("event_id"))
+
+
+@query(f"{FEED} SELECT event_id, 'p1' AS pipeline_id, 'main' AS sink_id, 'mask' AS transformers, event_type = 'insert' AS filtered, true AS timed FROM feed WHERE op <> 'delete'")
+def snk_5_audit_rows(spark, sf):
+    """Audit rows of a sink's batch before transformation, with pipeline, transformers and latency."""
+    from tidemark.plans.spec import PipelineSpec, TableSpec
+    from tidemark.streaming.sinks import Sink
+    from tidemark.streaming.tables import AppendLog
+
+    spec = PipelineSpec("p1", "pg1", ["main"], [TableSpec("users", KEYS, COLUMNS)], processors=[Processor("mask", ["insert"], options={"column": "props", "salt": SALT})])
+    sink = Sink(spark, spec, "main", _place(spark, "audited"), capture=filters.CaptureFilter(operations=["insert", "update"]))
+    sink.upload(_wire(spark, sf), 0)
+    rows = filters.at_stage(AppendLog(spark, f"{sink.root}/audit").read(), filters.CaptureFilter(stages=["before"]))
+    return rows.select(((F.col("lsn") - 100) / 8).cast("bigint").alias("event_id"), "pipeline_id", "sink_id", F.array_join("transformer_names", ",").alias("transformers"), "filtered", (F.col("processing_latency_ms") >= 0).alias("timed"))
+
+
+@query(f"{FEED} SELECT event_id FROM feed WHERE batch_id >= (SELECT max(batch_id) - 1 FROM feed)")
+def dbg_5_retained_batches(spark, sf):
+    """An audit log of published batches, held to the newest rows by whole batches."""
+    from datetime import datetime
+
+    from tidemark.streaming.tables import AppendLog
+
+    log, wire = AppendLog(spark, f"{_place(spark, 'retained')}/log"), _wire(spark, sf)
+    last = wire.agg(F.max("batch_id")).first()[0]
+    for b in range(max(0, last - 3), last + 1):
+        log.append(wire.filter(F.col("batch_id") == b).select("lsn", F.col("ts").alias("captured_at")), b)
+    log.retain(datetime(2030, 1, 1), most=wire.filter(F.col("batch_id") == last).count() + 1)
+    return log.read().select(((F.col("lsn") - 100) / 8).cast("bigint").alias("event_id"))
+
+
+@query(f"{FEED} SELECT sink_id, event_id FROM feed, (SELECT unnest(['copy', 'main']) AS sink_id) WHERE lsn > 0")
+def str_5_acknowledged(spark, sf):
+    """Each of two sinks acknowledges every event of the log once, whatever became of it."""
+    from tidemark.plans.spec import PipelineSpec, TableSpec
+    from tidemark.streaming.pipeline import Sink, run_all
+
+    base = _place(spark, "acknowledged")
+    _wire(spark, sf).repartition(2).write.parquet(f"{base}/log")
+    spec = PipelineSpec("acks", "pg1", ["main", "copy"], [TableSpec("users", KEYS, {"value": "double"})])
+    run_all(spark, spec, f"{base}/log", base)
+    found = [Sink(spark, spec, s, base).acks.read().select("sink_id", ((F.col("lsn") - 100) / 8).cast("bigint").alias("event_id")) for s in spec.sinks]
+    return found[0].unionByName(found[1])

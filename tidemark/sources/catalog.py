@@ -10,6 +10,10 @@ from tidemark.operators.schema import REGISTRY, evolve
 from tidemark.streaming.tables import VersionedTable
 
 
+#: Schemas that are never replicated.
+SYSTEM = ("information_schema", "pg_catalog", "sys")
+
+
 def resolve_relations(events: DataFrame, relations: DataFrame) -> DataFrame:
     """Events with the names that their relation number (oid) stands for where they have none."""
     names = relations.select("oid", F.col("table_schema").alias("_s"), F.col("table_name").alias("_t"))
@@ -19,7 +23,51 @@ def resolve_relations(events: DataFrame, relations: DataFrame) -> DataFrame:
 
 def schemas(spark: SparkSession) -> list[str]:
     """Databases in order, without system ones."""
-    return sorted(d.name for d in spark.catalog.listDatabases() if d.name not in ("information_schema", "pg_catalog", "sys"))
+    return sorted(d.name for d in spark.catalog.listDatabases() if d.name not in SYSTEM)
+
+
+def schemas_of(tables: DataFrame) -> DataFrame:
+    """Schemas that hold tables, in order, without system ones."""
+    return tables.select("table_schema").distinct().filter(~F.col("table_schema").isin(*SYSTEM)).orderBy("table_schema")
+
+
+def declared_keys(constraints: DataFrame, key_columns: DataFrame) -> DataFrame:
+    """Primary keys as declared: table_schema, table_name and pk_columns in their ordinal order.
+
+    constraints: table_schema, table_name, constraint_name, constraint_type; key_columns: table_schema, constraint_name, column_name,
+    ordinal_position. A key's columns, a handful, are ordered inside the aggregation.
+    """
+    by = ["table_schema", "constraint_name"]
+    joined = constraints.filter(F.col("constraint_type") == "PRIMARY KEY").select(*by, "table_name").join(key_columns, by)
+    ordered = F.array_sort(F.collect_list(F.struct("ordinal_position", "column_name")))
+    return joined.groupBy("table_schema", "table_name").agg(F.transform(ordered, lambda x: x["column_name"]).alias("pk_columns"))
+
+
+def indexed_keys(attributes: DataFrame, indexes: DataFrame) -> DataFrame:
+    """Primary keys from index entries: relid and pk_columns in the order of the index.
+
+    attributes: relid, attnum, name; indexes: relid, is_primary, indkey (attribute numbers).
+    """
+    keys = indexes.filter("is_primary").select("relid", "indkey")
+    found = attributes.join(keys, "relid").filter(F.array_contains(F.col("indkey"), F.col("attnum")))
+    ordered = F.array_sort(F.collect_list(F.struct(F.array_position(F.col("indkey"), F.col("attnum")).alias("i"), "name")))
+    return found.groupBy("relid").agg(F.transform(ordered, lambda x: x["name"]).alias("pk_columns"))
+
+
+def column_metadata(columns: DataFrame, keys: DataFrame) -> DataFrame:
+    """Registry rows of scanned tables: table_schema, table_name, version, columns, pk_columns (none: null).
+
+    columns: table_schema, table_name, column_name, data_type; keys: what declared_keys gives.
+    """
+    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("column_name", "data_type"))))
+    by = ["table_schema", "table_name"]
+    return columns.groupBy(*by).agg(entries.alias("columns")).join(keys.select(*by, "pk_columns"), by, "left").select(*by, F.lit(1).cast("bigint").alias("version"), "columns", "pk_columns")
+
+
+def scan_tables(spark: SparkSession, names: list[tuple[str, str]]) -> DataFrame:
+    """columns for column_metadata of tables of the catalog."""
+    found = [(s, t, f.name, f.dataType.simpleString()) for s, t in names for f in spark.table(f"{quoted(s)}.{quoted(t)}").schema]
+    return spark.createDataFrame(found, "table_schema string, table_name string, column_name string, data_type string")
 
 
 def listed_tables(registry: DataFrame, discovered: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.filters import once
 from tidemark.operators.watermark import ack_watermark
 from tidemark.plans.resilience import CircuitBreaker
 from tidemark.sources.envelope import ENVELOPE, stream_log
@@ -82,9 +83,8 @@ class Publisher:
             value, revision = self.control.get(f"batch-{batch_id}")
             if value and value["state"] == "done":
                 return False
-            named = events.filter("uuid IS NOT NULL").dropDuplicates(["uuid"]).unionByName(events.filter("uuid IS NULL"))
             plain = self.spark.createDataFrame([], ENVELOPE)
-            rows = plain.unionByName(named.withColumn("batch_id", F.lit(batch_id).cast("bigint")), allowMissingColumns=True).select(*plain.columns)
+            rows = plain.unionByName(once(events).withColumn("batch_id", F.lit(batch_id).cast("bigint")), allowMissingColumns=True).select(*plain.columns)
             rows.repartition(1 if rows.count() <= self.batch_size else self.spark.sparkContext.defaultParallelism).sortWithinPartitions("lsn", "seq").write.option("maxRecordsPerFile", self.batch_size).mode("append").parquet(self.path)
             self.control.put(f"batch-{batch_id}", {"state": "done"}, revision)
             return True
