@@ -69,9 +69,29 @@ def test_failed_peelings_are_tried_with_larger_sketches(spark):
     made = df.select("n", F.expr("transform(sequence(1, a + 20), x -> xxhash64(x, 0))").alias("x"), F.expr("transform(sequence(a + 11, a + b + 20), x -> xxhash64(x, 0))").alias("y"))
     size = F.lit(SIZES[0])
     near = made.select("n", likeness(F.col("x"), F.col("y"), sketch(F.col("x"), size), sketch(F.col("y"), size)).alias("s"), F.expr("size(array_intersect(x, y)) / size(array_union(x, y))").alias("want")).collect()
-    assert all(r.s == pytest.approx(r.want) for r in near)
+    assert all(r.s.near == pytest.approx(r.want) for r in near) and [r.s.cells for r in sorted(near, key=lambda r: r.n)][:2] == [3 * SIZES[0]] * 2
 
 
 def test_main_path_has_no_python(spark, sf):
     plan = op2_document_fingerprints(spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_one_id_with_many_documents_is_spread_over_ranges(spark):
+    """A third of the rows without an id, a third equal: every row has a next one, in ascending order of doc_id, and no range is large."""
+    from tidemark.llm.shared import dealt_by_id
+
+    rows = [(None, f"no id {i}") for i in range(400)] + [(7, "the same")] * 400 + [(i, f"text {i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS at", "2 AS o", "3 AS h")
+    dealt, ranges = dealt_by_id(df, 10)
+    sizes = [r["count"] for r in dealt.groupBy("at").count().collect()]
+    assert sum(sizes) == 1200 and max(sizes) < 100 and len(sizes) <= ranges
+    got = with_next(df, 10).collect()
+    assert len(got) == 1200
+    nexts = sorted(r.next_text for r in got)
+    assert nexts == sorted(t for _, t in rows)  # each document follows one
+    following = {}
+    for r in got:
+        following.setdefault((r.doc_id, r.text), []).append(r.next_text)
+    assert following[(399, "text 399")][0].startswith("no id") and following[(8, "text 8")] == ["text 9"] and following[(6, "text 6")][0] in ("the same", "text 7")
+    assert sum(t == "the same" for t in following[(7, "the same")]) == 399 or sum(t in ("the same", "text 7") for t in following[(7, "the same")]) == 399

@@ -97,3 +97,36 @@ def test_random_access_across_rank_blocks():
         assert dac[i] == values[i]
     with pytest.raises(IndexError):
         dac[200_000]
+
+
+def test_one_id_with_many_documents_is_written_whole(spark):
+    import zlib
+
+    from tidemark.llm.queries import vocabulary
+    from tidemark.llm.tokenfile import read_token_file, write_token_file
+    from tidemark.llm.tokens import library
+
+    rows = [(None, f"no id {i}") for i in range(300)] + [(7, "the same words")] * 300 + [(i, f"text number {i}") for i in range(300)]
+    file, _ = write_token_file(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS part", "2 AS lengths"), vocabulary(), rows_per_range=10)
+    got = sorted(read_token_file(file).collect(), key=lambda r: r.start)
+    assert len(got) == 900 and file.groupBy("part").count().count() > 60
+    ids = [-1 if r.doc_id is None else r.doc_id for r in got]
+    assert ids == sorted(ids)
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += r.n_tokens
+    tok = library(vocabulary())
+    want = sorted(zlib.crc32(b"".join(i.to_bytes(4, "little") for i in [*tok.encode(t, add_special_tokens=False).ids, 2])) for _, t in rows)
+    assert sorted(r.ids_crc32 for r in got) == want
+    again = sorted(read_token_file(write_token_file(spark.createDataFrame(rows, "doc_id long, text string"), vocabulary(), rows_per_range=10)[0]).collect(), key=lambda r: r.start)
+    assert again == got
+
+
+def test_units_without_spaces_do_not_fill_the_cache():
+    from tidemark.llm.queries import vocabulary
+    from tidemark.llm.tokens import LONGEST, Encoder
+
+    e = Encoder(vocabulary())
+    e([" ".join("x" * n + str(n) for n in range(1, 400))])
+    assert e and all(len(u) <= LONGEST for u in e)

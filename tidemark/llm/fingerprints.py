@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import partitions, range_bounds, range_of
+from tidemark.llm.shared import dealt_by_id, materialize, partitions
 
 #: Cells in each third of a sketch, tried in turn. The first is the size of the stored fingerprint.
 SIZES = (16, 128, 1024, 8192, 65_536, 524_288)
@@ -101,23 +101,32 @@ def peel(cells: Column, size: Column) -> Column:
 
 
 def likeness(a: Column, b: Column, a0: Column, b0: Column) -> Column:
-    """Jaccard likeness of two key sets from the difference their sketches give up. a0, b0: their sketches of the first size.
+    """Jaccard likeness of two key sets from the difference their sketches give up, and the cells of the sketch that did.
 
-    Two texts without paragraphs are alike (1.0), one without and one with aren't (0.0).
+    a0, b0: their sketches of the first size. A sketch with fewer cells than the sets differ in size can't give the difference up and isn't
+    tried. Two texts without paragraphs are alike (1.0), one without and one with aren't (0.0). cells 0: no sketch was
+    large enough, and the keys themselves were compared.
     """
+    gap = F.abs(F.size(a) - F.size(b))
 
-    def attempt(found: Column, size: Column) -> Column:
+    def state(found: Column, cells: Column) -> Column:
+        return F.struct(found.cast("int").alias("found"), cells.cast("int").alias("cells"))
+
+    def attempt(s: Column, size: Column) -> Column:
         built = F.when(size == SIZES[0], subtract(a0, b0)).otherwise(subtract(sketch(a, size), sketch(b, size)))
-        return F.when(found >= 0, found).otherwise(let(built, lambda cells: peel(cells, size)))
+        return F.when((s["found"] >= 0) | (gap > 3 * size), s).otherwise(let(let(built, lambda cells: peel(cells, size)), lambda n: state(n, F.when(n >= 0, 3 * size).otherwise(0))))
 
-    peeled = F.aggregate(F.array(*[F.lit(s) for s in SIZES]), F.lit(-1), attempt)
+    peeled = F.aggregate(F.array(*[F.lit(s) for s in SIZES]), state(F.lit(-1), F.lit(0)), attempt)
     exact = F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))  # beyond the largest sketch
 
-    def ratio(d: Column) -> Column:
+    def ratio(s: Column) -> Column:
+        return let(F.when(s["found"] >= 0, s["found"]).otherwise(exact), lambda d: F.struct(share(d).alias("near"), s["cells"].alias("cells")))
+
+    def share(d: Column) -> Column:
         common = (F.size(a) + F.size(b) - d) / 2
         return F.when(F.size(a) + F.size(b) == 0, F.lit(1.0)).otherwise(common / (common + d))
 
-    return let(let(peeled, lambda d: F.when(d >= 0, d).otherwise(exact)), ratio)
+    return let(peeled, ratio)
 
 
 def text_of(cells: Column) -> Column:
@@ -128,31 +137,36 @@ def text_of(cells: Column) -> Column:
 def with_next(docs: DataFrame, rows_per_range: int = 1024) -> DataFrame:
     """doc_id, text, keys, next_text, next_keys: each document beside the next by ascending doc_id, the first after the last.
 
-    Null texts are empty, null doc_ids come first, equal doc_ids are ordered by text; one document alone follows itself.
-    Documents are dealt by ranges of doc_id, and each range also gets the first document of the range after it.
+    Null texts are empty, null doc_ids come first, documents of one id are ordered by a hash of their text; one document alone follows
+    itself. Documents are dealt by ranges of few rows, also where one id has very many, and each range also gets
+    the first document of the range after it.
     """
-    order = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    ids = docs.select(order.alias("o"))
-    bounds = range_bounds(ids, "o", rows_per_range)
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), order.alias("o"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("part", range_of(F.col("o"), bounds))
-    by_part = Window.orderBy("part")  # a row for each of the bounded ranges
+    spark = docs.sparkSession
+    dealt, ranges = dealt_by_id(docs, rows_per_range)
+    heads = dealt.groupBy("at").agg(F.min(F.struct("o", "h")).alias("f"))
+    heads, _ = materialize(heads.select("at", "f.o", "f.h"), "range-heads")
+    by_range = Window.orderBy("at")  # a row for each range
     everything = Window.partitionBy()
-    firsts = ids.withColumn("part", range_of(F.col("o"), bounds)).groupBy("part").agg(F.min("o").alias("o"))
-    firsts = firsts.select("o", F.coalesce(F.lag("part").over(by_part), F.max("part").over(everything)).alias("before"))
-    placed = slim.withColumn("keys", paragraph_keys(F.col("text"))).join(F.broadcast(firsts), "o", "left")
-    spots = F.filter(F.array(F.struct(F.col("part").alias("at"), F.lit(0).alias("extra")), F.struct(F.col("before").alias("at"), F.lit(1).alias("extra"))), lambda s: s["at"].isNotNull())
-    spread = partitions(docs.sparkSession)
+    linked = heads.select("at", "o", "h", F.coalesce(F.lag("at").over(by_range), F.max("at").over(everything)).alias("before"))
+    placed = dealt.withColumn("keys", paragraph_keys(F.col("text")))
+    # copies of a range's first document are all the same: one of them goes to the range before
+    firsts = dealt.join(linked, ["at", "o", "h"]).select("before", "o", "h", "text").groupBy("before").agg(F.min(F.struct("o", "h", "text")).alias("x"))
+    extra = firsts.select(F.lit(None).cast("long").alias("doc_id"), "x.text", "x.o", "x.h", F.col("before").alias("at"), paragraph_keys(F.col("x.text")).alias("keys"), F.lit(1).alias("extra"))
+    spread = partitions(spark)
     # more tasks than usual, since ranges fall on them by hash and peeling is the costly part
-    dealt = placed.select("doc_id", "o", "text", "keys", F.inline(spots)).repartition(max(spread, min(len(bounds) + 1, 4 * spread)), "at")
-    follow = Window.partitionBy("at").orderBy("extra", "o", "text")
-    return dealt.select("doc_id", "text", "keys", "extra", F.lead("text").over(follow).alias("next_text"), F.lead("keys").over(follow).alias("next_keys")).filter("extra = 0").drop("extra")
+    rows = placed.withColumn("extra", F.lit(0)).select(*extra.columns).unionByName(extra).repartition(max(spread, min(ranges, 4 * spread)), "at")
+    follow = Window.partitionBy("at").orderBy("extra", "o", "h", "text")
+    return rows.select("doc_id", "text", "keys", "extra", F.lead("text").over(follow).alias("next_text"), F.lead("keys").over(follow).alias("next_keys")).filter("extra = 0").drop("extra")
 
 
 def fingerprint_report(docs: DataFrame) -> DataFrame:
     """Fingerprints of every document and of its edited text (last quarter replaced by the start of the next document).
 
-    Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. Equal texts have
-    equal fingerprints; an empty table gives an empty result.
+    Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, and the cells of the sketches
+    that the two likenesses came from (near_edited_cells, near_next_cells): the fingerprint is the sketch of 48 cells, which holds the whole
+    difference of texts that differ in few paragraphs; others were subtracted and peeled at a larger size. Equal texts have
+    equal fingerprints; null and empty texts have an empty one; very long texts count whole; repeated rows are each
+    returned; an empty table gives an empty result; further columns of any name play no part.
     """
     size = F.lit(SIZES[0])
     n = F.length("text")
@@ -163,8 +177,9 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
         "doc_id", n.cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), "keys", "edited_keys", "next_keys",
         sketch(F.col("keys"), size).alias("own"), sketch(F.col("edited_keys"), size).alias("changed"), sketch(F.col("next_keys"), size).alias("following"),
     )
-    return sketched.select(
+    likened = sketched.select(
         "doc_id", "n_chars", "edited_sha256", text_of(F.col("own")).alias("fingerprint"), text_of(F.col("changed")).alias("edited_fingerprint"),
-        likeness(F.col("keys"), F.col("edited_keys"), F.col("own"), F.col("changed")).alias("near_edited"),
-        likeness(F.col("keys"), F.col("next_keys"), F.col("own"), F.col("following")).alias("near_next"),
+        likeness(F.col("keys"), F.col("edited_keys"), F.col("own"), F.col("changed")).alias("e"),
+        likeness(F.col("keys"), F.col("next_keys"), F.col("own"), F.col("following")).alias("x"),
     )
+    return likened.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", F.col("e.near").alias("near_edited"), F.col("x.near").alias("near_next"), F.col("e.cells").alias("near_edited_cells"), F.col("x.cells").alias("near_next_cells"))

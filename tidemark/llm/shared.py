@@ -98,15 +98,46 @@ def partitions(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def range_bounds(df: DataFrame, key: str, rows_per_range: int = 1024, most: int = 32_768) -> list[int]:
-    """Cut points that split `key` into about equal ranges. At most `most` numbers reach the driver."""
+def range_bounds(df: DataFrame, key: str, rows_per_range: int = 1024, most: int = 32_768) -> tuple[list[int], int]:
+    """Cut points that split `key` into about equal ranges, and the rows of a range. At most `most` numbers reach the driver."""
     n = df.count()
     ranges = min(most, max(1, math.ceil(n / rows_per_range)))
+    width = max(rows_per_range, math.ceil(n / ranges))
     if ranges == 1:
-        return []
+        return [], width
     points = ", ".join(f"{i / ranges:.9f}D" for i in range(1, ranges))
     found = df.agg(F.expr(f"approx_percentile({key}, array({points}), {max(10_000, 4 * ranges)})").alias("b")).first()["b"]
-    return sorted(set(found or []))
+    return sorted(set(found or [])), width
+
+
+#: Places of the parts of a range number.
+_SUB, _COPY = 1 << 40, 1 << 20
+
+
+def dealt_by_id(docs: DataFrame, rows_per_range: int = 1024) -> tuple[DataFrame, int]:
+    """doc_id, text, o, h, at for every document, and the number of ranges: `at` numbers ranges of the order (o, h).
+
+    o: doc_id, with nulls first; h: a hash of the text (null: empty), by which documents of one id are ordered. A range holds
+    few rows, whatever the ids: one id with many documents is cut by h, and many equal documents of one id, whose
+    order makes no difference, are spread over ranges by their place in the table.
+    """
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    slim = slim.withColumn("o", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("h", F.xxhash64("text"))
+    ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("o"))
+    bounds, width = range_bounds(ids, "o", rows_per_range)
+    ranged = slim.withColumn("at", range_of(F.col("o"), bounds).cast("long") * _SUB)
+    # an id with several ranges' rows is one of the bounds, so its range begins with it
+    hot, _ = materialize(ids.groupBy("o").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 4 * width).select("o", F.least(F.ceil(F.col("c") / width), F.lit(_COPY - 2)).alias("m")), "hot-ids")
+    if hot.isEmpty():
+        return ranged, len(bounds) + 1
+    many, _ = materialize(slim.select("o", "h").join(hot, "o", "left_semi").groupBy("o", "h").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 4 * width).select("o", "h", F.least(F.ceil(F.col("c") / width), F.lit(_COPY - 1)).alias("k")), "hot-copies")
+    share = F.shiftright(F.col("h"), 32) + F.lit(1 << 31)  # 0 to 2^32, in the order of h
+    sub = F.when(F.col("m").isNull(), F.lit(_COPY - 1)).otherwise(F.floor(share * F.col("m") / F.lit(1 << 32)))
+    marked = ranged.withColumn("spot", F.monotonically_increasing_id()).join(hot, "o", "left").join(many, ["o", "h"], "left")
+    copy = F.when(F.col("k").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("spot"), F.col("k")))
+    out = marked.withColumn("at", F.col("at") + sub.cast("long") * _COPY + copy.cast("long"))
+    total = hot.agg(F.sum("m")).first()[0] + (many.agg(F.sum("k")).first()[0] or 0)
+    return out.select("doc_id", "text", "o", "h", "at"), len(bounds) + 1 + int(total)
 
 
 def range_of(key: Column, bounds: list[int]) -> Column:

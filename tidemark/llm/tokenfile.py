@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import lean, materialize, partitions, range_bounds, range_of, small_batches
+from tidemark.llm.shared import dealt_by_id, lean, materialize, partitions, small_batches
 from tidemark.llm.tokens import encoder
 
 MAGIC = b"DAC1"
@@ -24,7 +24,7 @@ RANK_BYTES = 64
 SEGMENT_TOKENS = 1 << 18
 SEGMENT_DOCS = 4096
 
-FILE_SCHEMA = "part int, segment long, doc_ids array<bigint>, lengths array<bigint>, n_tokens long, codes binary"
+FILE_SCHEMA = "part long, segment long, doc_ids array<bigint>, lengths array<bigint>, n_tokens long, codes binary"
 
 
 class Dac:
@@ -102,15 +102,12 @@ class Dac:
 def write_token_file(docs: DataFrame, path: str, end_id: int = 2, rows_per_range: int = 1024) -> tuple[DataFrame, str]:
     """Encode every whole text (null: empty), append end_id, and write a token file in ascending doc_id order.
 
-    Null doc_ids come first; equal doc_ids are ordered by text. Returns the table as read back and its place.
+    Null doc_ids come first; documents of one id are ordered by a hash of their text, and repeated rows are each written, so an id
+    with very many documents is spread over ranges. Very long texts are encoded whole; an empty table gives an empty
+    file; further columns of any name are left out. Returns the table as read back and its place, which goes when the application ends.
     """
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    bounds = range_bounds(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", rows_per_range)
-    ordered = (
-        slim.withColumn("part", range_of(F.col("doc_id"), bounds))
-        .repartition(max(partitions(docs.sparkSession), min(len(bounds) + 1, 64)), "part")
-        .sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "text")
-    )
+    dealt, ranges = dealt_by_id(docs, rows_per_range)
+    ordered = dealt.select("doc_id", "text", F.col("at").alias("part"), "o", "h").repartition(max(partitions(docs.sparkSession), min(ranges, 64)), "part").sortWithinPartitions("part", "o", "h", "text").select("doc_id", "text", "part")
     end = struct.pack("<I", end_id)
 
     def run(batches):
@@ -122,7 +119,7 @@ def write_token_file(docs: DataFrame, path: str, end_id: int = 2, rows_per_range
             row = {"part": [part], "segment": [segment], "doc_ids": [list(ids)], "lengths": [list(lengths)], "n_tokens": [len(tokens)], "codes": [Dac.encode(tokens).to_bytes()]}
             return pa.RecordBatch.from_pydict(row, schema=arrow)
 
-        arrow = pa.schema([("part", pa.int32()), ("segment", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("n_tokens", pa.int64()), ("codes", pa.binary())])
+        arrow = pa.schema([("part", pa.int64()), ("segment", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("n_tokens", pa.int64()), ("codes", pa.binary())])
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 piece = b.slice(at, 256)
@@ -145,7 +142,10 @@ def write_token_file(docs: DataFrame, path: str, end_id: int = 2, rows_per_range
 
 
 def read_token_file(file: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, all from the decoded blocks of the file."""
+    """doc_id, start, n_tokens, ids_crc32 of every document, all from the decoded blocks of the file.
+
+    A document is a row for each time it was written, null ids included; a file without blocks gives no rows.
+    """
     inside = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     across = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each of the bounded ranges
     sizes = file.select("part", "segment", "n_tokens")
@@ -166,5 +166,5 @@ def read_token_file(file: DataFrame) -> DataFrame:
                     names=["part", "segment", "doc_id", "at", "n_tokens", "ids_crc32"],
                 )
 
-    read = file.select("part", "segment", "doc_ids", "lengths", "codes").mapInArrow(lean(run), "part int, segment long, doc_id long, at long, n_tokens long, ids_crc32 long")
+    read = file.select("part", "segment", "doc_ids", "lengths", "codes").mapInArrow(lean(run), "part long, segment long, doc_id long, at long, n_tokens long, ids_crc32 long")
     return read.join(starts, ["part", "segment"]).select("doc_id", (F.col("part_start") + F.col("segment_start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")

@@ -23,6 +23,8 @@ from tidemark.llm.shared import lean, small_batches
 
 #: Entries of each of the two generations of a worker's cache of ids; counts keep half as many.
 CACHE = 700_000
+#: Longer units, such as text without spaces, are looked up each time and not kept, which bounds the cache in bytes too.
+LONGEST = 64
 #: ASCII marks that may be cut from the end of a unit: the rest ends in a letter, so the marks are a piece of their own.
 MARKS = ".,;:!?"
 
@@ -142,6 +144,8 @@ class Units(dict):
                     value = self[base] + self.ends[mark]  # after a letter, a mark at the end is a pre-token of its own
                 else:
                     value = self.unit_value(unit)
+        if len(unit) > LONGEST:
+            return value
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
@@ -260,7 +264,11 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", out: str = "n_tok
 
 
 def count_report(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
-    """doc_id, n_bytes (UTF-8), n_tokens, over_limit for every document; only the two columns it needs travel."""
+    """doc_id, n_bytes (UTF-8), n_tokens, over_limit for every document; only the two columns it needs travel.
+
+    Null texts are empty; null doc_ids and repeated rows keep their rows; very long texts count whole; an empty table gives an empty
+    result; further columns of any name are left out.
+    """
     small_batches(docs.sparkSession)
     slim = docs.select("doc_id", "text")
     schema = "doc_id long, n_bytes long, n_tokens long"
