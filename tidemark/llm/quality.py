@@ -8,6 +8,8 @@ bounded size; the scorer then judges every document by its whole text.
 
 from __future__ import annotations
 
+import re
+import zlib
 from dataclasses import dataclass
 from operator import eq
 
@@ -23,6 +25,8 @@ from tidemark.llm.shared import lean, release, small_batches
 SAMPLE_ROWS = 2000
 TRIGRAMS = 2048
 BINS = 512
+#: Places that the number of votes for bad has among the features.
+VOTE_PLACES = 6
 
 BAD, ABSTAIN, GOOD = 0, 1, 2
 
@@ -35,8 +39,13 @@ _KIND[[ord(c) for c in ".,;:!?'\"()-"]] = 4
 _KIND[[ord(c) for c in "#$%&*+/<=>@[\\]^_`{|}~"]] = 6
 
 
+_WORDLESS = re.compile(r"(?<!\S)[^\w\s]+(?!\S)")
+
+
 def statistics(text: str) -> tuple[np.ndarray, list[float], np.ndarray]:
-    """Bytes, statistics and byte kinds of a text: words, shares of symbols, capitals, bars, double marks, adjacent repeats, distinct words, mean word length, repeated lines, letters and digits; the ratios that short texts would throw off are drawn towards usual values."""
+    """Bytes, statistics and byte kinds of a text: words, shares of symbols and capitals, words without a letter or digit, punctuation a
+    word, adjacent repeats, distinct words, mean word length, repeated lines, letters and digits, and how far the text can be
+    compressed. Ratios that short texts would throw off are drawn towards usual values."""
     data = np.frombuffer(text.encode("utf-8"), np.uint8)
     kinds = _KIND[data]
     count = np.bincount(kinds, minlength=7)
@@ -48,34 +57,36 @@ def statistics(text: str) -> tuple[np.ndarray, list[float], np.ndarray]:
         float(len(words)),
         float(count[6]) / max(1, len(data)),
         float(count[2]) / (letters + 40),
-        words.count("|") / n,
-        (text.count("!! ") + text.count("!!\n") + text.endswith("!!")) / n,
+        len(_WORDLESS.findall(text)) / (n + 5),
+        (float(count[4]) + 1) / (n + 5),
         sum(map(eq, words, words[1:])) / n,
         len(set(words)) / n,
         (float(len(data) - count[0]) + 25) / (len(words) + 5),
         1 - len(set(lines)) / max(1, len(lines)),
         (letters + int(count[3]) + 4) / (len(data) - int(count[0]) + 5),
+        (len(zlib.compress(data, 1)) + 100) / (len(data) + 200),
     ]
     return data, values, kinds
 
 
 def votes(v: list[float]) -> list[int]:
     """The labellers' votes on a document's statistics."""
-    words, symbols, capitals, bars, marks, repeats, distinct, length, lines, letters = v
+    words, symbols, capitals, wordless, marks, repeats, distinct, length, lines, letters, squeezed = v
     return [
         BAD if symbols > 0.05 else GOOD if symbols < 0.01 else ABSTAIN,
         BAD if capitals > 0.4 else GOOD if capitals < 0.1 else ABSTAIN,
-        BAD if bars > 0.1 else ABSTAIN if bars > 0 else GOOD,
-        BAD if marks > 0.2 else ABSTAIN if marks > 0.02 else GOOD,
+        BAD if wordless > 0.2 else GOOD if wordless < 0.02 else ABSTAIN,
+        BAD if marks > 0.8 else GOOD if marks < 0.4 else ABSTAIN,
         ABSTAIN if words < 10 else BAD if repeats > 0.2 else GOOD if repeats < 0.05 else ABSTAIN,
         ABSTAIN if words < 20 else BAD if distinct < 0.4 else GOOD if distinct > 0.48 else ABSTAIN,
         BAD if length > 14 or length < 2 else GOOD if 3 < length < 8 else ABSTAIN,
         BAD if lines > 0.6 else GOOD if lines < 0.1 else ABSTAIN,
         BAD if letters < 0.75 else GOOD if letters > 0.9 else ABSTAIN,
+        BAD if squeezed < 0.2 else GOOD if squeezed > 0.35 else ABSTAIN,
     ]
 
 
-LABELLERS = ("symbols", "capitals", "bars", "marks", "repeats", "distinct", "length", "lines", "letters")
+LABELLERS = ("symbols", "capitals", "wordless", "marks", "repeats", "distinct", "length", "lines", "letters", "squeezed")
 
 
 def pattern_of(v: list[int]) -> int:
@@ -141,14 +152,19 @@ def fit_labels(votes: np.ndarray, counts: np.ndarray, rounds: int = 100, prior_s
 
 
 _EDGES = [
-    [4, 16, 64, 256, 1024, 4096], [0.005, 0.02, 0.05, 0.1, 0.2, 0.4], [0.02, 0.05, 0.1, 0.2, 0.4, 0.7], [0.005, 0.05, 0.1, 0.3], [0.01, 0.05, 0.1, 0.3, 0.7],
-    [0.01, 0.03, 0.1, 0.2, 0.5, 0.8], [0.05, 0.1, 0.2, 0.3, 0.4, 0.45, 0.5, 0.6, 0.8], [2, 3, 4, 5, 6, 7, 9, 14], [0.05, 0.1, 0.3, 0.5, 0.7], [0.5, 0.7, 0.8, 0.9, 0.95],
+    [4, 16, 64, 256, 1024, 4096], [0.005, 0.02, 0.05, 0.1, 0.2, 0.4], [0.02, 0.05, 0.1, 0.2, 0.4, 0.7], [0.005, 0.02, 0.05, 0.1, 0.3], [0.2, 0.3, 0.4, 0.6, 0.8, 1.2],
+    [0.01, 0.03, 0.1, 0.2, 0.5, 0.8], [0.05, 0.1, 0.2, 0.3, 0.4, 0.45, 0.5, 0.6, 0.8], [2, 3, 4, 5, 6, 7, 9, 14], [0.05, 0.1, 0.3, 0.5, 0.7], [0.5, 0.7, 0.8, 0.9, 0.95], [0.1, 0.2, 0.3, 0.35, 0.4, 0.6],
 ]
 
 
 def bins(values: list[float]) -> list[int]:
-    """Hashed places of the statistics' bins."""
-    return [TRIGRAMS + (i * 0x9E37 + int(np.searchsorted(e, x)) * 0x85EB) % BINS for i, (e, x) in enumerate(zip(_EDGES, values, strict=True))]
+    """Hashed places of the statistics' bins, and, some times over, of the number of votes for bad.
+
+    Bins that the sample lacks say nothing; the number of votes is what lets the scorer tell junk of a kind that it hasn't seen.
+    """
+    bad = min(3, votes(values).count(BAD))
+    spots = [*((i, int(np.searchsorted(e, x))) for i, (e, x) in enumerate(zip(_EDGES, values, strict=True))), *((len(_EDGES) + k, bad) for k in range(VOTE_PLACES))]
+    return [TRIGRAMS + (i * 0x9E37 + at * 0x85EB) % BINS for i, at in spots]
 
 
 def trigrams(data: np.ndarray) -> np.ndarray:
@@ -214,7 +230,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Classifier:
             yield pa.RecordBatch.from_arrays([pa.array(codes, pa.int32())], names=["pattern"])
 
     slim = _slim(docs).filter(F.col("text") != "")
-    counted = slim.select("text").mapInArrow(lean(vote), "pattern int").groupBy("pattern").count().collect()  # at most 3^9 rows
+    counted = slim.select("text").mapInArrow(lean(vote), "pattern int").groupBy("pattern").count().collect()  # at most 3^10 rows
     patterns = sorted((r["pattern"], r["count"]) for r in counted)
     table = np.array([votes_of(c) for c, _ in patterns], dtype=np.int64).reshape(-1, len(LABELLERS))
     labels = fit_labels(table, np.array([n for _, n in patterns], dtype=np.float64))
@@ -273,7 +289,11 @@ def judge(docs: DataFrame, model: Classifier) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Classifier | None = None) -> DataFrame:
-    """The documents that the classifier keeps, with the columns of docs, in one pass beside the text."""
+    """The documents that the classifier keeps, with the columns of docs, in one pass beside the text.
+
+    Null and empty texts, and texts of white space alone, go; null doc_ids, repeated rows and further columns of any name stay as
+    they are with their text; very long texts are judged whole; an empty table stays empty.
+    """
     small_batches(docs.sparkSession)
     model = model or fit(docs)
     w, b = model.weights, model.bias
@@ -289,4 +309,9 @@ def keep_good(docs: DataFrame, model: Classifier | None = None) -> DataFrame:
 
 
 def quality_report(docs: DataFrame) -> DataFrame:
+    """doc_id, posterior, score, keep of every document, by a classifier fitted on the same table.
+
+    Nulls, empty and very long texts and repeated rows as in judge; null doc_ids keep their row; an empty table gives an empty
+    result; further columns of any name play no part.
+    """
     return judge(docs, fit(docs))
