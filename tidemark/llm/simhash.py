@@ -327,10 +327,10 @@ def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.mapInArrow(lean(run), "u long, v long")
 
 
-def _rest_of_shards(rows: DataFrame, similarity: float, limit: int) -> DataFrame:
+def _rest_of_shards(rows: DataFrame, sets: DataFrame, similarity: float, limit: int) -> DataFrame:
     """(u, v): links between the rows of a shard that aren't connected yet, as many as connect them.
 
-    rows: key, cid, root, fp, n, shingles of shards with several roots. Rows of a shard's commonest root are connected already, so the others
+    rows: key, cid, root of shards with several roots; sets: cid, fp, n, shingles. Rows of a shard's commonest root are connected already, so the others
     alone look for links: each searches the BK-tree of the shard's SimHashes, and whole sets decide, nearest first, until a root is
     reached. A shard above the limit is cut into blocks by hash, and the searching rows go to each, so the rows of a hot
     shard are spread and none is left out; a task emits no more links than it has rows.
@@ -340,7 +340,8 @@ def _rest_of_shards(rows: DataFrame, similarity: float, limit: int) -> DataFrame
     shards, _ = materialize(rooted.groupBy("key").agg(F.max(F.struct("c", "root"))["root"].alias("main"), F.ceil(F.sum("c") / limit).cast("int").alias("blocks")), "mark-shards", small=True)
     cut = rows.join(shards, "key").withColumn("own", F.pmod(F.xxhash64("cid", F.lit(3)), F.col("blocks")).cast("int")).withColumn("asks", F.col("root") != F.col("main"))
     blocks = F.when(F.col("asks"), F.expr("sequence(0, blocks - 1)")).otherwise(F.array("own"))
-    dealt = cut.withColumn("block", F.explode(blocks)).select("key", "block", "cid", "root", "fp", F.col("n").cast("long").alias("n"), "asks", "shingles")
+    placed, _ = materialize(cut.select("key", F.explode(blocks).alias("block"), "cid", "root", "asks"), "mark-placed", small=True)
+    dealt = placed.join(sets, "cid").select("key", "block", "cid", "root", "fp", F.col("n").cast("long").alias("n"), "asks", "shingles")  # sets travel once
     ordered = dealt.repartition(partitions(spark), "key", "block").sortWithinPartitions("key", "block", "fp", "cid")
 
     def search(shard, cols):
@@ -386,7 +387,7 @@ def near_classes(docs: DataFrame, similarity: float = 0.8, words: int = 5, limit
     """doc_id, row (xxhash64 of the text), component_id, root for every row of docs; root names a component without fail.
 
     Every link is decided by the Jaccard similarity of the whole shingle sets. Texts with equal sets are one class. Classes that share a
-    band of min-hashes form a shard; each is first held against its shard's least, and what isn't connected by then
+    band of min-hashes form a shard; each is first held against its shard's first and last, and what isn't connected by then
     is searched in the shard's BK-tree of SimHashes.
     """
     import xxhash
@@ -409,10 +410,10 @@ def near_classes(docs: DataFrame, similarity: float = 0.8, words: int = 5, limit
     shown = [F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "row")).alias("shown"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("bands").alias("bands"), F.min("sig").alias("sig")]
     classes, _ = materialize(marks.groupBy("cid").agg(*shown), "mark-classes")
     keyed = classes.select("cid", F.explode("bands").alias("key"))
-    shards = keyed.groupBy("key").agg(F.min("cid").alias("lead"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("key", "lead")
+    shards = keyed.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
     members, _ = materialize(keyed.join(shards, "key"), "shards")
 
-    leads = members.filter("cid <> lead").select(F.col("lead").alias("u"), F.col("cid").alias("v")).distinct()
+    leads = members.select("cid", F.explode(F.array_distinct(F.array("low", "high"))).alias("lead")).filter("cid <> lead").select(F.least("cid", "lead").alias("u"), F.greatest("cid", "lead").alias("v")).distinct()
     first, _ = materialize(_likely(leads, classes, similarity), "mark-pairs", small=True)
 
     # the shingles of the classes that share a shard, made again from the text that shows the class
@@ -429,9 +430,9 @@ def near_classes(docs: DataFrame, similarity: float = 0.8, words: int = 5, limit
     tried, _ = materialize(_alike(first, sets, similarity), "mark-links", small=True)
     reached, _ = materialize(components(tried), "mark-linked")
     rooted = members.join(reached.select(F.col("node").alias("cid"), "root"), "cid", "left").select("key", "cid", F.coalesce("root", "cid").alias("root"))
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("c")).filter("a <> b AND c > 2").select("key")
-    open_rows = rooted.join(mixed, "key").join(classes.select("cid", "fp", "n"), "cid").join(sets, "cid")
-    edges, _ = materialize(tried.unionByName(_rest_of_shards(open_rows, similarity, limit)), "mark-edges", small=True)
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("c")).filter("a <> b AND c > 3").select("key")  # of three, two leads have met all
+    open_rows, _ = materialize(rooted.join(mixed, "key"), "mark-open", small=True)
+    edges, _ = materialize(tried.unionByName(_rest_of_shards(open_rows, classes.select("cid", "fp", "n").join(sets, "cid"), similarity, limit)), "mark-edges", small=True)
 
     stars = components(edges)
     stars = stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
