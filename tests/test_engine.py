@@ -303,3 +303,22 @@ def test_breaker_and_supervisor():
     assert waits == [1, 2, 4, 1, 2]
 
 
+
+
+def test_requests_of_large_groups_are_the_same_however_they_are_dealt(spark):
+    """Against a plain pass over each group: zero sizes, sizes over the budget, one hot group, null groups."""
+    import random
+
+    rng = random.Random(6)
+    rows = [(rng.choice(["hot"] * 6 + ["a", "b", None]), i, rng.choice([0, 0, 5, 17, 30, 60, 96, 300])) for i in range(4000)]
+    want, state = {}, {}
+    for g, i, size in rows:
+        n, used = state.get(g, (0, 0))
+        if used and used + size > 95:
+            n, used = n + 1, 0
+        state[g] = (n, used + size)
+        want[i] = n
+    df = spark.createDataFrame(rows, "g string, i int, size int")
+    got = {r.i: r.request for r in chunking.byte_chunks(df, ["g"], ["i"], "size", 100).collect()}
+    assert got == want
+    assert chunking.byte_chunks(df.limit(0), ["g"], ["i"], "size", 100).count() == 0
