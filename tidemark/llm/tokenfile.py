@@ -107,7 +107,7 @@ def write_token_file(docs: DataFrame, path: str, end_id: int = 2, rows_per_range
     file; further columns of any name are left out. Returns the table as read back and its place, which goes when the application ends.
     """
     dealt, ranges = dealt_by_id(docs, rows_per_range)
-    ordered = dealt.select("doc_id", "text", F.col("at").alias("part"), "o", "h").repartition(max(partitions(docs.sparkSession), min(ranges, 64)), "part").sortWithinPartitions("part", "o", "h", "text").select("doc_id", "text", "part")
+    ordered = dealt.select("doc_id", "text", F.col("at").alias("part"), "o", "h").repartition(max(partitions(docs.sparkSession), min(ranges, 64), -(-ranges // 64)), "part").sortWithinPartitions("part", "o", "h", "text").select("doc_id", "text", "part")
     end = struct.pack("<I", end_id)
 
     def run(batches):
