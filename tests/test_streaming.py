@@ -3,8 +3,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from test_apply import DAY, event, events
-from tidemark.functions.registry import BatchTransformer, Processor, apply_chain, register
+from test_apply import event, events
+from tidemark.functions.registry import BatchTransformer, Processor, Transformer, apply_chain, register
 from tidemark.functions.remote import Answer, RemoteError, TransportError, remote, retryable
 from tidemark.operators.filters import CaptureFilter
 from tidemark.plans.resilience import CircuitBreaker, Open
@@ -140,6 +140,14 @@ def test_columns_that_appear_in_the_stream_reach_the_table(spark, tmp_path):
     assert {r.op for r in s.acks.read().collect()} == {"insert", "update", "schema_change"}
 
 
+def test_transformers_may_change_schema_changes(spark, tmp_path):
+    register("test/retype", lambda **_: Transformer(data=lambda d: F.transform_values(d, lambda _, v: F.when(v == "int4", "text").otherwise(v))))
+    s = Sink(spark, spec(processors=[Processor("test/retype", ["schema_change"])]), "main", f"file://{tmp_path}")
+    s.upload(events(spark, event("schema_change", 1, {"age": "int4", "at": "date"}), event("insert", 2, {"id": 1, "name": "a", "age": "x7"})), 0)
+    got = s.table("widgets").read()
+    assert dict(got.dtypes)["age"] == "string" and dict(got.dtypes)["at"] == "date" and got.first().age == "x7"
+
+
 def test_evolution_survives_a_crash_between_registry_and_data(spark, tmp_path, monkeypatch):
     s = Sink(spark, spec(max_retries=0, enable_dlq=False), "main", f"file://{tmp_path}")
     s.upload(events(spark, event("insert", 1, {"id": 1, "name": "a"})), 0)
@@ -414,4 +422,3 @@ def test_a_failed_snapshot_can_be_taken_again(spark, tmp_path):
     assert s.checkpoints.get("snapshot-public.notes")[0]["state"] == "failed"
     assert add_table(s, spark.createDataFrame([(1, "n")], "id long, note string"), t, 3)
     assert s.table("notes").read().count() == 1 and s.table("notes").state()["batch_id"] == 2
-    assert DAY
