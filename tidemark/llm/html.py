@@ -28,8 +28,8 @@ from tidemark.llm.shared import lean, materialize, partitions, small_batches
 
 #: Pages, and characters of html, that share one template.
 GROUP_PAGES, GROUP_CHARS = 250, 32 << 20
-#: Characters of html for one task.
-TASK_CHARS = 16 << 20
+#: Characters of html for one task: few, until that would make very many tasks, and then more; a task holds one group at a time.
+TASK_CHARS, LARGE_TASK_CHARS, MANY_TASKS = 8 << 20, 256 << 20, 50_000
 #: A text is template if it is on this share of the different pages that have its node, and inside the content on at least so many.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.8, 4
 LINK_SHARE = 0.6
@@ -512,7 +512,7 @@ def page_report(pages: DataFrame, group_pages: int = GROUP_PAGES, group_chars: i
     sizes, _ = materialize(slim.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("html")).alias("chars")).withColumn("groups", F.ceil(F.greatest(F.col("n") / group_pages, F.col("chars") / group_chars))), "hosts")
     large = sizes.filter("groups > 1").select("host", "groups")
     whole = sizes.agg(F.sum("chars").alias("c")).first()["c"] or 0
-    tasks = max(partitions(spark), math.ceil(whole / TASK_CHARS))
+    tasks = max(partitions(spark), min(math.ceil(whole / TASK_CHARS), MANY_TASKS), math.ceil(whole / LARGE_TASK_CHARS))
     groups = F.broadcast(large) if large.limit(100_001).count() <= 100_000 else large
     dealt = slim.join(groups, "host", "left").withColumn("part", F.pmod(F.xxhash64("page_id", "url", F.xxhash64("html")), F.coalesce("groups", F.lit(1))))
     ordered = dealt.select("host", "part", "page_id", "url", "html").repartition(tasks, "host", "part").sortWithinPartitions("host", "part", "page_id", "url", "html")
