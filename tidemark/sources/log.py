@@ -61,7 +61,7 @@ class LandedLog(Source):
             for s, t in self.tables:
                 some = some | ((F.coalesce("table_schema", F.lit("public")) == s) & (F.col("table_name") == t))
             events = events.filter(some)
-        return events.filter((F.col("lsn") > position) | (F.col("lsn") == 0)) if position else events
+        return events.filter(F.coalesce((F.col("lsn") > position) | (F.col("lsn") == 0), F.lit(True))) if position else events
 
 
 register_source("landed", LandedLog)
