@@ -704,8 +704,8 @@ def fn_10_lag_ms(spark, sf):
 
 @query(f"{FEED} SELECT event_id, CASE WHEN op = 'delete' THEN 1 WHEN event_type = 'view' THEN 2 ELSE 3 END AS n_keys, op <> 'delete' AND event_type <> 'view' AS has_props, CASE WHEN op = 'delete' THEN 'user_id' ELSE 'user_id,value' END AS rest FROM feed")
 def fn_15_map_functions(spark, sf):
-    rest = F.map_filter("data", lambda k, _: k != "props")
-    return feed(spark, sf).select("event_id", F.size("data").alias("n_keys"), envelope.has("props").alias("has_props"), F.array_join(F.array_sort(F.map_keys(rest)), ",").alias("rest"))
+    e = feed(spark, sf).select("event_id", F.size("data").alias("n_keys"), envelope.has("props").alias("has_props"), envelope.without("props").alias("data"))
+    return e.select("event_id", "n_keys", "has_props", envelope.names().alias("rest"))
 
 
 @query("SELECT p_partkey, CAST(round(p_retailprice * 100) AS BIGINT) AS cents, p_size, p_name FROM part")
@@ -726,7 +726,7 @@ def fil_11_without_snapshot_helpers(spark, sf):
 def set_1_snapshot_and_stream(spark, sf):
     log = feed(spark, sf).select("table_schema", "table_name", "op", "lsn")
     snap = envelope.snapshot(table(spark, sf, "customer"), "public", "customer", ["c_custkey"]).select("table_schema", "table_name", "op", "lsn")
-    return log.unionByName(snap).groupBy("lsn").agg(F.count(F.lit(1)).alias("n"))
+    return envelope.with_snapshot(log, snap).groupBy("lsn").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT 'c' || (event_id // 4) AS correlation_id FROM events GROUP BY 1 HAVING count(DISTINCT user_id % 3) >= 3")

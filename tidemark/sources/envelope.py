@@ -33,6 +33,21 @@ def unchanged(column: str) -> Column:
     return F.coalesce(kind == UNCHANGED, F.lit(False)) & ~has(column)
 
 
+def without(*columns: str) -> Column:
+    """An event's data without some columns."""
+    return F.map_filter("data", lambda k, _: ~k.isin(*columns))
+
+
+def names() -> Column:
+    """Sorted names of the columns that an event carries, with commas."""
+    return F.array_join(F.array_sort(F.map_keys("data")), ",")
+
+
+def with_snapshot(log: DataFrame, rows: DataFrame) -> DataFrame:
+    """The events of a log and of snapshots as one table; snapshots come before all by their LSN of 0."""
+    return log.unionByName(rows, allowMissingColumns=True)
+
+
 def decode(raw: DataFrame) -> DataFrame:
     """Row changes to envelopes.
 
