@@ -111,6 +111,13 @@ def test_constant_blocks_inside_the_content_go():
     assert extract(pages) == [t for _, t in map(bare, range(6))]
 
 
+def test_parts_of_a_named_article_stay_however_small():
+    body = "".join(f"<p>Long paragraph {i} of the text, which goes on and on.</p>" for i in range(30))
+    for open_, close in (("<article>", "</article>"), ("<main>", "</main>"), ('<div class="entry">', "</div>")):
+        page = f"<body><div><a href=/>home</a></div>{open_}<div><p>A short lead.</p></div><div>{body}</div>{close}<div><p>elsewhere</p></div></body>"
+        assert extract([page])[0].startswith("A short lead.\n\nLong paragraph 0") and "elsewhere" not in extract([page])[0]
+
+
 def test_structure_decides_on_the_given_pages(spark, sf):
     """Elements and names taken away, the content is still found: by the template alone."""
     hosts = {}

@@ -64,6 +64,8 @@ STEMS = ("comment", "sidebar", "advert", "cookie", "breadcrumb", "newsletter", "
 TAILS = ("sidebar", "navbar", "topbar", "nav", "menu", "footer", "comments", "adverts", "popup")
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 OWN = frozenset("article post entry content main story body text".split())
+#: Elements and names that say that all inside is one article, of which structure leaves nothing out.
+WHOLE = frozenset("article main entry story post".split())
 
 
 class Skeleton:
@@ -410,7 +412,7 @@ def content(root: Skeleton, weight: Counter | dict[int, float]) -> set[int] | No
     add(root)
     gone: set[int] = set()
     node, found = root, False
-    while total[node.index] and node.label.split(".", 1)[0] not in ("article", "main"):
+    while total[node.index] and not WHOLE.intersection(node.label.split(".")):
         boxes = [c for c in node.children if not c.textual]
         if not boxes:
             break
