@@ -424,7 +424,8 @@ def near_classes(docs: DataFrame, similarity: float = 0.8, words: int = 5, limit
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, words).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["cid", "shingles"])
 
-    texts = slim.join(wanted, slim["doc_id"].eqNullSafe(F.col("i")) & slim["row"].eqNullSafe(F.col("r"))).select("cid", "text")
+    # what grows with the corpus is never broadcast, whatever its size happens to be
+    texts = slim.join(wanted.hint("merge"), slim["doc_id"].eqNullSafe(F.col("i")) & slim["row"].eqNullSafe(F.col("r"))).select("cid", "text")
     sets, _ = materialize(texts.mapInArrow(lean(shingled), "cid long, shingles binary").dropDuplicates(["cid"]), "mark-sets")
 
     tried, _ = materialize(_alike(first, sets, similarity), "mark-links", small=True)
