@@ -249,7 +249,7 @@ BANDS, ROWS = 24, 6
 BLOCK_ROWS = 2048
 #: Bits in which SimHashes of sets of a similarity of 0.8 may differ: about three standard deviations over the mean of 9.7.
 WIDE_RADIUS = 18
-_MULTIPLIERS = np.array([(2 * i + 1) * 0x9E3779B97F4A7C15 % (1 << 64) | 1 for i in range(1, BANDS * ROWS + 1)], np.uint64)
+_SEEDS = np.random.default_rng(77).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) << np.uint64(1)
 
 
 def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
@@ -274,8 +274,10 @@ def min_hashes(h: np.ndarray) -> np.ndarray:
     """The least of each of BANDS * ROWS hashes of a set's members."""
     least = np.full(BANDS * ROWS, ~np.uint64(0))
     for at in range(0, len(h), 512):
-        mixed = h[at : at + 512, None] * _MULTIPLIERS[None, :]
-        mixed ^= mixed >> np.uint64(32)
+        mixed = h[at : at + 512, None] ^ _SEEDS[None, :]
+        for factor in (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)):  # two rounds, or the hashes of one set depend on each other
+            mixed ^= mixed >> np.uint64(32)
+            mixed *= factor
         np.minimum(least, mixed.min(axis=0), out=least)
     return least
 
