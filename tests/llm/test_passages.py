@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from tidemark.llm.passages import LEAST, chain, remove_repeated, repeated_passages, split, without
 from tidemark.llm.queries import op5_substring_dedup
 
@@ -120,6 +122,19 @@ def test_pieces_in_earlier_documents_hide_no_passage(spark, make_docs):
     assert set(range(60, 180)) <= got[101]
 
 
+@pytest.mark.parametrize("copies", [1, 12, 45])
+def test_pieces_in_earlier_documents_hide_no_passage_with_differences(spark, make_docs, copies):
+    """However many documents hold the pieces: beyond CROWD pairs of seeds are matched, and held against each other beyond CROWD of those."""
+    rng = random.Random(41)
+    passage = words(rng, 120)
+    changed = [w if i % 13 != 7 else "zzzz" for i, w in enumerate(passage)]
+    own = {i: words(rng, 130) for i in [*range(10 * copies), 1000, 1001]}
+    plant = {i: passage[12 * (i % 10) : 12 * (i % 10) + 24] for i in range(10 * copies)} | {1000: passage, 1001: changed}
+    rows = [(i, " ".join(t[:60] + plant[i] + t[60:])) for i, t in own.items()]
+    got = covered(repeated_passages(make_docs(rows)).collect())
+    assert len(set(range(60, 180)) & got.get(1001, set())) >= 110 and set(got) == {1001}
+
+
 def test_passages_of_few_distinct_words_are_found(spark, make_docs):
     rng = random.Random(33)
     few = {"a": ["la"] * 100, "b": ["do", "re", "mi"] * 34, "c": rng.choices(["x", "y"], k=100)}

@@ -11,6 +11,11 @@ seed, as long as the shortest passage allows for, is matched with its own first
 distinct words are matched like any others. What is still open then, runs that are repeated but lie in no passage, is looked at once
 more: all stretches of LEAST words around every occurrence of such a run are matched as a whole. So every exact repeat of LEAST words
 or more is found, whatever its parts' first occurrences.
+
+Passages that differ in places have no such stretch. So the seeds that are still in no passage are matched with all their earlier
+occurrences, and not with the first alone. Where a seed has more than CROWD of them, pairs of such seeds near each other are matched
+instead, since a chain has two seeds or more; and where a pair has more than CROWD occurrences, all of them are held against each other,
+block by block, by the words around them.
 """
 
 from __future__ import annotations
@@ -31,6 +36,12 @@ SIMILARITY = 0.8
 GAP = 0.05
 #: Words around a chain in which its ends may lie; what goes on further has seeds of its own there.
 MARGIN = WINDOW + WORDS + 40
+#: Occurrences up to which a seed, or a pair of seeds, is matched with all its partners by a join. More go another way; none is left out.
+CROWD = 32
+#: Words between two seeds that may follow each other in a chain: what a seed gains pays for so much gap on both sides, and a chain starts within LEAST.
+REACH = int(WORDS / GAP) + WINDOW
+#: Occurrences of a crowded pair that one task holds against as many others.
+BLOCK = 1024
 
 _R, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
@@ -370,24 +381,10 @@ PASSAGE = "doc_id long, row long, s int, e int, source long, t int, u int, like
 PASSAGE_ARROW = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
 
 
-def find(docs: DataFrame, least: int = LEAST, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, row, s, e, source, t, u, like: each repeated passage, from word s to word e, and its place in its source. row: xxhash64 of the text."""
-    spark = docs.sparkSession
-    spread, long = partitions(spark), run_words(least)
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id IS NOT NULL")
-    small_batches(spark)
-    found, seeds_path = materialize(seeds(slim, least), "seeds")
-    matched, matched_path = materialize(with_first(found, "seed", "run"), "matched")
-    discard(spark, seeds_path)
-    named = matched.filter("run IS NOT NULL").select("run", "doc_id", "pos", F.struct("source", "spos").alias("seeded"))
-    runs, runs_path = materialize(with_first(named, "run", "run", "seeded"), "runs")
-    by_seed = matched.filter(later()).select("doc_id", "source", "pos", "spos", F.lit(WORDS).alias("size"))
-    by_run = runs.filter(later() & (F.col("seeded") != F.struct("source", "spos"))).select("doc_id", "source", "pos", "spos", F.lit(long).alias("size"))
-    linked, _ = materialize(chains(by_seed.unionByName(by_run), least), "chains")
-    discard(spark, matched_path)
-
+def aligned(slim: DataFrame, linked: DataFrame, least: int, similarity: float) -> DataFrame:
+    """The passages (PASSAGE) that chains (CHAIN) give on the texts of slim: doc_id, text."""
     wanted = linked.select("source", "first", "last").distinct().groupBy("source", F.pmod(F.xxhash64("first", "last"), F.lit(16)).alias("salt")).agg(F.collect_list(F.struct("first", "last")).alias("spots"))
-    dealt = slim.repartition(spread, "doc_id")
+    dealt = slim.repartition(partitions(slim.sparkSession), "doc_id")
     asked = dealt.join(wanted.hint("merge"), dealt["doc_id"] == wanted["source"]).select("source", "text", "spots")
     pieces = pa.schema([("source", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("codes", pa.binary())])
 
@@ -409,7 +406,122 @@ def find(docs: DataFrame, least: int = LEAST, similarity: float = SIMILARITY) ->
             columns = list(zip(*rows, strict=True)) or [()] * 8
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, PASSAGE_ARROW, strict=True)], names=[x.split()[0] for x in PASSAGE.split(", ")])
 
-    chained, _ = materialize(both.mapInArrow(lean(passages), PASSAGE), "chained")
+    return both.mapInArrow(lean(passages), PASSAGE)
+
+
+def occurrences(matched: DataFrame, passages: DataFrame, least: int) -> DataFrame:
+    """source, spos (naming a seed by its first occurrence), doc_id, pos, open: whether the place comes later and lies in no passage.
+
+    A place whose seed comes first in the same document counts as open only where a passage and its source have room before it.
+    Where a seed comes again within a window, over and over, as in text of few distinct words, or again and again at one distance, as in
+    a line that is repeated, the ends of such a run stand for it.
+    """
+    spans = passages.groupBy("doc_id").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+    inside = F.exists("spans", lambda x: (x["s"] <= F.col("pos")) & (F.col("pos") + WORDS <= x["e"]))
+    flagged = matched.select("source", "spos", "doc_id", "pos").join(spans.hint("merge"), "doc_id", "left")
+    flagged = flagged.select("source", "spos", "doc_id", "pos", (later() & room(least) & ~F.coalesce(inside, F.lit(False))).alias("open"))
+    one = Window.partitionBy("doc_id", "source", "spos").orderBy("pos")
+    back, ahead = F.col("pos") - F.lag("pos").over(one), F.lead("pos").over(one) - F.col("pos")
+    amid = (F.greatest(back, ahead) <= WINDOW) | ((back == ahead) & (back <= least))
+    return flagged.withColumn("amid", F.coalesce(back.isNotNull() & ahead.isNotNull() & amid, F.lit(False))).filter("NOT amid").drop("amid")
+
+
+def room(least: int, pos: str = "pos", spos: str = "spos") -> Column:
+    """Whether a match may be part of a passage: one from the same document lies behind its source, which has least / 2 words at the very least."""
+    return (F.col("doc_id") != F.col("source")) | (F.col(pos) - F.col(spos) >= least // 2)
+
+
+def crowds(rows: DataFrame, *key: str) -> DataFrame:
+    """n, the number of rows, of each key that has several of which one is open at least."""
+    return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("any")).filter("n > 1 AND any").drop("any")
+
+
+def held_together(slim: DataFrame, pairs: DataFrame, least: int, similarity: float) -> DataFrame:
+    """doc_id, source, pos, spos, pos2, spos2: partners of crowded pairs (key, n, doc_id, pos, pos2, open) whose words around may make a passage.
+
+    All rows of a key are compared, in blocks. The words of a passage that two seeds make lie between them, where at most the shorter
+    gap agrees, or step by step before and after; so partners with too few of those can make none.
+    """
+    at = pairs.groupBy("doc_id").agg(F.collect_list(F.struct("key", "n", "pos", "pos2", "open")).alias("at"))
+    both = slim.join(at.hint("merge"), "doc_id").select("doc_id", "text", "at")
+
+    def around(batches):
+        for b in batches:
+            rows = []
+            for doc, text, found in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                codes = word_codes(split(text))
+                wide = np.concatenate([np.zeros(MARGIN, np.uint32), codes, np.zeros(MARGIN, np.uint32)])  # 0: no word
+                for x in found:
+                    i, j = x["pos"] + MARGIN, x["pos2"] + WORDS + MARGIN
+                    if j <= len(wide) - MARGIN:
+                        rows.append({"key": x["key"], "n": x["n"], "doc_id": doc, "pos": x["pos"], "pos2": x["pos2"], "open": x["open"], "words": np.concatenate([wide[i - MARGIN : i], wide[j : j + MARGIN]]).tobytes()})
+            yield pa.RecordBatch.from_pylist(rows, schema=shape)
+
+    shape = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32()), ("pos2", pa.int32()), ("open", pa.bool_()), ("words", pa.binary())])
+    seen, _ = materialize(both.mapInArrow(lean(around), "key long, n long, doc_id long, pos int, pos2 int, open boolean, words binary"), "crowded-words", small=True)
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = seen.withColumn("own", F.pmod(F.xxhash64("doc_id", "pos", "pos2"), blocks).cast("int"))
+    # of two blocks, the rows of i ask those of j
+    asking = own.filter("open").select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j")).select("key", F.col("own").alias("i"), "j", F.lit(True).alias("asks"), "doc_id", "pos", "pos2", "words")
+    asked = own.select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i")).select("key", "i", F.col("own").alias("j"), F.lit(False).alias("asks"), "doc_id", "pos", "pos2", "words")
+
+    def compare(group):
+        import pandas as pd
+
+        x, y = group[group["asks"]], group[~group["asks"]]
+        out = []
+        if len(x) and len(y):
+            v = np.frombuffer(b"".join(y["words"]), np.uint32).reshape(len(y), 2 * MARGIN)
+            doc, pos, pos2 = (y[c].to_numpy() for c in ("doc_id", "pos", "pos2"))
+            for d, p, p2, w in zip(x["doc_id"], x["pos"], x["pos2"], x["words"], strict=True):
+                u = np.frombuffer(w, np.uint32)
+                same = ((v == u) & (u != 0)).sum(axis=1) + np.minimum(pos2 - pos, p2 - p) + WORDS
+                first = (doc < d) | (doc == d) & (pos < p) & (pos2 < p2)
+                for k in np.flatnonzero(first & (same >= similarity * least - 1e-6)).tolist():
+                    out.append((d, doc[k], p, pos[k], p2, pos2[k]))
+        return pd.DataFrame(out, columns=["doc_id", "source", "pos", "spos", "pos2", "spos2"])
+
+    return asking.unionByName(asked).groupBy("key", "i", "j").applyInPandas(compare, "doc_id long, source long, pos int, spos int, pos2 int, spos2 int")
+
+
+def all_partners(slim: DataFrame, places: DataFrame, least: int, similarity: float) -> DataFrame:
+    """doc_id, source, pos, spos, size: matches of the open places (of occurrences()) with all earlier occurrences of their seeds, as far as two make a chain."""
+    counts, _ = materialize(crowds(places, "source", "spos"), "open-seeds", small=True)
+    found, _ = materialize(places.join(counts.hint("merge"), ["source", "spos"]).select(F.xxhash64("source", "spos").alias("seed"), "n", "doc_id", "pos", "open"), "open-places", small=True)
+    x, y = (found.filter(F.col("n") <= CROWD).select("seed", *[F.col(c).alias(f"{k}{c}") for c in ("doc_id", "pos", "open")]) for k in "xy")
+    before = (F.col("ydoc_id") < F.col("xdoc_id")) | ((F.col("ydoc_id") == F.col("xdoc_id")) & (F.col("ypos") < F.col("xpos")))
+    plain = x.filter("xopen").join(y.hint("merge"), "seed").filter(before).select(F.col("xdoc_id").alias("doc_id"), F.col("ydoc_id").alias("source"), F.col("xpos").alias("pos"), F.col("ypos").alias("spos"))
+
+    crowded = found.filter(F.col("n") > CROWD)
+    a, b = (crowded.select("doc_id", *[F.col(c).alias(f"{k}{c}") for c in ("seed", "pos", "open")]) for k in "ab")
+    close = a.join(b.hint("merge"), "doc_id").filter((F.col("bpos") > F.col("apos")) & (F.col("bpos") <= F.col("apos") + REACH))
+    keyed, _ = materialize(close.select(F.xxhash64("aseed", "bseed").alias("key"), "doc_id", F.col("apos").alias("pos"), F.col("bpos").alias("pos2"), (F.col("aopen") | F.col("bopen")).alias("open")), "open-pairs", small=True)
+    several, _ = materialize(crowds(keyed, "key"), "open-keys", small=True)
+    pairs, _ = materialize(keyed.join(several.hint("merge"), "key"), "counted-pairs", small=True)
+    x, y = (pairs.filter(F.col("n") <= CROWD).select("key", *[F.col(c).alias(f"{k}{c}") for c in ("doc_id", "pos", "pos2", "open")]) for k in "xy")
+    before = (F.col("ydoc_id") < F.col("xdoc_id")) | ((F.col("ydoc_id") == F.col("xdoc_id")) & (F.col("ypos") < F.col("xpos")) & (F.col("ypos2") < F.col("xpos2")))
+    few = x.filter("xopen").join(y.hint("merge"), "key").filter(before).select(*[F.col(f"{k}{c}").alias(n) for k, c, n in (("x", "doc_id", "doc_id"), ("y", "doc_id", "source"), ("x", "pos", "pos"), ("y", "pos", "spos"), ("x", "pos2", "pos2"), ("y", "pos2", "spos2"))])
+    both = few.unionByName(held_together(slim, pairs.filter(F.col("n") > CROWD), least, similarity))
+    ends = both.select("doc_id", "source", F.explode(F.array(F.struct("pos", "spos"), F.struct(F.col("pos2").alias("pos"), F.col("spos2").alias("spos")))).alias("m")).select("doc_id", "source", "m.pos", "m.spos")
+    return plain.unionByName(ends).distinct().withColumn("size", F.lit(WORDS))
+
+
+def find(docs: DataFrame, least: int = LEAST, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, row, s, e, source, t, u, like: each repeated passage, from word s to word e, and its place in its source. row: xxhash64 of the text."""
+    spark = docs.sparkSession
+    long = run_words(least)
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id IS NOT NULL")
+    small_batches(spark)
+    found, seeds_path = materialize(seeds(slim, least), "seeds")
+    matched, matched_path = materialize(with_first(found, "seed", "run"), "matched")
+    discard(spark, seeds_path)
+    named = matched.filter("run IS NOT NULL").select("run", "doc_id", "pos", F.struct("source", "spos").alias("seeded"))
+    runs, runs_path = materialize(with_first(named, "run", "run", "seeded"), "runs")
+    by_seed = matched.filter(later()).select("doc_id", "source", "pos", "spos", F.lit(WORDS).alias("size"))
+    by_run = runs.filter(later() & (F.col("seeded") != F.struct("source", "spos"))).select("doc_id", "source", "pos", "spos", F.lit(long).alias("size"))
+    linked, _ = materialize(chains(by_seed.unionByName(by_run), least), "chains")
+
+    chained, _ = materialize(aligned(slim, linked, least, similarity), "chained")
 
     spans = chained.groupBy("doc_id").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
     inside = F.exists("spans", lambda x: (x["s"] <= F.col("pos")) & (F.col("pos") + long <= x["e"]))
@@ -422,8 +534,14 @@ def find(docs: DataFrame, least: int = LEAST, similarity: float = SIMILARITY) ->
     few = rest.filter(~F.coalesce(known, F.lit(False))).groupBy("doc_id", "row", near).agg(F.min_by(whole, F.struct("s", -F.col("e"), "source")).alias("a"), F.max_by(whole, F.struct("e", -F.col("s"), "source")).alias("b"))
     more, _ = materialize(few.select(F.inline(F.array_distinct(F.array("a", "b")))), "stretches", small=True)
     discard(spark, runs_path)
+
+    exact = chained.unionByName(more)
+    met, _ = materialize(all_partners(slim, occurrences(matched, exact, least), least, similarity), "all-matches")
+    discard(spark, matched_path)
+    again, _ = materialize(chains(met, least), "more-chains", small=True)
+    other, _ = materialize(aligned(slim, again, least, similarity), "more-chained", small=True)
     # rows that repeat a doc_id find the same passages again
-    return chained.unionByName(more).distinct()
+    return exact.unionByName(other).distinct()
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> str:
