@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import discard, lean, materialize, partitions, small_batches
+from tidemark.llm.shared import discard, lean, materialize, partitions, small_batches, sweep
 
 WORDS = 5
 WINDOW = 12
@@ -515,13 +515,17 @@ def find(docs: DataFrame, least: int = LEAST, similarity: float = SIMILARITY) ->
     found, seeds_path = materialize(seeds(slim, least), "seeds")
     matched, matched_path = materialize(with_first(found, "seed", "run"), "matched")
     discard(spark, seeds_path)
+    sweep(spark)
     named = matched.filter("run IS NOT NULL").select("run", "doc_id", "pos", F.struct("source", "spos").alias("seeded"))
     runs, runs_path = materialize(with_first(named, "run", "run", "seeded"), "runs")
+    sweep(spark)
     by_seed = matched.filter(later()).select("doc_id", "source", "pos", "spos", F.lit(WORDS).alias("size"))
     by_run = runs.filter(later() & (F.col("seeded") != F.struct("source", "spos"))).select("doc_id", "source", "pos", "spos", F.lit(long).alias("size"))
     linked, _ = materialize(chains(by_seed.unionByName(by_run), least), "chains")
+    sweep(spark)
 
     chained, _ = materialize(aligned(slim, linked, least, similarity), "chained")
+    sweep(spark)
 
     spans = chained.groupBy("doc_id").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
     inside = F.exists("spans", lambda x: (x["s"] <= F.col("pos")) & (F.col("pos") + long <= x["e"]))
@@ -534,12 +538,15 @@ def find(docs: DataFrame, least: int = LEAST, similarity: float = SIMILARITY) ->
     few = rest.filter(~F.coalesce(known, F.lit(False))).groupBy("doc_id", "row", near).agg(F.min_by(whole, F.struct("s", -F.col("e"), "source")).alias("a"), F.max_by(whole, F.struct("e", -F.col("s"), "source")).alias("b"))
     more, _ = materialize(few.select(F.inline(F.array_distinct(F.array("a", "b")))), "stretches", small=True)
     discard(spark, runs_path)
+    sweep(spark)
 
     exact = chained.unionByName(more)
     met, _ = materialize(all_partners(slim, occurrences(matched, exact, least), least, similarity), "all-matches")
     discard(spark, matched_path)
+    sweep(spark)
     again, _ = materialize(chains(met, least), "more-chains", small=True)
     other, _ = materialize(aligned(slim, again, least, similarity), "more-chained", small=True)
+    sweep(spark)
     # rows that repeat a doc_id find the same passages again
     return exact.unionByName(other).distinct()
 
