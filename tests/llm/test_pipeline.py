@@ -3,7 +3,7 @@ import numpy as np
 import corpus_pipeline
 from tidemark.llm.mixing import mix_report
 from tidemark.llm.quality import quality_report
-from tidemark.llm.simhash import BANDS, band_keys, keep_one, min_hashes, near_duplicates, set_simhash, shingle_set
+from tidemark.llm.simhash import BANDS, band_keys, keep_one, min_hashes, near_duplicates, near_groups, set_simhash, shingle_set, simhash
 
 
 def shingles(text):
@@ -176,3 +176,14 @@ def test_run_on_odd_and_empty_tables(spark, make_docs, tmp_path):
         docs = spark.read.parquet(f"file://{where}/documents.parquet")
         for stage, f in corpus_pipeline.STAGES[:-1] if name == "odd" else ():
             assert f(spark, docs, str(where)).columns == docs.columns, stage
+
+
+def test_one_of_each_simhash_group_is_kept(spark, make_docs):
+    """Fingerprints within three bits make one group, also where the sets of five words agree in less than 0.8."""
+    base = [f"w{i}" for i in range(20)]
+    rows = [(1, " ".join(base * 30)), (2, " ".join(base * 30 + [f"x{i}" for i in range(8)])), (3, " ".join(f"y{i}" for i in range(100)))]
+    a, b = (shingle_set(rows[i][1]) for i in (0, 1))
+    assert len(set(a) & set(b)) < 0.8 * len(set(a) | set(b))
+    assert (simhash(rows[0][1]) ^ simhash(rows[1][1])).bit_count() <= 3
+    assert {r.doc_id: r.component_id for r in near_groups(make_docs(rows)).collect()} == {1: 1, 2: 1, 3: 3}
+    assert sorted(r.doc_id for r in keep_one(make_docs(rows)).collect()) == [1, 3]

@@ -8,7 +8,8 @@ star of its links; stars are merged into components across shards.
 
 Near duplicates by word shingles (near_classes) go further apart in bits than such shards allow for: sets of a Jaccard similarity of
 0.8 differ in 9.7 of 64 bits on average. There bands of min-hashes deal the shards, trees are searched with a wide radius, and
-the whole shingle sets decide each link.
+the whole shingle sets decide each link. keep_one links by SimHashes within three bits first, through the shards and trees above, and
+takes these further links besides.
 """
 
 from __future__ import annotations
@@ -385,10 +386,20 @@ def _rest_of_shards(rows: DataFrame, sets: DataFrame, similarity: float, limit:
     return by_shard(ordered, search, 2, 4096).distinct()
 
 
-def near_classes(docs: DataFrame, similarity: float = 0.8, words: int = 5, limit: int = BLOCK_ROWS) -> DataFrame:
+def _simhash_links(prints: DataFrame, radius: int) -> DataFrame:
+    """(u, v) of cids: a star for each group that SimHashes within the radius connect, found in BK-trees. prints: cid, print."""
+    near = components(links(prints.select(F.col("print").alias("fp")).distinct(), radius))
+    named = prints.join(near.hint("merge"), F.col("print") == F.col("node"), "left").select("cid", F.coalesce("root", "print").alias("group"))
+    named, _ = materialize(named, "simhash-groups", small=True)
+    heads, _ = materialize(named.groupBy("group").agg(F.min("cid").alias("v"), F.max("cid").alias("w")).filter("v <> w").select("group", "v"), "simhash-heads", small=True)
+    return named.join(heads.hint("merge"), "group").filter("cid <> v").select(F.greatest("cid", "v").alias("u"), F.least("cid", "v").alias("v")).distinct()
+
+
+def near_classes(docs: DataFrame, similarity: float = 0.8, words: int = 5, limit: int = BLOCK_ROWS, radius: int | None = None) -> DataFrame:
     """doc_id, row (xxhash64 of the text), component_id, root for every row of docs; root names a component without fail.
 
-    Every link is decided by the Jaccard similarity of the whole shingle sets. Texts with equal sets are one class. Classes that share a
+    With a radius, texts whose SimHashes (as in near_groups: three words, repeats included) differ in so many bits or fewer are linked first, all of them,
+    through the BK-trees of links(). Every further link is decided by the Jaccard similarity of the whole shingle sets. Texts with equal sets are one class. Classes that share a
     band of min-hashes form a shard; each is first held against its shard's first and last, and what isn't connected by then
     is searched in the shard's BK-tree of SimHashes.
     """
@@ -401,14 +412,15 @@ def near_classes(docs: DataFrame, similarity: float = 0.8, words: int = 5, limit
         for b in batches:
             found = [shingle_set(t, words) for t in b.column(1).to_pylist()]
             fp = np.array([set_simhash(h) for h in found], dtype=np.uint64).view(np.int64)
+            bits = np.array([simhash(x) if radius is not None else 0 for x in b.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
             cid = np.array([xxhash.xxh3_64_intdigest(h.tobytes()) for h in found], dtype=np.uint64).view(np.int64)
             least = [min_hashes(h) for h in found]
             keys = np.array([band_keys(m) for m in least], dtype=np.uint64).reshape(len(found), BANDS).view(np.int64)
             sig = pa.array([(m >> np.uint64(24)).astype(np.uint8).tobytes() for m in least], pa.binary())
             bands = pa.ListArray.from_arrays(pa.array(np.arange(0, len(found) * BANDS + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(cid), pa.array(fp), pa.array([len(h) for h in found], pa.int32()), bands, sig], names=["doc_id", "row", "cid", "fp", "n", "bands", "sig"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(cid), pa.array(fp), pa.array([len(h) for h in found], pa.int32()), bands, sig, pa.array(bits)], names=["doc_id", "row", "cid", "fp", "n", "bands", "sig", "print"])
 
-    marks, _ = materialize(slim.mapInArrow(lean(run), "doc_id long, row long, cid long, fp long, n int, bands array<bigint>, sig binary"), "marks")
+    marks, _ = materialize(slim.mapInArrow(lean(run), "doc_id long, row long, cid long, fp long, n int, bands array<bigint>, sig binary, print long"), "marks")
     shown = [F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "row")).alias("shown"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("bands").alias("bands"), F.min("sig").alias("sig")]
     classes, _ = materialize(marks.groupBy("cid").agg(*shown), "mark-classes")
     keyed = classes.select("cid", F.explode("bands").alias("key"))
@@ -430,7 +442,11 @@ def near_classes(docs: DataFrame, similarity: float = 0.8, words: int = 5, limit
     texts = slim.join(wanted.hint("merge"), slim["doc_id"].eqNullSafe(F.col("i")) & slim["row"].eqNullSafe(F.col("r"))).select("cid", "text")
     sets, _ = materialize(texts.mapInArrow(lean(shingled), "cid long, shingles binary").dropDuplicates(["cid"]), "mark-sets")
 
-    tried, _ = materialize(_alike(first, sets, similarity), "mark-links", small=True)
+    alike = _alike(first, sets, similarity)
+    if radius is not None:
+        prints, _ = materialize(marks.select("cid", "print").distinct(), "simhash", small=True)
+        alike = alike.unionByName(_simhash_links(prints, radius))
+    tried, _ = materialize(alike, "mark-links", small=True)
     reached, _ = materialize(components(tried), "mark-linked")
     rooted = members.join(reached.select(F.col("node").alias("cid"), "root"), "cid", "left").select("key", "cid", F.coalesce("root", "cid").alias("root"))
     mixed = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("c")).filter("a <> b AND c > 3").select("key")  # of three, two leads have met all
@@ -466,13 +482,14 @@ def _named(marks: DataFrame, classes: DataFrame, edges: DataFrame) -> DataFrame:
     return marks.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
+def keep_one(docs: DataFrame, similarity: float = 0.8, words: int = 5, radius: int = 3) -> DataFrame:
     """The document of smallest doc_id of each near-duplicate group, with the columns of docs, whatever their names.
 
+    Groups are what SimHashes within the radius connect, as in near_groups, and beyond that shingle sets of the similarity.
     Rows with a null doc_id all stay. Of several rows of that doc_id in one group one stays; rows of one doc_id in different groups
     each stand for theirs. Texts without words are one group. An empty table stays empty.
     """
-    groups, _ = materialize(near_classes(docs, similarity, words), "near-groups", small=True)
+    groups, _ = materialize(near_classes(docs, similarity, words, radius=radius), "near-groups", small=True)
     marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("row"))
     gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("id"), "row").distinct()
     kept = marked.join(gone, ["id", "row"], "left_anti")
