@@ -135,6 +135,33 @@ def test_pieces_in_earlier_documents_hide_no_passage_with_differences(spark, mak
     assert len(set(range(60, 180)) & got.get(1001, set())) >= 110 and set(got) == {1001}
 
 
+def test_crowded_places_give_as_many_rows_as_places_and_not_as_pairs(spark):
+    """Each of 80 documents has the passage with differences of its own; what is kept of the partners covers all of it."""
+    from tidemark.llm.passages import SIMILARITY, held_together
+
+    rng = random.Random(43)
+    passage, n = words(rng, 100), 80
+    changed = {i: [w if (at - i) % 17 or 40 <= at < 65 else f"own{i}" for at, w in enumerate(passage)] for i in range(n)}
+    slim = spark.createDataFrame([(i, " ".join(words(rng, 70) + t + words(rng, 70))) for i, t in changed.items()], "doc_id long, text string")
+    pairs = spark.createDataFrame([(1, n, i, 110, 130, True) for i in range(n)], "key long, n long, doc_id long, pos int, pos2 int, open boolean")
+    got = held_together(slim, pairs, LEAST, SIMILARITY).collect()
+    assert len(got) <= 2 * n and {r.doc_id for r in got} == set(range(1, n)) and all(r.source < r.doc_id and r.like >= SIMILARITY for r in got)
+    for i in range(1, n):
+        span = set().union(*(range(r.s, r.e) for r in got if r.doc_id == i))
+        assert len(span & set(range(70, 170))) >= 90 and len(span) <= 112
+
+
+def test_a_crowded_seed_is_matched_beside_a_rare_one(spark):
+    from tidemark.llm.passages import CROWD, SIMILARITY, all_partners
+
+    crowd = [(1, 0, i, 0, False) for i in range(1, CROWD + 9)] + [(1, 0, 1000, 20, False), (1, 0, 1001, 20, True)]
+    rare = [(2, 9, 2, 9, False), (2, 9, 1000, 60, False), (2, 9, 1001, 60, True)]
+    places = spark.createDataFrame(crowd + rare, "source long, spos int, doc_id long, pos int, open boolean")
+    slim = spark.createDataFrame([(1000, "a b"), (1001, "a b")], "doc_id long, text string")
+    matches, held = all_partners(slim, places, LEAST, SIMILARITY)
+    assert {(1001, 1000, 20, 20), (1001, 1000, 60, 60)} <= {tuple(r)[:4] for r in matches.collect()} and held.count() == 0
+
+
 def test_passages_of_few_distinct_words_are_found(spark, make_docs):
     rng = random.Random(33)
     few = {"a": ["la"] * 100, "b": ["do", "re", "mi"] * 34, "c": rng.choices(["x", "y"], k=100)}

@@ -13,9 +13,10 @@ more: all stretches of LEAST words around every occurrence of such a run are mat
 or more is found, whatever its parts' first occurrences.
 
 Passages that differ in places have no such stretch. So the seeds that are still in no passage are matched with all their earlier
-occurrences, and not with the first alone. Where a seed has more than CROWD of them, pairs of such seeds near each other are matched
+occurrences, and not with the first alone. Where a seed has more than CROWD of them, its pairs with other seeds near it are matched
 instead, since a chain has two seeds or more; and where a pair has more than CROWD occurrences, all of them are held against each other,
-block by block, by the words around them.
+block by block, by the words between and around them. What comes of that grows with the occurrences and not with their pairs: of all passages
+over one place, those are kept that cover the words of the others.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ MARGIN = WINDOW + WORDS + 40
 CROWD = 32
 #: Words between two seeds that may follow each other in a chain: what a seed gains pays for so much gap on both sides, and a chain starts within LEAST.
 REACH = int(WORDS / GAP) + WINDOW
-#: Occurrences of a crowded pair that one task holds against as many others.
+#: Occurrences of a crowded pair that one task holds against all others.
 BLOCK = 1024
 
 _R, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
@@ -436,74 +437,183 @@ def crowds(rows: DataFrame, *key: str) -> DataFrame:
     return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("any")).filter("n > 1 AND any").drop("any")
 
 
+def outward(same: np.ndarray, loss: int, drop: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """extend() for many stretches at once, each word that differs a loss; same: whether words agree, a row for each. No drop: past any differences."""
+    score = np.cumsum(np.where(same, 1, -loss), axis=1, dtype=np.int32)
+    if drop is not None:
+        over = np.maximum.accumulate(np.maximum(score, 0), axis=1) - score > drop
+        score[np.logical_or.accumulate(over, axis=1)] = 0
+    rows, at = np.arange(len(same)), score.argmax(axis=1)
+    good = score[rows, at] > 0
+    return np.where(good, at + 1, 0), np.where(good, np.cumsum(same, axis=1, dtype=np.int32)[rows, at], 0)
+
+
+class Windows:
+    """Words around the pairs of seeds at pos and pos2, cut from MARGIN words before them to MARGIN words after; pad: the code of no word."""
+
+    def __init__(self, rows: pa.Table, pad: int):
+        self.doc, self.row, self.pos, self.pos2 = (rows.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "row", "pos", "pos2"))
+        self.gap = self.pos2 - self.pos
+        cut = [np.frombuffer(w, np.uint32) for w in rows.column("words").to_pylist()]
+        self.seeds = np.array([np.concatenate([w[MARGIN : MARGIN + WORDS], w[-MARGIN - WORDS : -MARGIN]]) for w in cut], np.uint32).reshape(len(cut), 2 * WORDS)
+        # outward from the two ends of the pair, and inward: after the first seed and, backwards, before the second
+        sides = [w[:MARGIN][::-1] for w in cut], [w[-MARGIN:] for w in cut], [w[MARGIN + WORDS :][:MARGIN] for w in cut], [w[: -MARGIN - WORDS][-MARGIN:][::-1] for w in cut]
+        self.before, self.after, self.right, self.left = (np.array(x, np.uint32).reshape(len(cut), MARGIN) for x in sides)
+        for side in (self.before, self.after, self.right, self.left):
+            side[side == 0] = pad
+        self.mid = [w[MARGIN + WORDS : -MARGIN - WORDS].tobytes() for w in cut]
+
+
+def furthest(found: list[tuple]) -> list[tuple]:
+    """Of passages (s, e, ...) over one place, those that cover all that the others do: the first to begin and the last to end."""
+    a, b = min(found, key=lambda x: (x[0], -x[1], *x[2:])), min(found, key=lambda x: (-x[1], x[0], *x[2:]))
+    return [a] if a[:2] == b[:2] else [a, b]
+
+
+def compare_windows(x: Windows, y: Windows, least: int, similarity: float, kept: dict[tuple[int, int], list[tuple]]) -> None:
+    """Adds to kept the passages (s, e, source, spos, spos2, t, u, like) that pairs of x have with earlier ones of y, as far as they cover more.
+
+    Two pairs are aligned by the words between the seeds and step by step outward, as align() does, or step by step from one of the seeds; and
+    outward as far as SIMILARITY lets a passage gain, since chains get past differences by further seeds. kept: for the index
+    of a pair in x and each of these ways, what furthest() leaves of all passages.
+    """
+    shared: dict[tuple[bytes, bytes], int] = {}
+
+    def between(a: bytes, b: bytes) -> int:
+        if (a, b) not in shared:
+            shared[a, b] = inner(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32))
+        return shared[a, b]
+
+    for i in range(len(x.doc)):
+        d, p, p2, g = int(x.doc[i]), int(x.pos[i]), int(x.pos2[i]), int(x.gap[i])
+        before, after = y.before == x.before[i], y.after == x.after[i]
+        # at most the shorter gap agrees
+        most = np.count_nonzero(before, axis=1) + np.count_nonzero(after, axis=1) + np.minimum(y.gap, g) + WORDS
+        k = np.flatnonzero((most >= similarity * least - 1e-6) & ((y.doc < d) | (y.doc == d) & (y.pos < p) & (y.pos2 < p2)))
+        k = k[(y.seeds[k] == x.seeds[i]).all(axis=1)]
+        if not len(k):
+            continue
+        doc, gap, spos, spos2 = y.doc[k], y.gap[k], y.pos[k], y.pos2[k]
+        sides, ways = [before[k], after[k], y.right[k] == x.right[i], y.left[k] == x.left[i]], []
+        for loss, drop in ((3, 6), (4, None)):
+            (nb, sb), (na, sa), (nr, sr), (nl, sl) = (outward(side, loss, drop) for side in sides)
+            ways += [
+                (p - nb, p2 + WORDS + na, spos - nb, spos2 + WORDS + na, sb + sa + np.minimum(gap, g) + WORDS),
+                (p - nb, p + WORDS + nr, spos - nb, spos + WORDS + nr, sb + sr + WORDS),
+                (p2 - nl, p2 + WORDS + na, spos2 - nl, spos2 + WORDS + na, sl + sa + WORDS),
+            ]
+        for way, (s, e, t, u, same) in enumerate(ways):
+            size = np.maximum(e - s, u - t)
+            may = np.flatnonzero((e - s >= least) & (same / size >= similarity) & ((doc != d) | (u <= s)))
+            found = kept.get((i, way), [])
+            for order in ((spos[may], doc[may], -e[may], s[may]), (spos[may], doc[may], s[may], -e[may])):
+                for m in may[np.lexsort(order)].tolist():
+                    n = int(same[m])
+                    if way % 3 == 0 and min(g, gap[m]) > WORDS:
+                        n += between(x.mid[i], y.mid[k[m]]) + WORDS - min(g, int(gap[m]))
+                    if n / size[m] >= similarity:
+                        found = [*found, (int(s[m]), int(e[m]), int(doc[m]), int(spos[m]), int(spos2[m]), int(t[m]), int(u[m]), n / int(size[m]))]
+                        break
+            if found:
+                kept[i, way] = furthest(found)
+
+
+HELD = "doc_id long, source long, pos int, spos int, pos2 int, spos2 int, row long, s int, e int, t int, u int, like double"
+HELD_ARROW = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.int64(), *[pa.int32()] * 4, pa.float64()]
+
+
 def held_together(slim: DataFrame, pairs: DataFrame, least: int, similarity: float) -> DataFrame:
-    """doc_id, source, pos, spos, pos2, spos2: partners of crowded pairs (key, n, doc_id, pos, pos2, open) whose words around may make a passage.
+    """HELD: the places of crowded pairs (key, n, doc_id, pos, pos2, open) that lie in passages, each with the few passages that cover all of them.
 
-    All rows of a key are compared, in blocks. The words of a passage that two seeds make lie between them, where at most the shorter
-    gap agrees, or step by step before and after; so partners with too few of those can make none.
+    Every open row of a key is compared with all its rows, block by block, by the words between and around the seeds.
+    There are as many rows as places in passages, and not as many as pairs of them.
     """
     at = pairs.groupBy("doc_id").agg(F.collect_list(F.struct("key", "n", "pos", "pos2", "open")).alias("at"))
-    both = slim.join(at.hint("merge"), "doc_id").select("doc_id", "text", "at")
+    both = slim.join(at.hint("merge"), "doc_id").select("doc_id", "text", "at", F.xxhash64("text").alias("row"))
 
     def around(batches):
         for b in batches:
             rows = []
-            for doc, text, found in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            for doc, text, found, row in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
                 codes = word_codes(split(text))
                 wide = np.concatenate([np.zeros(MARGIN, np.uint32), codes, np.zeros(MARGIN, np.uint32)])  # 0: no word
                 for x in found:
                     i, j = x["pos"] + MARGIN, x["pos2"] + WORDS + MARGIN
                     if j <= len(wide) - MARGIN:
-                        rows.append({"key": x["key"], "n": x["n"], "doc_id": doc, "pos": x["pos"], "pos2": x["pos2"], "open": x["open"], "words": np.concatenate([wide[i - MARGIN : i], wide[j : j + MARGIN]]).tobytes()})
+                        rows.append({"key": x["key"], "n": x["n"], "doc_id": doc, "row": row, "pos": x["pos"], "pos2": x["pos2"], "open": x["open"], "words": wide[i - MARGIN : j + MARGIN].tobytes()})
             yield pa.RecordBatch.from_pylist(rows, schema=shape)
 
-    shape = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32()), ("pos2", pa.int32()), ("open", pa.bool_()), ("words", pa.binary())])
-    seen, _ = materialize(both.mapInArrow(lean(around), "key long, n long, doc_id long, pos int, pos2 int, open boolean, words binary"), "crowded-words", small=True)
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = seen.withColumn("own", F.pmod(F.xxhash64("doc_id", "pos", "pos2"), blocks).cast("int"))
-    # of two blocks, the rows of i ask those of j
-    asking = own.filter("open").select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j")).select("key", F.col("own").alias("i"), "j", F.lit(True).alias("asks"), "doc_id", "pos", "pos2", "words")
-    asked = own.select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i")).select("key", "i", F.col("own").alias("j"), F.lit(False).alias("asks"), "doc_id", "pos", "pos2", "words")
-
-    def compare(group):
-        import pandas as pd
-
-        x, y = group[group["asks"]], group[~group["asks"]]
-        out = []
-        if len(x) and len(y):
-            v = np.frombuffer(b"".join(y["words"]), np.uint32).reshape(len(y), 2 * MARGIN)
-            doc, pos, pos2 = (y[c].to_numpy() for c in ("doc_id", "pos", "pos2"))
-            for d, p, p2, w in zip(x["doc_id"], x["pos"], x["pos2"], x["words"], strict=True):
-                u = np.frombuffer(w, np.uint32)
-                same = ((v == u) & (u != 0)).sum(axis=1) + np.minimum(pos2 - pos, p2 - p) + WORDS
-                first = (doc < d) | (doc == d) & (pos < p) & (pos2 < p2)
-                for k in np.flatnonzero(first & (same >= similarity * least - 1e-6)).tolist():
-                    out.append((d, doc[k], p, pos[k], p2, pos2[k]))
-        return pd.DataFrame(out, columns=["doc_id", "source", "pos", "spos", "pos2", "spos2"])
-
-    return asking.unionByName(asked).groupBy("key", "i", "j").applyInPandas(compare, "doc_id long, source long, pos int, spos int, pos2 int, spos2 int")
-
-
-def all_partners(slim: DataFrame, places: DataFrame, least: int, similarity: float) -> DataFrame:
-    """doc_id, source, pos, spos, size: matches of the open places (of occurrences()) with all earlier occurrences of their seeds, as far as two make a chain."""
+    shape = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("pos", pa.int32()), ("pos2", pa.int32()), ("open", pa.bool_()), ("words", pa.binary())])
+    seen, _ = materialize(both.mapInArrow(lean(around), "key long, n long, doc_id long, row long, pos int, pos2 int, open boolean, words binary"), "crowded-words", small=True)
+    blocks, names = F.ceil(F.col("n") / BLOCK).cast("int"), ["asks", "doc_id", "row", "pos", "pos2", "words"]
+    asking = seen.filter("open").withColumn("asks", F.lit(True)).select("key", F.pmod(F.xxhash64("doc_id", "pos", "pos2"), blocks).cast("int").alias("block"), *names)
+    asked = seen.withColumn("asks", F.lit(False)).select("key", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), *names)
+    dealt = asking.unionByName(asked).repartition(partitions(slim.sparkSession), "key", "block").sortWithinPartitions("key", "block", F.desc("asks"), "doc_id", "pos", "pos2")
+
+    def finish(x, kept):
+        rows = []
+        for i in sorted({i for i, _ in kept}):
+            chosen = sorted({f for way in range(6) for f in kept.get((i, way), [])})
+            chosen = [a for a in chosen if not any(b[0] <= a[0] and a[1] <= b[1] and b[:2] != a[:2] for b in chosen)]
+            rows.extend((int(x.doc[i]), f[2], int(x.pos[i]), f[3], int(x.pos2[i]), f[4], int(x.row[i]), *f[:2], *f[5:]) for f in chosen)
+        columns = list(zip(*rows, strict=True)) or [()] * len(HELD_ARROW)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, HELD_ARROW, strict=True)], names=[c.split()[0] for c in HELD.split(", ")])
+
+    def compare(batches):
+        block, asks, x, kept = None, [], None, {}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            rows = pa.Table.from_batches([b])
+            of = [rows.column(c).to_numpy() for c in ("key", "block", "asks")]
+            starts = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in of])]))
+            for i, j in zip(starts, [*starts[1:], b.num_rows], strict=True):
+                if block != (of[0][i], of[1][i]):
+                    if kept:
+                        yield finish(x, kept)
+                    block, asks, x, kept = (of[0][i], of[1][i]), [], None, {}
+                if of[2][i]:
+                    asks.append(rows.slice(i, j - i))
+                elif asks:
+                    x = x or Windows(pa.concat_tables(asks), 0)
+                    compare_windows(x, Windows(rows.slice(i, j - i), 1), least, similarity, kept)
+        if kept:
+            yield finish(x, kept)
+
+    return dealt.mapInArrow(lean(compare), HELD)
+
+
+def all_partners(slim: DataFrame, places: DataFrame, least: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Matches (doc_id, source, pos, spos, size) of the open places (of occurrences()) with earlier occurrences of their seeds, and PASSAGE.
+
+    Up to CROWD occurrences all are matched, as far as two make a chain. Of more, those that held_together() finds, whose passages are given too.
+    """
     counts, _ = materialize(crowds(places, "source", "spos"), "open-seeds", small=True)
     found, _ = materialize(places.join(counts.hint("merge"), ["source", "spos"]).select(F.xxhash64("source", "spos").alias("seed"), "n", "doc_id", "pos", "open"), "open-places", small=True)
     x, y = (found.filter(F.col("n") <= CROWD).select("seed", *[F.col(c).alias(f"{k}{c}") for c in ("doc_id", "pos", "open")]) for k in "xy")
     before = (F.col("ydoc_id") < F.col("xdoc_id")) | ((F.col("ydoc_id") == F.col("xdoc_id")) & (F.col("ypos") < F.col("xpos")))
     plain = x.filter("xopen").join(y.hint("merge"), "seed").filter(before).select(F.col("xdoc_id").alias("doc_id"), F.col("ydoc_id").alias("source"), F.col("xpos").alias("pos"), F.col("ypos").alias("spos"))
 
-    crowded = found.filter(F.col("n") > CROWD)
-    a, b = (crowded.select("doc_id", *[F.col(c).alias(f"{k}{c}") for c in ("seed", "pos", "open")]) for k in "ab")
-    close = a.join(b.hint("merge"), "doc_id").filter((F.col("bpos") > F.col("apos")) & (F.col("bpos") <= F.col("apos") + REACH))
+    # pairs of which one seed is crowded at least; seeds of two next stretches of REACH words may be near each other
+    stretch = F.floor(F.col("pos") / REACH)
+    a = found.select("doc_id", stretch.alias("stretch"), *[F.col(c).alias(f"a{c}") for c in ("seed", "n", "pos", "open")])
+    b = found.select("doc_id", F.explode(F.array(stretch - 1, stretch)).alias("stretch"), *[F.col(c).alias(f"b{c}") for c in ("seed", "n", "pos", "open")])
+    close = a.join(b.hint("merge"), ["doc_id", "stretch"]).filter((F.greatest("an", "bn") > CROWD) & (F.col("bpos") > F.col("apos")) & (F.col("bpos") <= F.col("apos") + REACH))
     keyed, _ = materialize(close.select(F.xxhash64("aseed", "bseed").alias("key"), "doc_id", F.col("apos").alias("pos"), F.col("bpos").alias("pos2"), (F.col("aopen") | F.col("bopen")).alias("open")), "open-pairs", small=True)
     several, _ = materialize(crowds(keyed, "key"), "open-keys", small=True)
     pairs, _ = materialize(keyed.join(several.hint("merge"), "key"), "counted-pairs", small=True)
     x, y = (pairs.filter(F.col("n") <= CROWD).select("key", *[F.col(c).alias(f"{k}{c}") for c in ("doc_id", "pos", "pos2", "open")]) for k in "xy")
     before = (F.col("ydoc_id") < F.col("xdoc_id")) | ((F.col("ydoc_id") == F.col("xdoc_id")) & (F.col("ypos") < F.col("xpos")) & (F.col("ypos2") < F.col("xpos2")))
     few = x.filter("xopen").join(y.hint("merge"), "key").filter(before).select(*[F.col(f"{k}{c}").alias(n) for k, c, n in (("x", "doc_id", "doc_id"), ("y", "doc_id", "source"), ("x", "pos", "pos"), ("y", "pos", "spos"), ("x", "pos2", "pos2"), ("y", "pos2", "spos2"))])
-    both = few.unionByName(held_together(slim, pairs.filter(F.col("n") > CROWD), least, similarity))
-    ends = both.select("doc_id", "source", F.explode(F.array(F.struct("pos", "spos"), F.struct(F.col("pos2").alias("pos"), F.col("spos2").alias("spos")))).alias("m")).select("doc_id", "source", "m.pos", "m.spos")
-    return plain.unionByName(ends).distinct().withColumn("size", F.lit(WORDS))
+    held, _ = materialize(held_together(slim, pairs.filter(F.col("n") > CROWD), least, similarity), "held-together", small=True)
+    ends = few.select("doc_id", "source", F.explode(F.array(F.struct("pos", "spos"), F.struct(F.col("pos2").alias("pos"), F.col("spos2").alias("spos")))).alias("m")).select("doc_id", "source", "m.pos", "m.spos")
+    # whatever else of the places around agrees with the partner that was chosen
+    links = held.select(F.col("doc_id").alias("d"), "source", *[F.col(c).alias(f"h{c}") for c in ("pos", "pos2", "spos", "spos2")])
+    links = links.withColumn("stretch", F.explode(F.sequence(F.floor(F.col("hpos") / REACH) - 1, F.floor(F.col("hpos2") / REACH) + 1)))
+    asked = found.select("seed", F.col("doc_id").alias("d"), "pos", stretch.alias("stretch")).join(links.hint("merge"), ["d", "stretch"]).filter(F.col("pos").between(F.col("hpos") - REACH, F.col("hpos2") + REACH))
+    met = asked.join(found.select("seed", F.col("doc_id").alias("source"), F.col("pos").alias("spos")).hint("merge"), ["seed", "source"]).filter(F.col("spos").between(F.col("hspos") - REACH, F.col("hspos2") + REACH))
+    met = met.select(F.col("d").alias("doc_id"), "source", "pos", "spos").filter(later())
+    return plain.unionByName(ends).unionByName(met).distinct().withColumn("size", F.lit(WORDS)), held.select(*[c.split()[0] for c in PASSAGE.split(", ")])
 
 
 def find(docs: DataFrame, least: int = LEAST, similarity: float = SIMILARITY) -> DataFrame:
@@ -541,14 +651,18 @@ def find(docs: DataFrame, least: int = LEAST, similarity: float = SIMILARITY) ->
     sweep(spark)
 
     exact = chained.unionByName(more)
-    met, _ = materialize(all_partners(slim, occurrences(matched, exact, least), least, similarity), "all-matches")
+    partners, held = all_partners(slim, occurrences(matched, exact, least), least, similarity)
+    met, _ = materialize(partners, "all-matches")
     discard(spark, matched_path)
     sweep(spark)
     again, _ = materialize(chains(met, least), "more-chains", small=True)
     other, _ = materialize(aligned(slim, again, least, similarity), "more-chained", small=True)
     sweep(spark)
+    # chains go further than two pairs of seeds, so most of what was held together is in them
+    around = other.groupBy("doc_id", "row").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+    alone = held.join(around.hint("merge"), ["doc_id", "row"], "left").filter(~F.coalesce(known, F.lit(False))).select(*other.columns)
     # rows that repeat a doc_id find the same passages again
-    return exact.unionByName(other).distinct()
+    return exact.unionByName(other).unionByName(alone).distinct()
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> str:
