@@ -544,7 +544,7 @@ def held_together(slim: DataFrame, pairs: DataFrame, least: int, similarity: flo
             yield pa.RecordBatch.from_pylist(rows, schema=shape)
 
     shape = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("pos", pa.int32()), ("pos2", pa.int32()), ("open", pa.bool_()), ("words", pa.binary())])
-    seen, _ = materialize(both.mapInArrow(lean(around), "key long, n long, doc_id long, row long, pos int, pos2 int, open boolean, words binary"), "crowded-words", small=True)
+    seen, seen_path = materialize(both.mapInArrow(lean(around), "key long, n long, doc_id long, row long, pos int, pos2 int, open boolean, words binary"), "crowded-words", small=True)
     blocks, names = F.ceil(F.col("n") / BLOCK).cast("int"), ["asks", "doc_id", "row", "pos", "pos2", "words"]
     asking = seen.filter("open").withColumn("asks", F.lit(True)).select("key", F.pmod(F.xxhash64("doc_id", "pos", "pos2"), blocks).cast("int").alias("block"), *names)
     asked = seen.withColumn("asks", F.lit(False)).select("key", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), *names)
@@ -580,7 +580,10 @@ def held_together(slim: DataFrame, pairs: DataFrame, least: int, similarity: flo
         if kept:
             yield finish(x, kept)
 
-    return dealt.mapInArrow(lean(compare), HELD)
+    held, _ = materialize(dealt.mapInArrow(lean(compare), HELD), "held-together", small=True)
+    discard(slim.sparkSession, seen_path)
+    sweep(slim.sparkSession)
+    return held
 
 
 def all_partners(slim: DataFrame, places: DataFrame, least: int, similarity: float) -> tuple[DataFrame, DataFrame]:
@@ -588,8 +591,11 @@ def all_partners(slim: DataFrame, places: DataFrame, least: int, similarity: flo
 
     Up to CROWD occurrences all are matched, as far as two make a chain. Of more, those that held_together() finds, whose passages are given too.
     """
-    counts, _ = materialize(crowds(places, "source", "spos"), "open-seeds", small=True)
+    spark = slim.sparkSession
+    counts, counts_path = materialize(crowds(places, "source", "spos"), "open-seeds", small=True)
     found, _ = materialize(places.join(counts.hint("merge"), ["source", "spos"]).select(F.xxhash64("source", "spos").alias("seed"), "n", "doc_id", "pos", "open"), "open-places", small=True)
+    discard(spark, counts_path)
+    sweep(spark)
     x, y = (found.filter(F.col("n") <= CROWD).select("seed", *[F.col(c).alias(f"{k}{c}") for c in ("doc_id", "pos", "open")]) for k in "xy")
     before = (F.col("ydoc_id") < F.col("xdoc_id")) | ((F.col("ydoc_id") == F.col("xdoc_id")) & (F.col("ypos") < F.col("xpos")))
     plain = x.filter("xopen").join(y.hint("merge"), "seed").filter(before).select(F.col("xdoc_id").alias("doc_id"), F.col("ydoc_id").alias("source"), F.col("xpos").alias("pos"), F.col("ypos").alias("spos"))
@@ -599,13 +605,15 @@ def all_partners(slim: DataFrame, places: DataFrame, least: int, similarity: flo
     a = found.select("doc_id", stretch.alias("stretch"), *[F.col(c).alias(f"a{c}") for c in ("seed", "n", "pos", "open")])
     b = found.select("doc_id", F.explode(F.array(stretch - 1, stretch)).alias("stretch"), *[F.col(c).alias(f"b{c}") for c in ("seed", "n", "pos", "open")])
     close = a.join(b.hint("merge"), ["doc_id", "stretch"]).filter((F.greatest("an", "bn") > CROWD) & (F.col("bpos") > F.col("apos")) & (F.col("bpos") <= F.col("apos") + REACH))
-    keyed, _ = materialize(close.select(F.xxhash64("aseed", "bseed").alias("key"), "doc_id", F.col("apos").alias("pos"), F.col("bpos").alias("pos2"), (F.col("aopen") | F.col("bopen")).alias("open")), "open-pairs", small=True)
-    several, _ = materialize(crowds(keyed, "key"), "open-keys", small=True)
+    keyed, keyed_path = materialize(close.select(F.xxhash64("aseed", "bseed").alias("key"), "doc_id", F.col("apos").alias("pos"), F.col("bpos").alias("pos2"), (F.col("aopen") | F.col("bopen")).alias("open")), "open-pairs", small=True)
+    several, several_path = materialize(crowds(keyed, "key"), "open-keys", small=True)
     pairs, _ = materialize(keyed.join(several.hint("merge"), "key"), "counted-pairs", small=True)
+    discard(spark, keyed_path, several_path)
+    sweep(spark)
     x, y = (pairs.filter(F.col("n") <= CROWD).select("key", *[F.col(c).alias(f"{k}{c}") for c in ("doc_id", "pos", "pos2", "open")]) for k in "xy")
     before = (F.col("ydoc_id") < F.col("xdoc_id")) | ((F.col("ydoc_id") == F.col("xdoc_id")) & (F.col("ypos") < F.col("xpos")) & (F.col("ypos2") < F.col("xpos2")))
     few = x.filter("xopen").join(y.hint("merge"), "key").filter(before).select(*[F.col(f"{k}{c}").alias(n) for k, c, n in (("x", "doc_id", "doc_id"), ("y", "doc_id", "source"), ("x", "pos", "pos"), ("y", "pos", "spos"), ("x", "pos2", "pos2"), ("y", "pos2", "spos2"))])
-    held, _ = materialize(held_together(slim, pairs.filter(F.col("n") > CROWD), least, similarity), "held-together", small=True)
+    held = held_together(slim, pairs.filter(F.col("n") > CROWD), least, similarity)
     ends = few.select("doc_id", "source", F.explode(F.array(F.struct("pos", "spos"), F.struct(F.col("pos2").alias("pos"), F.col("spos2").alias("spos")))).alias("m")).select("doc_id", "source", "m.pos", "m.spos")
     # whatever else of the places around agrees with the partner that was chosen
     links = held.select(F.col("doc_id").alias("d"), "source", *[F.col(c).alias(f"h{c}") for c in ("pos", "pos2", "spos", "spos2")])
@@ -631,10 +639,11 @@ def find(docs: DataFrame, least: int = LEAST, similarity: float = SIMILARITY) ->
     sweep(spark)
     by_seed = matched.filter(later()).select("doc_id", "source", "pos", "spos", F.lit(WORDS).alias("size"))
     by_run = runs.filter(later() & (F.col("seeded") != F.struct("source", "spos"))).select("doc_id", "source", "pos", "spos", F.lit(long).alias("size"))
-    linked, _ = materialize(chains(by_seed.unionByName(by_run), least), "chains")
+    linked, linked_path = materialize(chains(by_seed.unionByName(by_run), least), "chains")
     sweep(spark)
 
     chained, _ = materialize(aligned(slim, linked, least, similarity), "chained")
+    discard(spark, linked_path)
     sweep(spark)
 
     spans = chained.groupBy("doc_id").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
@@ -651,10 +660,13 @@ def find(docs: DataFrame, least: int = LEAST, similarity: float = SIMILARITY) ->
     sweep(spark)
 
     exact = chained.unionByName(more)
-    partners, held = all_partners(slim, occurrences(matched, exact, least), least, similarity)
-    met, _ = materialize(partners, "all-matches")
+    places, places_path = materialize(occurrences(matched, exact, least), "places")  # it is read twice
     discard(spark, matched_path)
     sweep(spark)
+    partners, held = all_partners(slim, places, least, similarity)
+    met, _ = materialize(partners, "all-matches")
+    discard(spark, places_path)
+    sweep(spark)
     again, _ = materialize(chains(met, least), "more-chains", small=True)
     other, _ = materialize(aligned(slim, again, least, similarity), "more-chained", small=True)
     sweep(spark)
